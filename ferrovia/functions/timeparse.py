@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# FIXED VALUES — snapshot stamp formats: compact (poller file names) and ISO.
-COMPACT_STAMP = "yyyyMMdd'T'HHmmssX"
+# FIXED VALUES — snapshot stamp formats: compact ``yyyyMMdd'T'HHmmss'Z'`` (poller
+# file names) and ISO ``yyyy-MM-dd'T'HH:mm:ss'Z'``.
+COMPACT_STAMP_RE = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})Z$"
+COMPACT_TO_ISO = "$1-$2-$3T$4:$5:$6Z"
 STAMP_IN_NAME = r"(\d{8}T\d{6}Z)"
 
 
@@ -17,10 +19,13 @@ def _col(c) -> Column:
 def parse_snapshot_ts(stamp) -> Column:
     """Compact ``20250101T083500Z`` or ISO ``2025-01-01T08:35:00Z`` -> timestamp.
 
-    Anything else gives NULL (never an error, also under ANSI mode).
+    Anything else gives NULL (never an error, also under ANSI mode).  The
+    compact form is rewritten to ISO by a regex and both go through one
+    ``try_cast`` — no per-row formatter and no exception path for the form
+    that does not match, which a pattern-based ``try_to_timestamp`` pays.
     """
-    s = _col(stamp)
-    return F.coalesce(F.try_to_timestamp(s, F.lit(COMPACT_STAMP)), F.try_to_timestamp(s))
+    iso = F.regexp_replace(_col(stamp), COMPACT_STAMP_RE, COMPACT_TO_ISO)
+    return iso.try_cast("timestamp")
 
 
 def date_key(d) -> Column:

@@ -25,7 +25,7 @@ from ferrovia.functions import classify as C
 from ferrovia.functions import metrics as M
 from ferrovia.functions import timeparse as T
 
-BAND = F.col("delay_band")
+BAND = "delay_band"
 
 
 # ---------------------------------------------------------------------------
@@ -43,7 +43,7 @@ def _delay_partials(bands=("On-Time",), with_departure=False, with_max=False) ->
     if with_max:
         aggs.append(F.max("arrival_delay_secs").alias("arr_max"))
     for b in bands:
-        aggs.append(F.count_if(BAND == b).alias(_band_col(b)))
+        aggs.append(F.count_if(F.col(BAND) == b).alias(_band_col(b)))
     return aggs
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ferrovia.operators import views as V
 from ferrovia.plans import oracle as O
-from ferrovia.plans.testviews import TransitViews
+from ferrovia.plans.testviews import views_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,8 +33,8 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _tv(spark, sf_dir) -> TransitViews:
-    return TransitViews(spark, sf_dir)
+def _tv(spark, sf_dir):
+    return views_for(spark, sf_dir)
 
 
 # --- dimensions and facts ---------------------------------------------------
