@@ -208,3 +208,121 @@ SELECT *,
 FROM trend"""))
 def q_vw_delay_trend(spark, sf_dir):
     return V.vw_delay_trend(_tv(spark, sf_dir).trend())
+
+
+# --- merges -------------------------------------------------------------------
+
+from ferrovia.operators import merge as MG  # noqa: E402
+from ferrovia.operators.gold import ROUTE_DAILY_COLUMNS  # noqa: E402
+
+SCORECARD_COLUMNS = ["week_start_date", "week_label", "agency_name", "operator_type", "route_count",
+                     "total_delay_obs", "avg_delay_mins", "pct_on_time", "pct_severe_delay",
+                     "reliability_score", "reliability_band"]
+EARLY_LOAD_END = 20250215     # first load: days before this key
+LATE_LOAD_START = 20250201    # second load re-delivers from this day on
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """The state of a fact at an earlier refresh (2025-03-01 12:00)."""
+    k, h = F.col("fetched_date_key"), F.col("fetched_hour")
+    return df.where((k < 20250301) | ((k == 20250301) & (h < 12)))
+
+
+def _loads(df: DataFrame):
+    k = F.col("fetched_date_key")
+    return df.where(k < EARLY_LOAD_END), df.where(k >= LATE_LOAD_START)
+
+
+_LOAD_CTES = {
+    "d_tgt": f"SELECT * FROM delays WHERE fetched_date_key < {EARLY_LOAD_END}",
+    "d_src": f"SELECT * FROM delays WHERE fetched_date_key >= {LATE_LOAD_START}",
+    "p_tgt": f"SELECT * FROM positions WHERE fetched_date_key < {EARLY_LOAD_END}",
+    "p_src": f"SELECT * FROM positions WHERE fetched_date_key >= {LATE_LOAD_START}",
+}
+
+
+@register("merge_delays", O.with_ctes(
+    O.insert_absent_sql("d_tgt", "d_src", ["trip_id", "stop_id", "fetched_at_ts"], DELAYS_SQL_COLS),
+    _LOAD_CTES))
+def q_merge_delays(spark, sf_dir):
+    tgt, src = _loads(_tv(spark, sf_dir).delays)
+    merged = MG.insert_if_absent(tgt, src, ["trip_id", "stop_id", "fetched_at_ts"],
+                                 prune_on=["fetched_date_key"])
+    return delays_out(merged)
+
+
+@register("merge_positions", O.with_ctes(
+    O.insert_absent_sql("p_tgt", "p_src", ["vehicle_id", "fetched_at_ts"], POS_SQL_COLS),
+    _LOAD_CTES))
+def q_merge_positions(spark, sf_dir):
+    tgt, src = _loads(_tv(spark, sf_dir).positions)
+    merged = MG.insert_if_absent(tgt, src, ["vehicle_id", "fetched_at_ts"],
+                                 prune_on=["fetched_date_key"])
+    return positions_out(merged)
+
+
+def _upsert_route_daily(spark, sf_dir, stale):
+    tv = _tv(spark, sf_dir)
+    target = tv.route_daily(delays=_cut(tv.delays), positions=_cut(tv.positions))
+    return MG.upsert(target, tv.route_daily(), MG.GOLD_KEYS["route_daily_performance"],
+                     MG.UPDATE_COLUMNS["route_daily_performance"], stale)
+
+
+@register("upsert_route_daily_keep", O.with_ctes(
+    O.upsert_sql("route_daily_cut", "route_daily", ["date_key", "route_id"], ROUTE_DAILY_COLUMNS,
+                 MG.UPDATE_COLUMNS["route_daily_performance"]), O.MERGE_CTES))
+def q_upsert_route_daily_keep(spark, sf_dir):
+    return _upsert_route_daily(spark, sf_dir, "keep")
+
+
+@register("upsert_route_daily_refresh", O.with_ctes(
+    O.upsert_sql("route_daily_cut", "route_daily", ["date_key", "route_id"], ROUTE_DAILY_COLUMNS,
+                 None), O.MERGE_CTES))
+def q_upsert_route_daily_refresh(spark, sf_dir):
+    return _upsert_route_daily(spark, sf_dir, "refresh")
+
+
+@register("upsert_scorecard_keep", O.with_ctes(
+    O.upsert_sql("scorecard_cut", "scorecard", ["week_start_date", "agency_name"], SCORECARD_COLUMNS,
+                 MG.UPDATE_COLUMNS["operator_weekly_scorecard"]), O.MERGE_CTES))
+def q_upsert_scorecard_keep(spark, sf_dir):
+    tv = _tv(spark, sf_dir)
+    return MG.upsert(tv.scorecard(delays=_cut(tv.delays)), tv.scorecard(),
+                     MG.GOLD_KEYS["operator_weekly_scorecard"],
+                     MG.UPDATE_COLUMNS["operator_weekly_scorecard"], "keep")
+
+
+# --- quality and JSON flattening ----------------------------------------------------
+
+from functools import reduce  # noqa: E402
+
+from ferrovia.operators import flatten as FL  # noqa: E402
+from ferrovia.operators import quality as Q  # noqa: E402
+from ferrovia.plans import testviews as TVM  # noqa: E402
+
+
+@register("null_profile", O.with_ctes("SELECT * FROM np", O.QUALITY_CTES))
+def q_null_profile(spark, sf_dir):
+    feeds = TVM.bronze_feeds(spark, sf_dir)
+    return reduce(DataFrame.unionByName,
+                  [Q.null_profile(df).select(F.lit(name).alias("feed"), "*") for name, df in feeds.items()])
+
+
+@register("validate_feeds", O.with_ctes(O.VALIDATE_SQL, O.QUALITY_CTES))
+def q_validate_feeds(spark, sf_dir):
+    return Q.validate_all(TVM.bronze_feeds(spark, sf_dir))
+
+
+@register("feed_row_counts", O.with_ctes(O.ROW_COUNTS_SQL))
+def q_feed_row_counts(spark, sf_dir):
+    return Q.feed_row_counts(TVM.bronze_feeds(spark, sf_dir))
+
+
+@register("trip_updates_flat", O.with_ctes("SELECT * FROM b_trip_updates"))
+def q_trip_updates_flat(spark, sf_dir):
+    return FL.flatten_trip_updates(TVM.trip_update_docs(spark, sf_dir))
+
+
+@register("vehicle_positions_flat", O.with_ctes("SELECT * FROM vp_flat"))
+def q_vehicle_positions_flat(spark, sf_dir):
+    return FL.flatten_vehicle_positions(TVM.vehicle_position_docs(spark, sf_dir))

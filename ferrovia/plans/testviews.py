@@ -179,8 +179,8 @@ def bronze_trip_updates(spark, sf_dir) -> DataFrame:
         F.when(F.col("l_partkey") % 89 == 0, F.lit("")).otherwise(_s("S", "l_partkey")).alias("stop_id"),
         ln.cast("int").alias("stop_sequence"),
         arr.cast("int").alias("arrival_delay_secs"),
-        (epoch + F.coalesce(arr, F.lit(0))).alias("arrival_time_unix"),
-        F.lit(0).alias("arrival_uncertainty"),
+        F.when(ln != 7, epoch + arr).alias("arrival_time_unix"),
+        F.when(ln != 7, F.lit(0)).alias("arrival_uncertainty"),
         dep.cast("int").alias("departure_delay_secs"),
         (epoch + F.coalesce(dep, F.lit(0))).alias("departure_time_unix"),
         F.lit(0).alias("departure_uncertainty"),
@@ -218,6 +218,31 @@ def bronze_vehicle_positions(spark, sf_dir) -> DataFrame:
     )
 
 
+def trip_update_docs(spark, sf_dir) -> DataFrame:
+    """Trip updates as landed JSON lines (fetched_at, value)."""
+    from ferrovia.operators.flatten import trip_update_documents
+    return trip_update_documents(bronze_trip_updates(spark, sf_dir))
+
+
+def vehicle_position_docs(spark, sf_dir) -> DataFrame:
+    """Vehicle positions as landed JSON lines; every 30th stop sequence
+    (7 mod 30) arrives without its vehicle part."""
+    from ferrovia.operators.flatten import vehicle_position_documents
+    return vehicle_position_documents(bronze_vehicle_positions(spark, sf_dir),
+                                      with_vehicle=F.col("current_stop_seq") != 7)
+
+
+def bronze_feeds(spark, sf_dir) -> dict[str, DataFrame]:
+    """Every Bronze feed of the transit views, by feed name."""
+    return {
+        "agency": bronze_agency(spark, sf_dir), "routes": bronze_routes(spark, sf_dir),
+        "stops": bronze_stops(spark, sf_dir), "trips": bronze_trips(spark, sf_dir),
+        "stop_times": bronze_stop_times(spark, sf_dir),
+        "trip_updates": bronze_trip_updates(spark, sf_dir),
+        "vehicle_positions": bronze_vehicle_positions(spark, sf_dir),
+    }
+
+
 # ---------------------------------------------------------------------------
 # Silver and Gold over the derived Bronze
 
