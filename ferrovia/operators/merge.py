@@ -128,24 +128,24 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def insert_if_absent_table(spark: SparkSession, source: DataFrame, path: str,
-                           keys: Sequence[str], partition_by: str | None = None) -> DataFrame:
+                           keys: Sequence[str], partition_by: str | None = None) -> None:
     """Append the batch rows that are absent from the table at ``path``.
 
     The target is read pruned to the batch's partitions (``partition_by`` is
     functionally dependent on the keys), so a micro-batch touches only the
-    partitions it can collide with.  Returns the inserted rows.
+    partitions it can collide with.
     """
     if not path_exists(spark, path):
         new = source
     else:
+        # the target file list is fixed when this plan is analysed, so the
+        # append below never reads its own output
         target = spark.read.parquet(path)
         new = rows_to_insert(target, source, keys, [partition_by] if partition_by else [])
-    new = materialize(new, "insert-batch")
     w = new.write.mode("append")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return new
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
