@@ -16,9 +16,8 @@ PANDAS_NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-CORRUPT = "_corrupt_record"
-# a comma outside double quotes
-_FIELD_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+EXTRA = "_extra_field"
+NULL_SENTINEL = "\u0001"
 
 
 def clean_name(name: str) -> str:
@@ -66,6 +65,7 @@ def read_feed_csv(spark: SparkSession, root: str, feed: str, null_tokens=None,
     * header names lose a BOM and surrounding blanks;
     * rows with *more* fields than the header are dropped, shorter rows are
       padded with NULL (``bad_rows='keep'`` keeps long rows truncated);
+      quoted fields may contain commas;
     * ``null_tokens`` (e.g. ``PANDAS_NA_TOKENS``) become NULL; by default only
       empty fields are NULL;
     * ``ingested_at`` (UTC ISO string, default now) is stamped on every row.
@@ -78,22 +78,22 @@ def read_feed_csv(spark: SparkSession, root: str, feed: str, null_tokens=None,
     # header names (the data read below is positional, so take names first)
     header = spark.read.option("header", True).option("inferSchema", False).csv(files).columns
     names = [clean_name(c) for c in header]
+    # one spare positional column catches rows with more fields than the
+    # header; the NULL sentinel keeps an empty spare field distinguishable
+    # from an absent one (empty data fields become NULL below instead)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))]
-                        + [StructField(CORRUPT, StringType())])
+                        + [StructField(EXTRA, StringType())])
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(files))
+           .option("nullValue", NULL_SENTINEL).csv(files))
     if bad_rows == "skip_long":
-        n_fields = F.size(F.split(F.col(CORRUPT), _FIELD_SPLIT))
-        raw = raw.where(F.col(CORRUPT).isNull() | (n_fields <= len(names)))
+        raw = raw.where(F.col(EXTRA).isNull())
     expected = FEED_COLUMNS.get(feed, {})
     present = {n: f"_c{i}" for i, n in enumerate(names)}
-    tokens = list(null_tokens) if null_tokens else []
+    tokens = sorted(set(null_tokens or []) | {""})
 
     def value(n):
         c = F.col(present[n])
-        if tokens:
-            c = F.when(~c.isin(tokens), c)
-        return c
+        return F.when(~c.isin(tokens), c)
 
     cols = []
     for n, typ in expected.items():
