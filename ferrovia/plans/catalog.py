@@ -366,3 +366,31 @@ def q_stream_hourly_window(spark, sf_dir):
                                 max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     ST.await_all([q])
     return spark.read.parquet(f"{root}/windows").select(*ST.WINDOW_COLUMNS)
+
+
+# --- static feed scan and Bronze loads -------------------------------------------
+
+from ferrovia.sources import feeds as FD  # noqa: E402
+from ferrovia.sources import lake as LK  # noqa: E402
+
+
+@register("static_feed_scan", O.with_ctes("SELECT * FROM b_stop_times"))
+def q_static_feed_scan(spark, sf_dir):
+    """Land the stop-times feed as CSV part files, scan it back by header name
+    (typed by the feed's column map) — the largest static feed."""
+    root = scratch_dir(spark, "landing-static")
+    FD.land_feed_csv(TVM.bronze_stop_times(spark, sf_dir), root, "stop_times")
+    return FD.read_feed_csv(spark, root, "stop_times", ingested_at="fixed").drop("_ingested_at")
+
+
+@register("bronze_latest_routes", O.with_ctes("SELECT * FROM b_routes"))
+def q_bronze_latest_routes(spark, sf_dir):
+    """Two weekly snapshots of the routes feed; the full-refresh load keeps
+    the latest one only (no duplicated keys on the second run)."""
+    root = scratch_dir(spark, "bronze")
+    routes = TVM.bronze_routes(spark, sf_dir)
+    older = routes.withColumn("route_long_name", F.concat(F.coalesce("route_long_name", F.lit("")), F.lit(" (old)")))
+    LK.write_snapshot(older, f"{root}/snapshots", "routes", "20250106T030000Z")
+    LK.write_snapshot(routes, f"{root}/snapshots", "routes", "20250113T030000Z")
+    LK.load_bronze_full(LK.read_bronze(spark, f"{root}/snapshots", "routes"), f"{root}/bronze/routes")
+    return spark.read.parquet(f"{root}/bronze/routes").drop("snapshot")

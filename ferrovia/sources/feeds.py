@@ -30,10 +30,13 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 
 def find_feed_files(spark: SparkSession, root: str, feed: str, first_only: bool = True) -> list[str]:
-    """Files under ``root`` (any depth) whose name ends with ``<feed>.txt``.
+    """Files of the feed member(s) under ``root`` (any depth).
 
-    Listing is metadata only (Hadoop FileSystem API).  ``first_only`` keeps
-    the first match in path order, like a feed archive lookup.
+    A member is a file whose name ends with ``<feed>.txt`` or a directory of
+    that name holding part files (a feed landed by a distributed writer, read
+    back in parallel).  Listing is metadata only (Hadoop FileSystem API).
+    ``first_only`` keeps the first member in path order, like an archive
+    lookup.
     """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(root)
@@ -41,13 +44,17 @@ def find_feed_files(spark: SparkSession, root: str, feed: str, first_only: bool
     if not fs.exists(hpath):
         return []
     it = fs.listFiles(hpath, True)
-    hits = []
+    members: dict[str, list[str]] = {}
+    suffix = f"{feed}.txt"
     while it.hasNext():
-        p = it.next().getPath().toString()
-        if p.endswith(f"{feed}.txt"):
-            hits.append(p)
-    hits.sort()
-    return hits[:1] if first_only else hits
+        path = it.next().getPath()
+        p, name, parent = path.toString(), path.getName(), path.getParent().getName()
+        if name.endswith(suffix):
+            members.setdefault(p, []).append(p)
+        elif parent.endswith(suffix) and not name.startswith(("_", ".")):
+            members.setdefault(path.getParent().toString(), []).append(p)
+    keys = sorted(members)[:1] if first_only else sorted(members)
+    return sorted(f for k in keys for f in members[k])
 
 
 def empty_feed(spark: SparkSession, feed: str) -> DataFrame:
@@ -106,6 +113,16 @@ def read_feed_csv(spark: SparkSession, root: str, feed: str, null_tokens=None,
     return raw.select(*cols, F.lit(ingested_at).alias("_ingested_at"))
 
 
+def land_feed_csv(df: DataFrame, root: str, feed: str) -> str:
+    """Write a feed as ``<root>/<feed>.txt/`` part files with headers, keeping
+    values verbatim (no blank trimming)."""
+    path = f"{root.rstrip('/')}/{feed}.txt"
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    return path
+
+
 def with_ingested_at(df: DataFrame, now: str | None = None) -> DataFrame:
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     return df.withColumn("_ingested_at", F.lit(now))
