@@ -67,17 +67,21 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
     bronze = {f: spark.read.parquet(_p(lake_root, "bronze", f))
               for f in STATIC_FEEDS if path_exists(spark, _p(lake_root, "bronze", f))}
     silver = _p(lake_root, "silver")
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     if "agency" in bronze:
-        lake.overwrite_table(dims.build_dim_agency(bronze["agency"]), f"{silver}/dim_agency")
+        lake.overwrite_table(feeds.with_audit(dims.build_dim_agency(bronze["agency"]), "_updated_at", now),
+                             f"{silver}/dim_agency")
     if "routes" in bronze:
-        lake.overwrite_table(dims.build_dim_route(bronze["routes"]), f"{silver}/dim_route")
+        lake.overwrite_table(feeds.with_audit(dims.build_dim_route(bronze["routes"]), "_updated_at", now),
+                             f"{silver}/dim_route")
     if "stops" in bronze:
-        lake.overwrite_table(dims.build_dim_stop(bronze["stops"]), f"{silver}/dim_stop")
+        lake.overwrite_table(feeds.with_audit(dims.build_dim_stop(bronze["stops"]), "_updated_at", now),
+                             f"{silver}/dim_stop")
     ensure_calendar(spark, lake_root, as_of)
     if {"stop_times", "trips", "routes"} <= set(bronze):
         sched = facts.build_scheduled_departures(bronze["stop_times"], bronze["trips"],
                                                  bronze["routes"], as_of)
-        lake.overwrite_table(sched, f"{silver}/fact_scheduled_departures")
+        lake.overwrite_table(feeds.with_audit(sched, "_loaded_at", now), f"{silver}/fact_scheduled_departures")
     return verdicts
 
 
@@ -221,7 +225,10 @@ def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
             days_filter(delays_all, _around(days, -6, 6)), d_date, rolling_mode)
             .where(F.col("date_key").isin(affected)))
     gold_root = _p(lake_root, "gold")
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     for name, df in out.items():
-        merge.upsert_table(spark, df, f"{gold_root}/{name}", merge.GOLD_KEYS[name],
-                           merge.UPDATE_COLUMNS.get(name), stale, GOLD_PARTITION[name])
+        update = merge.UPDATE_COLUMNS.get(name)
+        merge.upsert_table(spark, feeds.with_audit(df, "_refreshed_at", now), f"{gold_root}/{name}",
+                           merge.GOLD_KEYS[name], update + ["_refreshed_at"] if update else None,
+                           stale, GOLD_PARTITION[name])
     return {name: spark.read.parquet(f"{gold_root}/{name}") for name in out}

@@ -114,3 +114,20 @@ def test_stream_equals_batch(spark, tmp):
                            trigger="availableNow", refresh_gold=False)
     ST.await_all(qs)
     assert spark.read.parquet(f"{tmp}/lake/silver/fact_realtime_delays").count() == streamed.count()
+
+
+def test_dedupe_within_watermark_stream(spark, tmp):
+    import json
+    os.makedirs(f"{tmp}/land", exist_ok=True)
+    doc = {"entity": [{"id": "e", "tripUpdate": {"trip": {"tripId": "T"}, "stopTimeUpdate": [{"stopId": "S"}]}}]}
+    for i in range(2):
+        with open(f"{tmp}/land/f{i}.json", "w") as f:
+            f.write(json.dumps({"fetched_at": "20250110T080000Z", **doc}) + "\n")
+    from ferrovia.sources.realtime import stream_feed_json
+    src = stream_feed_json(spark, f"{tmp}/land", max_files_per_trigger=1)
+    fact = facts.build_realtime_delays(flatten.flatten_trip_updates(src))
+    d = ST.dedupe_within_watermark(fact, ["trip_id", "stop_id", "fetched_at_ts"])
+    q = (d.writeStream.format("parquet").option("path", f"{tmp}/out")
+         .option("checkpointLocation", f"{tmp}/chk").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp}/out").count() == 1

@@ -166,3 +166,27 @@ def test_landing_roundtrip_file_and_lines_layouts(spark, tmp):
     back = realtime.read_feed_json(spark, f"{tmp}/lines", layout="lines")
     assert back.first().fetched_at == "20250110T090000Z"
     assert flatten.flatten_trip_updates(back).count() == 3
+
+
+def test_write_sample_and_non_empty(spark, tmp):
+    from ferrovia.sources import lake
+    df = spark.range(2000).withColumnRenamed("id", "n")
+    lake.write_sample(df, f"{tmp}/sample", n=500)
+    back = spark.read.option("header", True).csv(f"{tmp}/sample")
+    assert back.count() == 500 and back.columns == ["n"]
+    assert len([f for f in os.listdir(f"{tmp}/sample") if f.endswith(".csv")]) == 1
+    assert quality.check_non_empty(df, "x").first().ok is True
+    assert quality.check_non_empty(df.limit(0), "x").first().ok is False
+
+
+def test_agency_dimension_golden_semantics(spark, tmp):
+    from ferrovia.operators import dims
+    names = {"G1": "Go-Ahead Ireland", "D1": "Bus Átha Cliath – Dublin Bus", "L1": "LUAS",
+             "B1": "Bus Éireann", "G2": "Go-Ahead Ireland", "R1": "Iarnród Éireann / Irish Rail",
+             "B2": "Bus Éireann Waterford", None: "Lone Operator"}
+    _write(f"{tmp}/feed/agency.txt", "agency_id,agency_name,agency_url,agency_timezone\n"
+           + "".join(f"{k or ''},{v},https://op.example/{i},Europe/Dublin\n" for i, (k, v) in enumerate(names.items())))
+    dim = {r.agency_id: r.operator_type for r in dims.build_dim_agency(feeds.read_feed_csv(spark, f"{tmp}/feed", "agency")).collect()}
+    assert dim == {"G1": "Go-Ahead Ireland", "D1": "Dublin Bus", "L1": "Luas", "B1": "Bus Éireann",
+                   "G2": "Go-Ahead Ireland", "R1": "Irish Rail", "B2": "Bus Éireann",
+                   "Lone Operator": "Other"}
