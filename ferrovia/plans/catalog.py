@@ -335,7 +335,7 @@ from ferrovia.sources.realtime import land_documents  # noqa: E402
 from ferrovia.streaming import realtime as ST  # noqa: E402
 
 STREAM_FILES = 8            # landing files written per feed
-STREAM_FILES_PER_TRIGGER = 2
+STREAM_FILES_PER_TRIGGER = 4   # two micro-batches
 
 
 @register("stream_realtime_delays", O.with_ctes(f"SELECT {DELAYS_SQL_COLS} FROM delays"))

@@ -145,35 +145,42 @@ def bronze_stop_times(spark, sf_dir) -> DataFrame:
     )
 
 
-def _snapshot(day_idx: Column, hour: Column, minute: Column):
-    """Snapshot instant FIRST_DAY + days + hours + minutes (UTC)."""
-    secs = day_idx * 86400 + hour * 3600 + minute * 60
-    return F.timestamp_seconds(F.lit(int(FIRST_DAY.replace(tzinfo=_dt.timezone.utc).timestamp())) + secs)
-
-
-def _stamp(ts: Column, key: Column) -> Column:
-    """Compact stamp for even keys, ISO for odd keys, junk when key % 97 == 5."""
-    return (F.when(key % 97 == 5, F.lit("ts"))
-            .when(key % 2 == 0, F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))
-            .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+class _Snapshot:
+    """Snapshot instant FIRST_DAY + days + hours + minutes (UTC), with its
+    stamp strings built from a date cast and zero-padded integers (no
+    per-row timestamp formatter)."""
+
+    def __init__(self, day_idx: Column, hour: Column, minute: Column):
+        self.day = F.date_add(F.lit(FIRST_DAY.date()), day_idx.cast("int")).cast("string")   # yyyy-MM-dd
+        self.hh = F.lpad(hour.cast("string"), 2, "0")
+        self.mi = F.lpad(minute.cast("string"), 2, "0")
+        first = int(FIRST_DAY.replace(tzinfo=_dt.timezone.utc).timestamp())
+        self.epoch = F.lit(first) + day_idx * 86400 + hour * 3600 + minute * 60
+        self.compact_day = F.regexp_replace(self.day, "-", "")
+
+    def stamp(self, key: Column) -> Column:
+        """Compact stamp for even keys, ISO for odd keys, junk when key % 97 == 5."""
+        compact = F.concat(self.compact_day, F.lit("T"), self.hh, self.mi, F.lit("00Z"))
+        iso = F.concat(self.day, F.lit("T"), self.hh, F.lit(":"), self.mi, F.lit(":00Z"))
+        return F.when(key % 97 == 5, F.lit("ts")).when(key % 2 == 0, compact).otherwise(iso)
 
 
 def bronze_trip_updates(spark, sf_dir) -> DataFrame:
     """Flattened trip updates (18 columns), one per lineitem."""
     k = F.col("l_orderkey")
     ln = F.col("l_linenumber")
-    ts = _snapshot(k % N_DAYS, F.col("l_partkey") % 24, ((k * 3 + F.col("l_suppkey")) % 12) * 5)
+    snap = _Snapshot(k % N_DAYS, F.col("l_partkey") % 24, ((k * 3 + F.col("l_suppkey")) % 12) * 5)
     arr = F.when(ln != 7, F.col("l_quantity").cast("int") * 30 - 150)
     dep = F.when(ln != 7, F.col("l_quantity").cast("int") * 30 - 150 + (ln % 3) * 20)
-    epoch = F.unix_seconds(ts)
+    epoch = snap.epoch
     return read_table(spark, sf_dir, "lineitem").select(
-        _stamp(ts, k).alias("fetched_at"),
+        snap.stamp(k).alias("fetched_at"),
         _s("E", k).alias("entity_id"),
         _s("T", k).alias("trip_id"),
         F.when(F.col("l_suppkey") % 23 == 7, F.lit("")).otherwise(_s("R", "l_suppkey")).alias("route_id"),
         (k % 2).cast("int").alias("direction_id"),
-        F.date_format(ts, "yyyyMMdd").alias("start_date"),
-        F.concat(F.lpad(F.hour(ts).cast("string"), 2, "0"), F.lit(":00:00")).alias("start_time"),
+        snap.compact_day.alias("start_date"),
+        F.concat(snap.hh, F.lit(":00:00")).alias("start_time"),
         F.when(k % 9 == 0, "ADDED").otherwise("SCHEDULED").alias("schedule_relationship"),
         _s("V", k % 40).alias("vehicle_id"),
         F.when(F.col("l_partkey") % 89 == 0, F.lit("")).otherwise(_s("S", "l_partkey")).alias("stop_id"),
@@ -192,19 +199,19 @@ def bronze_vehicle_positions(spark, sf_dir) -> DataFrame:
     """Flattened vehicle positions (18 columns), one per event."""
     e = F.col("event_id")
     u = F.col("user_id")
-    ts = _snapshot(e % N_DAYS, (e * 7) % 24, (e % 12) * 5)
+    snap = _Snapshot(e % N_DAYS, (e * 7) % 24, (e % 12) * 5)
     speed = (F.when(F.col("event_type") == "error", F.lit(None))
              .when(F.col("event_type") == "signup", F.lit(0.0))
              .otherwise(F.col("value") / 7))
     return read_table(spark, sf_dir, "events").select(
-        _stamp(ts, e).alias("fetched_at"),
+        snap.stamp(e).alias("fetched_at"),
         _s("VE", e).alias("entity_id"),
         F.when(u % N_VEHICLES == N_VEHICLES - 1, F.lit("")).otherwise(_s("V", u % N_VEHICLES)).alias("vehicle_id"),
         _s("Bus ", u % N_VEHICLES).alias("vehicle_label"),
         _s("T", u).alias("trip_id"),
         _s("R", u % 100).alias("route_id"),
         (u % 2).cast("int").alias("direction_id"),
-        F.date_format(ts, "yyyyMMdd").alias("start_date"),
+        snap.compact_day.alias("start_date"),
         ((F.lit(53000) + (e * 37) % 800).cast("double") / 1000).alias("latitude"),
         ((F.lit(-6600) + (e * 53) % 700).cast("double") / 1000).alias("longitude"),
         ((e * 11) % 360).cast("double").alias("bearing"),
@@ -212,7 +219,7 @@ def bronze_vehicle_positions(spark, sf_dir) -> DataFrame:
         (e % 30).cast("int").alias("current_stop_seq"),
         _s("S", (e * 7) % 2000).alias("current_stop_id"),
         F.lit("IN_TRANSIT_TO").alias("current_status"),
-        F.unix_seconds(ts).alias("timestamp_unix"),
+        snap.epoch.alias("timestamp_unix"),
         F.lit("UNKNOWN_CONGESTION_LEVEL").alias("congestion_level"),
         F.lit("").alias("occupancy_status"),
     )
