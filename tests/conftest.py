@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -9,12 +8,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from ferrovia.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="ferrovia-test-ckpt-")
-    s = get_session("local[4]", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": ckpt, "spark.default.parallelism": "4"})
+    from ferrovia.session import checkpoint_root, get_session
+    s = get_session("local[4]", shuffle_partitions=4, extra={"spark.default.parallelism": "4"})
     s.sparkContext.setLogLevel("ERROR")
-    s.sparkContext.setCheckpointDir(ckpt)
+    checkpoint_root(s)          # the session's shared folder; a private one only when unset
     yield s
     s.stop()
 
