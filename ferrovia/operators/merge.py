@@ -153,22 +153,24 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
                  partition_by: str | None = None, check_unique: bool = True) -> None:
     """Upsert ``source`` into the Parquet table at ``path``.
 
-    Only the partitions present in the source are read and rewritten (dynamic
-    partition overwrite); the merged result is first written to a scratch
-    table in the shared checkpoint folder, so the target is never read and
-    overwritten by the same job.
+    The source is computed once and staged in the shared checkpoint folder;
+    the key check and the merge both read the staged copy (no second
+    evaluation of an expensive aggregate).  Only the target partitions
+    present in the source are read and rewritten (dynamic partition
+    overwrite), and the merged rows are staged too, so the target is never
+    read and overwritten by the same job.
     """
+    staged = materialize(source, "upsert-source")
     if check_unique:
-        assert_unique(source, keys)
+        assert_unique(staged, keys)
     if not path_exists(spark, path):
-        merged = source
+        merged = staged
     else:
         target = spark.read.parquet(path)
         if partition_by:
-            target = target.join(source.select(partition_by).distinct(), partition_by, "left_semi")
-        merged = upsert(target, source, keys, update_cols, stale)
-    staged = materialize(merged, "upsert-stage")
-    w = staged.write.mode("overwrite")
+            target = target.join(staged.select(partition_by).distinct(), partition_by, "left_semi")
+        merged = materialize(upsert(target, staged, keys, update_cols, stale), "upsert-merged")
+    w = merged.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
