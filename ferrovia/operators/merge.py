@@ -156,9 +156,11 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     The source is computed once and staged in the shared checkpoint folder;
     the key check and the merge both read the staged copy (no second
     evaluation of an expensive aggregate).  Only the target partitions
-    present in the source are read and rewritten (dynamic partition
-    overwrite), and the merged rows are staged too, so the target is never
-    read and overwritten by the same job.
+    present in the source are read and rewritten: with dynamic partition
+    overwrite the new files go to a staging folder and replace the touched
+    partitions only at job commit, after every reading task has finished, so
+    a retried task still sees the old files.  An unpartitioned target is
+    replaced whole, so its merged rows are staged first.
     """
     staged = materialize(source, "upsert-source")
     if check_unique:
@@ -169,7 +171,9 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
         target = spark.read.parquet(path)
         if partition_by:
             target = target.join(staged.select(partition_by).distinct(), partition_by, "left_semi")
-        merged = materialize(upsert(target, staged, keys, update_cols, stale), "upsert-merged")
+        merged = upsert(target, staged, keys, update_cols, stale)
+        if not partition_by:
+            merged = materialize(merged, "upsert-merged")
     w = merged.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

@@ -16,6 +16,7 @@ touches (dynamic partition overwrite).
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -178,7 +179,8 @@ def _table(spark, path, schema=None):
 
 
 def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
-             stale: str = "refresh", rolling_mode: str = "calendar") -> dict[str, DataFrame]:
+             stale: str = "refresh", rolling_mode: str = "calendar",
+             parallel_writes: int = 6) -> dict[str, DataFrame]:
     """Recompute Gold for ``days`` (all days when None) and upsert it.
 
     ``days`` bounds the fact scans by partition pruning on
@@ -226,9 +228,16 @@ def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
             .where(F.col("date_key").isin(affected)))
     gold_root = _p(lake_root, "gold")
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    for name, df in out.items():
+
+    def write(name: str) -> None:
         update = merge.UPDATE_COLUMNS.get(name)
-        merge.upsert_table(spark, feeds.with_audit(df, "_refreshed_at", now), f"{gold_root}/{name}",
-                           merge.GOLD_KEYS[name], update + ["_refreshed_at"] if update else None,
-                           stale, GOLD_PARTITION[name])
+        merge.upsert_table(spark, feeds.with_audit(out[name], "_refreshed_at", now),
+                           f"{gold_root}/{name}", merge.GOLD_KEYS[name],
+                           update + ["_refreshed_at"] if update else None, stale, GOLD_PARTITION[name])
+
+    # the six tables are independent: submit their jobs concurrently so the
+    # cluster works on all of them instead of idling between small jobs
+    with ThreadPoolExecutor(max_workers=min(parallel_writes, len(out))) as pool:
+        for f in [pool.submit(write, name) for name in out]:
+            f.result()
     return {name: spark.read.parquet(f"{gold_root}/{name}") for name in out}
