@@ -394,3 +394,48 @@ def q_bronze_latest_routes(spark, sf_dir):
     LK.write_snapshot(routes, f"{root}/snapshots", "routes", "20250113T030000Z")
     LK.load_bronze_full(LK.read_bronze(spark, f"{root}/snapshots", "routes"), f"{root}/bronze/routes")
     return spark.read.parquet(f"{root}/bronze/routes").drop("snapshot")
+
+
+# --- calendar dimensions over observed days --------------------------------------
+
+_DATE_COLS = ", ".join(["date_key", "full_date", "year", "month", "month_name", "day_of_month",
+                        "day_of_week", "day_name", "quarter", "week_number", "is_weekend",
+                        "is_bank_holiday", "period_label"])
+
+
+def _days(df: DataFrame) -> DataFrame:
+    return df.select(F.col("fetched_date_key").alias("date_key")).distinct()
+
+
+@register("dim_date_observed", O.with_ctes(
+    "SELECT * FROM dim_date WHERE date_key IN (SELECT fetched_date_key FROM delays)"))
+def q_dim_date_observed(spark, sf_dir):
+    """Calendar attributes of every day present in the delay fact."""
+    tv = _tv(spark, sf_dir)
+    return tv.dim_date.join(_days(tv.delays), "date_key", "left_semi")
+
+
+@register("dim_time_of_day_observed", O.with_ctes(
+    "SELECT * FROM dim_tod WHERE time_key IN "
+    "(SELECT CAST(hour(fetched_at_ts) * 100 + minute(fetched_at_ts) AS INTEGER) FROM delays)"))
+def q_dim_time_of_day_observed(spark, sf_dir):
+    """Time-of-day rows of every snapshot minute present in the delay fact."""
+    tv = _tv(spark, sf_dir)
+    keys = tv.delays.select((F.hour("fetched_at_ts") * 100 + F.minute("fetched_at_ts"))
+                            .cast("int").alias("time_key")).distinct()
+    return tv.dim_tod.join(keys, "time_key", "left_semi")
+
+
+@register("insert_absent_dates", O.with_ctes(
+    O.insert_absent_sql("dd_tgt", "dd_src", ["date_key"], _DATE_COLS),
+    {**_LOAD_CTES,
+     "dd_tgt": "SELECT * FROM dim_date WHERE date_key IN (SELECT fetched_date_key FROM d_tgt)",
+     "dd_src": "SELECT * FROM dim_date WHERE date_key IN (SELECT fetched_date_key FROM d_src)"}))
+def q_insert_absent_dates(spark, sf_dir):
+    """Calendar rows of the first load's days, plus the second load's days
+    that are not there yet (insert-if-absent on date_key)."""
+    tv = _tv(spark, sf_dir)
+    early, late = _loads(tv.delays)
+    tgt = tv.dim_date.join(_days(early), "date_key", "left_semi")
+    src = tv.dim_date.join(_days(late), "date_key", "left_semi")
+    return MG.insert_if_absent(tgt, src, ["date_key"])
