@@ -47,11 +47,6 @@ def build_scheduled_departures(stop_times: DataFrame, trips: DataFrame, routes:
             ))
 
 
-def _fetch_columns(stamp_col: str = "fetched_at"):
-    ts = T.parse_snapshot_ts(stamp_col)
-    return ts
-
-
 def build_realtime_delays(trip_updates: DataFrame) -> DataFrame:
     """Typed delay fact from flattened trip updates.
 
@@ -59,7 +54,7 @@ def build_realtime_delays(trip_updates: DataFrame) -> DataFrame:
     does not parse are dropped (the column is NOT NULL in the model), and date
     key and hour derive from the parsed instant.
     """
-    ts = _fetch_columns()
+    ts = T.parse_snapshot_ts("fetched_at")
     return (trip_updates
             .select(ts.alias("fetched_at_ts"), "trip_id", "route_id", "stop_id",
                     "stop_sequence", "direction_id", "vehicle_id", "arrival_delay_secs",
@@ -79,7 +74,7 @@ def build_realtime_delays(trip_updates: DataFrame) -> DataFrame:
 
 
 def build_vehicle_positions(positions: DataFrame) -> DataFrame:
-    ts = _fetch_columns()
+    ts = T.parse_snapshot_ts("fetched_at")
     return (positions
             .select(ts.alias("fetched_at_ts"), "vehicle_id", "vehicle_label", "trip_id",
                     "route_id", "direction_id", "latitude", "longitude", "bearing",

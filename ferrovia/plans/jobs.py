@@ -22,7 +22,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.functions import timeparse as T
 from ferrovia.operators import dims, facts, gold, merge, quality
 from ferrovia.session import apply_conf, path_exists
 from ferrovia.sources import feeds, lake
