@@ -279,13 +279,23 @@ def route_type_summary(delays: DataFrame, dim_route: DataFrame, positions: DataF
     sums = ["n", "arr_sum", "arr_n", _band_col("On-Time")]
     by_type = (part.join(types, "route_id").groupBy("date_key", "route_type_desc")
                .agg(F.count(F.lit(1)).alias("route_count"), *_merge_partials(sums)))
+    # de-duplicate to (day, route, trip) map-side before the dimension join,
+    # so a hot route carries one row per trip, not one per observation
     trips = (delays.select(F.col("fetched_date_key").alias("date_key"), "route_id", "trip_id")
+             .distinct()
              .join(types, "route_id")
              .groupBy("date_key", "route_type_desc")
              .agg(F.count_distinct("trip_id").alias("trip_count")))
-    vp = (moving_vehicle_stats(positions.join(types, "route_id"),
-                               ["fetched_date_key", "route_type_desc"])
-          .withColumnRenamed("fetched_date_key", "date_key"))
+    # moving positions reduced to (day, route, vehicle) km/h partial sums first
+    kmh = M.speed_kmh("speed_mps")
+    per_vehicle = (positions
+                   .where(F.col("speed_mps").isNotNull() & (F.col("speed_mps") > 0))
+                   .groupBy(F.col("fetched_date_key").alias("date_key"), "route_id", "vehicle_id")
+                   .agg(F.sum(kmh).alias("kmh_sum"), F.count(kmh).alias("kmh_n")))
+    vp = (per_vehicle.join(types, "route_id")
+          .groupBy("date_key", "route_type_desc")
+          .agg(F.count_distinct("vehicle_id").alias("active_vehicles"),
+               M.kmh_from_sums(F.sum("kmh_sum"), F.sum("kmh_n")).alias("avg_speed_kmh")))
     out = (by_type.join(trips, ["date_key", "route_type_desc"], "left")
            .join(vp, ["date_key", "route_type_desc"], "left"))
     return out.select(
