@@ -79,3 +79,23 @@ def test_insert_if_absent_table_and_ensure_built(spark, tmp):
     merge.ensure_built(spark, f"{tmp}/once", build)
     merge.ensure_built(spark, f"{tmp}/once", build)
     assert len(calls) == 1
+
+
+def test_insert_if_absent_idempotent_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    keys = st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b", ""])), max_size=8)
+
+    @settings(max_examples=8, deadline=None)
+    @given(keys, keys)
+    def check(t, s):
+        tgt = spark.createDataFrame(t, "k int, v string")
+        src = spark.createDataFrame(s, "k int, v string")
+        once = merge.insert_if_absent(tgt, src, ["k", "v"])
+        twice = merge.insert_if_absent(once, src, ["k", "v"])
+        assert rows(once) == rows(twice)
+        # every source key is present afterwards, target rows are untouched
+        assert {r for r in s} <= {tuple(r) for r in once.collect()}
+        assert len(rows(once)) == len(t) + len([x for x in s if x not in set(t)])
+
+    check()
