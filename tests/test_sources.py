@@ -190,3 +190,18 @@ def test_agency_dimension_golden_semantics(spark, tmp):
     assert dim == {"G1": "Go-Ahead Ireland", "D1": "Dublin Bus", "L1": "Luas", "B1": "Bus Éireann",
                    "G2": "Go-Ahead Ireland", "R1": "Irish Rail", "B2": "Bus Éireann",
                    "Lone Operator": "Other"}
+
+
+def test_streaming_file_layout_and_unquoted_numbers(spark, tmp):
+    doc = {"entity": [{"id": "e", "tripUpdate": {"trip": {"tripId": "T"}, "stopTimeUpdate": [
+        {"stopId": "S", "arrival": {"delay": 5, "time": 1736500000}}]}}]}
+    for stamp in ("20250110T080000Z", "20250110T080100Z"):
+        _write(f"{tmp}/land/trip_updates_{stamp}.json", json.dumps(doc))
+    src = realtime.stream_feed_json(spark, f"{tmp}/land", layout="file", max_files_per_trigger=1)
+    flat = flatten.flatten_trip_updates(src)
+    q = (flat.writeStream.format("parquet").option("path", f"{tmp}/out")
+         .option("checkpointLocation", f"{tmp}/chk").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp}/out").collect()
+    assert sorted(r.fetched_at for r in out) == ["20250110T080000Z", "20250110T080100Z"]
+    assert {r.arrival_time_unix for r in out} == {1736500000}     # unquoted 64-bit number accepted
