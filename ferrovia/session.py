@@ -22,8 +22,16 @@ REQUIRED_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "ferrovia", extra: dict | None = None) -> SparkSession:
-    """Build (or fetch) a session with the engine's required settings."""
+                app_name: str = "ferrovia", extra: dict | None = None,
+                initial_partitions: int | None = None,
+                advisory_partition_bytes: int | None = None) -> SparkSession:
+    """Build (or fetch) a session with the engine's required settings.
+
+    On a cluster, ``initial_partitions`` (AQE's starting shuffle width, e.g.
+    input bytes / 128 MB) and ``advisory_partition_bytes`` (the size AQE
+    coalesces towards) size shuffles to the data; AQE then merges small
+    partitions and splits skewed ones at runtime.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -32,6 +40,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
+    if advisory_partition_bytes:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(advisory_partition_bytes)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
