@@ -46,12 +46,13 @@ def _p(lake_root: str, *parts: str) -> str:
 
 
 def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp: str | None = None,
-               null_tokens=None) -> DataFrame:
+               null_tokens=None, raise_on_fail: bool = False) -> DataFrame:
     """Landing CSV feeds -> validated snapshots -> Bronze (latest snapshot)
     -> Silver dimensions and the scheduled-departure fact.
 
     Good feeds are written even when another feed fails; the returned verdict
-    frame (one row per feed) tells which failed.
+    frame (one row per feed) tells which failed, and ``raise_on_fail`` turns a
+    failed feed into an error after everything else has been written.
     """
     apply_conf(spark)
     stamp = stamp or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
@@ -82,6 +83,8 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
         sched = facts.build_scheduled_departures(bronze["stop_times"], bronze["trips"],
                                                  bronze["routes"], as_of)
         lake.overwrite_table(feeds.with_audit(sched, "_loaded_at", now), f"{silver}/fact_scheduled_departures")
+    if raise_on_fail and failed:
+        raise RuntimeError(f"static feeds failed validation: {sorted(failed)}")
     return verdicts
 
 

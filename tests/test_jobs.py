@@ -63,8 +63,11 @@ def test_run_static_from_csv_feeds(spark, tmp):
     assert rows(written.drop("_updated_at")) == rows(tv.dim_route)
     assert spark.read.parquet(f"{silver}/fact_scheduled_departures").count() == tv.sched.count()
     assert spark.read.parquet(f"{silver}/dim_date").count() == 121
-    # second weekly run: latest snapshot only, no duplicated keys
-    jobs.run_static(spark, landing, f"{tmp}/lake", TV.AS_OF)
+    # second weekly run: latest snapshot only, no duplicated keys; a failed
+    # feed (calendar is absent) is an error once the good feeds are written
+    import pytest
+    with pytest.raises(RuntimeError, match="calendar"):
+        jobs.run_static(spark, landing, f"{tmp}/lake", TV.AS_OF, raise_on_fail=True)
     assert spark.read.parquet(f"{tmp}/lake/bronze/routes").count() == tv.dim_route.count()
 
 
