@@ -344,9 +344,10 @@ def q_stream_realtime_delays(spark, sf_dir):
     (several micro-batches), read the Silver delay fact it built.  Equal to
     ``realtime_delays``: batch and stream give the same table."""
     root = scratch_dir(spark, "stream-rt")
-    docs = TVM.trip_update_docs(spark, sf_dir)
-    trip = F.get_json_object("value", "$.entity[0].tripUpdate.trip.tripId")
-    land_documents(docs.repartition(STREAM_FILES, trip), f"{root}/landing/trip_updates")
+    # rows hash-partitioned by trip: the document grouping (keys include the
+    # trip) reuses that partitioning, and every trip lands in exactly one file
+    bronze = TVM.bronze_trip_updates(spark, sf_dir).repartition(STREAM_FILES, "trip_id")
+    land_documents(FL.trip_update_documents(bronze), f"{root}/landing/trip_updates")
     qs = ST.start_realtime(spark, f"{root}/landing/trip_updates", None, f"{root}/lake",
                            f"{root}/checkpoints", trigger="availableNow", refresh_gold=False,
                            max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
