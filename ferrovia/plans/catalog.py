@@ -440,3 +440,18 @@ def q_insert_absent_dates(spark, sf_dir):
     tgt = tv.dim_date.join(_days(early), "date_key", "left_semi")
     src = tv.dim_date.join(_days(late), "date_key", "left_semi")
     return MG.insert_if_absent(tgt, src, ["date_key"])
+
+
+@register("stream_hourly_delays", O.with_ctes(O.STREAM_DELAY_WINDOW_SQL))
+def q_stream_hourly_delays(spark, sf_dir):
+    """Streaming form of the hourly pattern: event-time hourly windows over
+    streamed trip updates (watermark wide enough for the back-filled,
+    unordered landing files), upserted per micro-batch."""
+    root = scratch_dir(spark, "stream-delay-win")
+    bronze = TVM.bronze_trip_updates(spark, sf_dir).repartition(STREAM_FILES, "trip_id")
+    land_documents(FL.trip_update_documents(bronze), f"{root}/landing/trip_updates")
+    q = ST.start_hourly_delay_windows(spark, f"{root}/landing/trip_updates", f"{root}/windows",
+                                      f"{root}/checkpoint", trigger="availableNow", watermark="70 days",
+                                      max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    ST.await_all([q])
+    return spark.read.parquet(f"{root}/windows").select(*ST.DELAY_WINDOW_COLUMNS)

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"stream_realtime_delays", "stream_hourly_window"}
+SLOW = {"stream_realtime_delays", "stream_hourly_window", "stream_hourly_delays"}
 
 
 @pytest.fixture(scope="module")
