@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrovia.session import path_exists
-from ferrovia.sources.lake import materialize
+from ferrovia.sources.lake import staged as staged_table
 
 # Columns each Gold upsert refreshes on a key match (the rest keep the stored
 # value).  FIXED VALUES — the update lists of the source system's merges.
@@ -162,19 +162,23 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     a retried task still sees the old files.  An unpartitioned target is
     replaced whole, so its merged rows are staged first.
     """
-    staged = materialize(source, "upsert-source")
-    if check_unique:
-        assert_unique(staged, keys)
-    if not path_exists(spark, path):
-        merged = staged
-    else:
+    with staged_table(source, "upsert-source") as src:
+        if check_unique:
+            assert_unique(src, keys)
+        if not path_exists(spark, path):
+            _write(src, path, partition_by)
+            return
         target = spark.read.parquet(path)
         if partition_by:
-            target = target.join(staged.select(partition_by).distinct(), partition_by, "left_semi")
-        merged = upsert(target, staged, keys, update_cols, stale)
-        if not partition_by:
-            merged = materialize(merged, "upsert-merged")
-    w = merged.write.mode("overwrite")
+            target = target.join(src.select(partition_by).distinct(), partition_by, "left_semi")
+            _write(upsert(target, src, keys, update_cols, stale), path, partition_by)
+        else:
+            with staged_table(upsert(target, src, keys, update_cols, stale), "upsert-merged") as merged:
+                _write(merged, path, None)
+
+
+def _write(df: DataFrame, path: str, partition_by: str | None) -> None:
+    w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

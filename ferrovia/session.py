@@ -93,3 +93,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
 
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete a folder this engine created (staging tables)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.session import path_exists, scratch_dir
+from ferrovia.session import delete_path, path_exists, scratch_dir
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -31,6 +31,22 @@ def materialize(df: DataFrame, name: str, partition_by: str | list[str] | None =
     return spark.read.parquet(path)
 
 
+def staged(df: DataFrame, name: str, partition_by=None):
+    """Context manager: ``materialize`` into a fresh scratch table and delete
+    that table on exit (after the caller's writes that read it committed)."""
+    from contextlib import contextmanager
+
+    @contextmanager
+    def _cm():
+        spark = df.sparkSession
+        path = scratch_dir(spark, name)
+        try:
+            yield materialize(df, name, partition_by, path=path)
+        finally:
+            delete_path(spark, path)
+    return _cm()
+
+
 def write_snapshot(df: DataFrame, root: str, feed: str, stamp: str) -> str:
     """One Parquet folder per feed and snapshot stamp (``snapshot=<stamp>``)."""
     path = f"{root.rstrip('/')}/{feed}/snapshot={stamp}"
