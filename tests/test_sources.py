@@ -205,3 +205,27 @@ def test_streaming_file_layout_and_unquoted_numbers(spark, tmp):
     out = spark.read.parquet(f"{tmp}/out").collect()
     assert sorted(r.fetched_at for r in out) == ["20250110T080000Z", "20250110T080100Z"]
     assert {r.arrival_time_unix for r in out} == {1736500000}     # unquoted 64-bit number accepted
+
+
+def test_first_member_lookup_and_header_cleanup(spark, tmp):
+    _write(f"{tmp}/feed/a/stops.txt", "stop_id\nFIRST\n")
+    _write(f"{tmp}/feed/b/stops.txt", "stop_id\nSECOND\n")
+    files = feeds.find_feed_files(spark, f"{tmp}/feed", "stops")
+    assert len(files) == 1 and files[0].endswith("a/stops.txt")
+    assert len(feeds.find_feed_files(spark, f"{tmp}/feed", "stops", first_only=False)) == 2
+    assert [r.stop_id for r in feeds.read_feed_csv(spark, f"{tmp}/feed", "stops").collect()] == ["FIRST"]
+    assert feeds.find_feed_files(spark, f"{tmp}/nowhere", "stops") == []
+    df = spark.createDataFrame([(1, 2)], ["﻿a", " b "])
+    assert feeds.clean_columns(df).columns == ["a", "b"]
+
+
+def test_unparsed_stamps_are_counted_and_dropped(spark):
+    from ferrovia.operators import facts
+    raw = spark.createDataFrame([("20250110T080000Z", "T", 5), ("junk", "T", 6), (None, "T", 7)],
+                                "fetched_at string, trip_id string, arrival_delay_secs int")
+    raw = raw.select("*", *[__import__("pyspark.sql.functions", fromlist=["lit"]).lit(None).cast(t).alias(c)
+                            for c, t in [("route_id", "string"), ("stop_id", "string"), ("stop_sequence", "int"),
+                                         ("direction_id", "int"), ("vehicle_id", "string"),
+                                         ("departure_delay_secs", "int"), ("schedule_relationship", "string")]])
+    assert facts.unparsed_stamp_count(raw).first().dropped_rows == 2
+    assert facts.build_realtime_delays(raw).count() == 1
