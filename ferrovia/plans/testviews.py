@@ -331,22 +331,55 @@ class TransitViews:
         return self._silver(facts.build_vehicle_positions(self.bronze_vehicle_positions),
                             "fact_vehicle_positions", "fetched_date_key")
 
+    # Gold: the default aggregates are shared like stored Gold tables (views
+    # read them); variants with substituted inputs are computed fresh.
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist == "cache" else df
+
+    @cached_property
+    def _route_daily(self):
+        return self._keep(gold.route_daily_performance(self.delays, self.dim_route, self.dim_agency,
+                                                       self.sched, self.positions))
+
     def route_daily(self, delays=None, positions=None):
+        if delays is None and positions is None:
+            return self._route_daily
         return gold.route_daily_performance(delays or self.delays, self.dim_route, self.dim_agency,
                                             self.sched, positions or self.positions)
 
+    @cached_property
+    def _hotspots(self):
+        return self._keep(gold.stop_delay_hotspot(self.delays, self.dim_stop))
+
     def hotspots(self):
-        return gold.stop_delay_hotspot(self.delays, self.dim_stop)
+        return self._hotspots
+
+    @cached_property
+    def _hourly(self):
+        return self._keep(gold.hourly_network_pattern(self.delays, self.dim_tod, self.dim_date,
+                                                      self.sched, self.positions))
 
     def hourly(self):
-        return gold.hourly_network_pattern(self.delays, self.dim_tod, self.dim_date,
-                                           self.sched, self.positions)
+        return self._hourly
+
+    @cached_property
+    def _scorecard(self):
+        return self._keep(gold.operator_weekly_scorecard(self.delays, self.dim_route,
+                                                         self.dim_agency, self.dim_date))
 
     def scorecard(self, delays=None):
-        return gold.operator_weekly_scorecard(delays or self.delays, self.dim_route,
-                                              self.dim_agency, self.dim_date)
+        if delays is None:
+            return self._scorecard
+        return gold.operator_weekly_scorecard(delays, self.dim_route, self.dim_agency, self.dim_date)
+
+    @cached_property
+    def _trend(self):
+        return self._keep(gold.delay_trend_daily(self.delays, self.dim_date, "calendar"))
 
     def trend(self, mode="calendar"):
+        if mode == "calendar":
+            return self._trend
         return gold.delay_trend_daily(self.delays, self.dim_date, mode)
 
     def type_summary(self):
