@@ -331,11 +331,9 @@ def q_vehicle_positions_flat(spark, sf_dir):
 # --- streaming ------------------------------------------------------------------
 
 from ferrovia.session import scratch_dir  # noqa: E402
-from ferrovia.sources.realtime import land_documents  # noqa: E402
 from ferrovia.streaming import realtime as ST  # noqa: E402
 
-STREAM_FILES = 8            # landing files written per feed
-STREAM_FILES_PER_TRIGGER = 4   # two micro-batches
+STREAM_FILES_PER_TRIGGER = 4   # 8 landed files -> two micro-batches
 
 
 @register("stream_realtime_delays", O.with_ctes(f"SELECT {DELAYS_SQL_COLS} FROM delays"))
@@ -344,11 +342,8 @@ def q_stream_realtime_delays(spark, sf_dir):
     (several micro-batches), read the Silver delay fact it built.  Equal to
     ``realtime_delays``: batch and stream give the same table."""
     root = scratch_dir(spark, "stream-rt")
-    # rows hash-partitioned by trip: the document grouping (keys include the
-    # trip) reuses that partitioning, and every trip lands in exactly one file
-    bronze = TVM.bronze_trip_updates(spark, sf_dir).repartition(STREAM_FILES, "trip_id")
-    land_documents(FL.trip_update_documents(bronze), f"{root}/landing/trip_updates")
-    qs = ST.start_realtime(spark, f"{root}/landing/trip_updates", None, f"{root}/lake",
+    landing = _tv(spark, sf_dir).trip_update_landing
+    qs = ST.start_realtime(spark, landing, None, f"{root}/lake",
                            f"{root}/checkpoints", trigger="availableNow", refresh_gold=False,
                            max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     ST.await_all(qs)
@@ -360,9 +355,7 @@ def q_stream_hourly_window(spark, sf_dir):
     """Event-time hourly windows over streamed vehicle positions (watermark
     wide enough for the back-filled, unordered landing files)."""
     root = scratch_dir(spark, "stream-win")
-    docs = TVM.vehicle_position_docs(spark, sf_dir)
-    land_documents(docs.repartition(STREAM_FILES), f"{root}/landing/vehicle_positions")
-    q = ST.start_hourly_windows(spark, f"{root}/landing/vehicle_positions", f"{root}/windows",
+    q = ST.start_hourly_windows(spark, _tv(spark, sf_dir).vehicle_position_landing, f"{root}/windows",
                                 f"{root}/checkpoint", trigger="availableNow", watermark="70 days",
                                 max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     ST.await_all([q])
@@ -448,9 +441,7 @@ def q_stream_hourly_delays(spark, sf_dir):
     streamed trip updates (watermark wide enough for the back-filled,
     unordered landing files), upserted per micro-batch."""
     root = scratch_dir(spark, "stream-delay-win")
-    bronze = TVM.bronze_trip_updates(spark, sf_dir).repartition(STREAM_FILES, "trip_id")
-    land_documents(FL.trip_update_documents(bronze), f"{root}/landing/trip_updates")
-    q = ST.start_hourly_delay_windows(spark, f"{root}/landing/trip_updates", f"{root}/windows",
+    q = ST.start_hourly_delay_windows(spark, _tv(spark, sf_dir).trip_update_landing, f"{root}/windows",
                                       f"{root}/checkpoint", trigger="availableNow", watermark="70 days",
                                       max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     ST.await_all([q])

@@ -33,6 +33,7 @@ AGENCY_PREFIXES = [
     "Transport for Ireland", "Bus Átha Cliath – Dublin Bus", "Coach express",
 ]
 N_TRIP_ROUTES = 120                     # trips use routes R0..R119
+LANDING_FILES = 8                       # files per landed realtime feed
 N_VEHICLES = 50
 
 
@@ -331,6 +332,29 @@ class TransitViews:
         return self._silver(facts.build_vehicle_positions(self.bronze_vehicle_positions),
                             "fact_vehicle_positions", "fetched_date_key")
 
+    # Landed realtime documents (JSON lines), shared by the streaming queries
+    # of a session; each stream keeps its own checkpoint and output.
+
+    @cached_property
+    def trip_update_landing(self) -> str:
+        from ferrovia.operators.flatten import trip_update_documents
+        from ferrovia.session import scratch_dir
+        from ferrovia.sources.realtime import land_documents
+        path = scratch_dir(self.spark, "landing-trip-updates")
+        # rows hash-partitioned by trip: the document grouping (keys include
+        # the trip) reuses that partitioning, and each trip lands in one file
+        rows = bronze_trip_updates(self.spark, self.sf_dir).repartition(LANDING_FILES, "trip_id")
+        land_documents(trip_update_documents(rows), path)
+        return path
+
+    @cached_property
+    def vehicle_position_landing(self) -> str:
+        from ferrovia.session import scratch_dir
+        from ferrovia.sources.realtime import land_documents
+        path = scratch_dir(self.spark, "landing-vehicle-positions")
+        land_documents(vehicle_position_docs(self.spark, self.sf_dir).repartition(LANDING_FILES), path)
+        return path
+
     # Gold: the default aggregates are shared like stored Gold tables (views
     # read them); variants with substituted inputs are computed fresh.
 
