@@ -54,6 +54,16 @@ def kmh_from_sums(sum_kmh, n) -> Column:
     return (_col(sum_kmh) / _nz(_col(n).cast("decimal(20,0)"))).cast(KMH)
 
 
+def distinct_count(c, approx_rsd: float | None = None) -> Column:
+    """Exact distinct count, or a HyperLogLog++ estimate with relative
+    standard deviation ``approx_rsd`` (mergeable sketches: no shuffle of the
+    distinct values themselves, constant memory per group)."""
+    col = _col(c)
+    if approx_rsd is None:
+        return F.count_distinct(col)
+    return F.approx_count_distinct(col, approx_rsd)
+
+
 # Aggregate shorthands for one-level groupings ------------------------------
 
 def count_if(cond: Column) -> Column:

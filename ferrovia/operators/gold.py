@@ -56,22 +56,24 @@ def _merge_partials(cols) -> list[Column]:
     return [F.sum(c).alias(c) for c in cols]
 
 
-def moving_vehicle_stats(positions: DataFrame, keys: list[str]) -> DataFrame:
+def moving_vehicle_stats(positions: DataFrame, keys: list[str],
+                         approx_rsd: float | None = None) -> DataFrame:
     """Distinct moving vehicles and average km/h (per-row rounded) per key.
 
-    Only positions with a known, positive speed count.
+    Only positions with a known, positive speed count.  ``approx_rsd``
+    switches the distinct count to a HyperLogLog++ estimate.
     """
     kmh = M.speed_kmh("speed_mps")
     return (positions
             .where(F.col("speed_mps").isNotNull() & (F.col("speed_mps") > 0))
             .groupBy(*keys)
-            .agg(F.count_distinct("vehicle_id").alias("active_vehicles"),
+            .agg(M.distinct_count("vehicle_id", approx_rsd).alias("active_vehicles"),
                  M.kmh_from_sums(F.sum(kmh), F.count(kmh)).alias("avg_speed_kmh")))
 
 
-def schedule_by_route(sched: DataFrame) -> DataFrame:
+def schedule_by_route(sched: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     return sched.groupBy("route_id").agg(
-        F.count_distinct("trip_id").alias("total_scheduled_trips"),
+        M.distinct_count("trip_id", approx_rsd).alias("total_scheduled_trips"),
         F.count("stop_id").alias("total_scheduled_stops"))
 
 
@@ -92,12 +94,14 @@ ROUTE_DAILY_COLUMNS = [
 
 
 def route_daily_performance(delays: DataFrame, dim_route: DataFrame, dim_agency: DataFrame,
-                            sched: DataFrame, positions: DataFrame) -> DataFrame:
+                            sched: DataFrame, positions: DataFrame,
+                            approx_rsd: float | None = None) -> DataFrame:
     """One row per (day, known route): volumes, delay averages, band shares,
     worst delay, scheduled volume and moving-vehicle activity.
 
     Early and Unknown observations count in the denominator of the four band
-    percentages but in none of the numerators.
+    percentages but in none of the numerators.  Distinct counts are exact
+    unless ``approx_rsd`` asks for HyperLogLog++ estimates.
     """
     bands = ("On-Time", "Minor", "Moderate", "Severe")
     part = (delays.groupBy(F.col("fetched_date_key").alias("date_key"), "route_id")
@@ -105,11 +109,11 @@ def route_daily_performance(delays: DataFrame, dim_route: DataFrame, dim_agency:
     routes = dim_route.select("route_id", "agency_id", "route_short_name",
                               "route_long_name", "route_type_desc")
     agencies = dim_agency.select("agency_id", "agency_name")
-    vp = (moving_vehicle_stats(positions, ["route_id", "fetched_date_key"])
+    vp = (moving_vehicle_stats(positions, ["route_id", "fetched_date_key"], approx_rsd)
           .withColumnRenamed("fetched_date_key", "date_key"))
     out = (part.join(routes, "route_id")
            .join(agencies, "agency_id", "left")
-           .join(schedule_by_route(sched), "route_id", "left")
+           .join(schedule_by_route(sched, approx_rsd), "route_id", "left")
            .join(vp, ["route_id", "date_key"], "left"))
     return out.select(
         "date_key", "route_id", "route_short_name", "route_long_name", "agency_name",
@@ -167,7 +171,8 @@ def stop_delay_hotspot(delays: DataFrame, dim_stop: DataFrame) -> DataFrame:
 # A3
 
 def hourly_network_pattern(delays: DataFrame, dim_tod: DataFrame, dim_date: DataFrame,
-                           sched: DataFrame, positions: DataFrame) -> DataFrame:
+                           sched: DataFrame, positions: DataFrame,
+                           approx_rsd: float | None = None) -> DataFrame:
     part = (delays.groupBy(F.col("fetched_date_key").alias("date_key"),
                            F.col("fetched_hour").alias("hour_of_day"))
             .agg(*_delay_partials()))
@@ -175,7 +180,7 @@ def hourly_network_pattern(delays: DataFrame, dim_tod: DataFrame, dim_date: Data
         F.col("hour").alias("hour_of_day"), F.col("period").alias("time_period"))
     dates = dim_date.select("date_key", "day_name", "is_weekend")
     sh = schedule_by_hour(sched).withColumnRenamed("departure_hour", "hour_of_day")
-    vp = (moving_vehicle_stats(positions, ["fetched_date_key", "fetched_hour"])
+    vp = (moving_vehicle_stats(positions, ["fetched_date_key", "fetched_hour"], approx_rsd)
           .withColumnRenamed("fetched_date_key", "date_key")
           .withColumnRenamed("fetched_hour", "hour_of_day"))
     out = (part.join(tod, "hour_of_day", "left")

@@ -103,3 +103,16 @@ def test_kpi_best_worst(spark):
     assert k.latest_date_key == 20250110 and k.total_routes_monitored == 3 and k.total_obs_today == 9
     assert k.best_route == "1" and k.worst_route == "3" and k.worst_delay_mins == Decimal("5.00")
     assert k.network_avg_on_time_pct == Decimal("50.000000") and k.last_refreshed
+
+
+def test_approximate_distinct_option(spark):
+    tv = TransitViews(spark, SF, persist=None)
+    exact = {(r.date_key, r.route_id): r for r in tv.route_daily().collect()}
+    approx = gold.route_daily_performance(tv.delays, tv.dim_route, tv.dim_agency, tv.sched,
+                                          tv.positions, approx_rsd=0.01).collect()
+    assert len(approx) == len(exact)
+    for r in approx:
+        e = exact[(r.date_key, r.route_id)]
+        assert r.total_delay_observations == e.total_delay_observations    # non-distinct metrics unchanged
+        if e.total_scheduled_trips:
+            assert abs(r.total_scheduled_trips - e.total_scheduled_trips) <= max(3, 0.05 * e.total_scheduled_trips)
