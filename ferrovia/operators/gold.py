@@ -18,7 +18,7 @@ sort-merge / shuffled-hash join, with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrovia.functions import classify as C
@@ -234,36 +234,48 @@ def daily_delay_sums(delays: DataFrame) -> DataFrame:
             .agg(*_delay_partials()))
 
 
-def delay_trend_daily(delays: DataFrame, dim_date: DataFrame, mode: str = "calendar") -> DataFrame:
-    """Daily trend with observation-weighted rolling 7-day delay and % on time.
+def rolling_sums(daily: DataFrame, cols: list[str], days: int = 7, mode: str = "calendar") -> DataFrame:
+    """Sums of ``cols`` over the ``days``-day frame ending on each day present.
 
-    The window runs over *daily sums* (one row per day), never over raw fact
-    rows.  ``mode='calendar'`` frames the 7 calendar days ending on the day;
-    ``mode='date_key'`` frames ``date_key - 6 .. date_key`` on the integer key
-    (which loses days across a month start) for parity with older outputs.
-    Days missing from the date dimension still feed their neighbours' windows.
+    Each daily row is exploded onto the days whose frame contains it (itself
+    and the next ``days - 1``), then summed per target day — an equi-grouping
+    that stays distributed (no ordered window over a single partition, no
+    range join).  ``mode='calendar'`` steps calendar days; ``mode='date_key'``
+    steps the integer key (so frames lose days across a month start).
     """
-    daily = daily_delay_sums(delays)
     if mode == "calendar":
-        order = F.unix_date(T.date_from_key("date_key"))
+        target = T.date_key(F.date_add(T.date_from_key("date_key"), F.col("_i")))
     elif mode == "date_key":
-        order = F.col("date_key")
+        target = F.col("date_key") + F.col("_i")
     else:
         raise ValueError(f"unknown rolling mode {mode!r}")
-    w = Window.orderBy(order).rangeBetween(-6, 0)
+    spread = daily.select(F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("_i"), "date_key", *cols)
+    sums = (spread.select(target.cast("int").alias("date_key"), *cols)
+            .groupBy("date_key").agg(*[F.sum(c).alias(f"r_{c}") for c in cols]))
+    return sums.join(daily.select("date_key"), "date_key")
+
+
+def delay_trend_daily(delays: DataFrame, dim_date: DataFrame, mode: str = "calendar") -> DataFrame:
+    """Daily trend with observation-weighted rolling 7-day delay and % on time.
+
+    The rolling frame works on *daily sums* (one row per day), never on raw
+    fact rows (see ``rolling_sums``).  ``mode='calendar'`` frames the 7
+    calendar days ending on the day; ``mode='date_key'`` frames
+    ``date_key - 6 .. date_key`` on the integer key, for parity with older
+    outputs.  Days missing from the date dimension still feed their
+    neighbours' frames.
+    """
+    daily = daily_delay_sums(delays)
     on_time = _band_col("On-Time")
-    rolled = daily.select(
-        "date_key", "n", "arr_sum", "arr_n", on_time,
-        M.minutes_from_sums(F.sum("arr_sum").over(w), F.sum("arr_n").over(w)).alias("rolling_7d_avg_delay"),
-        M.pct_from_counts(F.sum(on_time).over(w), F.sum("n").over(w)).alias("rolling_7d_pct_on_time"),
-    )
+    roll = rolling_sums(daily, ["n", "arr_sum", "arr_n", on_time], 7, mode)
     dates = dim_date.select("date_key", "full_date", "day_name", "is_weekend")
-    return rolled.join(dates, "date_key").select(
+    return daily.join(roll, "date_key").join(dates, "date_key").select(
         "date_key", "full_date", "day_name", "is_weekend",
         F.col("n").alias("total_observations"),
         M.minutes_from_sums("arr_sum", "arr_n").alias("avg_delay_mins"),
         M.pct_from_counts(on_time, "n").alias("pct_on_time"),
-        "rolling_7d_avg_delay", "rolling_7d_pct_on_time",
+        M.minutes_from_sums("r_arr_sum", "r_arr_n").alias("rolling_7d_avg_delay"),
+        M.pct_from_counts(f"r_{on_time}", "r_n").alias("rolling_7d_pct_on_time"),
     )
 
 
