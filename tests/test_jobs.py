@@ -136,3 +136,16 @@ def test_dedupe_within_watermark_stream(spark, tmp):
          .option("checkpointLocation", f"{tmp}/chk").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp}/out").count() == 1
+
+
+def test_command_line_static(spark, tmp):
+    from ferrovia.__main__ import main
+    os.makedirs(f"{tmp}/landing", exist_ok=True)
+    with open(f"{tmp}/landing/agency.txt", "w", encoding="utf-8") as f:
+        f.write("agency_id,agency_name,agency_url,agency_timezone\nA,LUAS,https://x,Europe/Dublin\n")
+    with open(f"{tmp}/landing/routes.txt", "w", encoding="utf-8") as f:
+        f.write("route_id,agency_id,route_short_name,route_long_name,route_type\nR,A,G,Green Line,0\n")
+    assert main(["static", "--landing", f"{tmp}/landing", "--lake", f"{tmp}/lake", "--as-of", "2025-01-10"]) == 0
+    assert spark.read.parquet(f"{tmp}/lake/silver/dim_agency").first().operator_type == "Luas"
+    assert main(["static", "--landing", f"{tmp}/landing", "--lake", f"{tmp}/lake2",
+                 "--as-of", "2025-01-10", "--fail-on-error"]) == 1
