@@ -39,7 +39,7 @@ def test_missing_feed_gives_empty_frame(spark, tmp):
 
 
 def test_bom_blanks_nested_and_extra_columns(spark, tmp):
-    _write(f"{tmp}/feed/gtfs/agency.txt",
+    _write(f"{tmp}/feed/nested/agency.txt",
            "﻿agency_id , agency_name,agency_url,note\nA1,Coach One,http://a,hello\n")
     df = feeds.read_feed_csv(spark, f"{tmp}/feed", "agency")
     assert "agency_id" in df.columns and "agency_name" in df.columns and "note" in df.columns
