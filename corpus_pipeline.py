@@ -11,9 +11,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.llm import common, decontaminate, packing, quality_rules, queries, secrets
+from ferrovia.llm import common, decontaminate, odd_sketch, packing, quality_rules, queries, secrets
 
-STAGES = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; failing lines leave the others."""
+    judged = quality_rules.clean_lines(common.whole_rows(docs), keep_row=True).where("kept")
+    text = F.col("clean_text")
+    return common.unpacked(judged, docs.columns, text=text, n_chars=F.length(text).cast("long"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group stays.  Rows that repeat an
+    id are copies too; rows without an id stay."""
+    stays = (odd_sketch.near_duplicates(docs).where("doc_id = component_id").groupBy("doc_id")
+             .agg(F.count("*").alias("n")))
+    stays = common.stored(stays, "pipeline-stays")
+    once = docs.join(stays.where("n = 1"), "doc_id", "left_semi")
+    again = docs.join(stays.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    benchmark = common.load(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(common.whole_rows(docs), benchmark, keep_row=True)
+    clean = found.where(~decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")))
+    return common.unpacked(clean, docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are cut out of the texts; every document stays."""
+    found = secrets.redacted(secrets.find_secrets(common.whole_rows(docs), keep_row=True))
+    text = F.col("clean_text")
+    return common.unpacked(found, docs.columns, text=text, n_chars=F.length(text).cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences, with their token ids."""
+    packed = packing.pack(docs, queries.tokenizer("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [("quality_rules", quality), ("near_dedup", near_dedup), ("decontamination", decontamination),
+          ("secrets", secret_scan), ("packing", pack)]
 ORACLE_SQL = None  # tokenization and the test battery have no SQL form
 
 

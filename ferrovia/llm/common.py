@@ -51,6 +51,17 @@ def folded_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(LOWER).split()
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the whole input row as the struct ``row``: an
+    operator can hand it on, whatever the names of its columns."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **new) -> DataFrame:
+    """The columns of ``row`` again, some of them replaced."""
+    return df.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in columns])
+
+
 def crc_mod(column, modulus: int):
     """crc32 of the id written as text, modulo ``modulus`` (null id: of '')."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus

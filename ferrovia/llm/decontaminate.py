@@ -126,18 +126,19 @@ def _index_of(shared) -> Index:
     return _INDEXES[key]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES,
+                  keep_row: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_hit``, ``spans`` (word
-    positions of the hits, merged) and ``item_ids`` (sorted)."""
+    positions of the hits, merged), ``item_ids`` (sorted) and, with ``keep_row``,
+    the input's column ``row``."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"),
                              F.coalesce(F.col("text"), F.lit("")).alias("t"))
     size = items.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     n_blocks = int(size // block_bytes) + 1
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
-        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-        ("item_ids", pa.list_(pa.string()))])
+    span_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    row = ["row"] if keep_row else []
+    names = ["doc_id", "text", "n_words", "spans", "item_ids", *row]
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def search(shared, keep_text: bool):
@@ -156,14 +157,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"),
                      batch.column("text") if keep_text else pa.nulls(len(count), pa.string()),
-                     pa.array(count, pa.int64()), pa.array(spans, schema.field("spans").type),
-                     pa.array(ids, pa.list_(pa.string()))],
-                    schema=schema.set(0, pa.field("doc_id", batch.column("doc_id").type)))
+                     pa.array(count, pa.int64()), pa.array(spans, span_type),
+                     pa.array(ids, pa.list_(pa.string())), *[batch.column(c) for c in row]], names)
         return run
 
     df = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"),
-                     F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("item_ids"))
+                     F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("item_ids"), *row)
     out = f"doc_id {id_type}, text string, n_words long, spans {_SPANS}, item_ids array<string>"
+    out += "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row)
     for k in range(n_blocks):
         mine = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == k)
         shared = spark.sparkContext.broadcast([(r["i"], r["t"]) for r in mine.collect()])
@@ -173,7 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
             found = stored(found, "decontaminate")
         df = found
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["stop"] - s["start"]))
-    return df.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "item_ids")
+    return df.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "item_ids", *row)
 
 
 def is_contaminated(n_hit, n_words):

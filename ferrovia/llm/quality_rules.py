@@ -65,12 +65,14 @@ def line_fails(line: Column) -> Column:
     return (n > 0) & (punctuation | navigation | line.rlike(BOILERPLATE))
 
 
-def clean_lines(docs: DataFrame) -> DataFrame:
+def clean_lines(docs: DataFrame, keep_row: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``text`` (as it came), the base counts,
     ``clean_text`` (failing lines removed), ``lost_chars``, ``base_failed`` and
-    ``kept``.  No shuffle: everything is computed within the row."""
+    ``kept``; with ``keep_row`` the input's column ``row`` too.  No shuffle:
+    everything is computed within the row."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    df = docs.select("doc_id", F.col("text").alias("text"), body.alias("body"))
+    row = ["row"] if keep_row else []
+    df = docs.select("doc_id", "text", body.alias("body"), *row)
     df = df.withColumn("words", F.filter(F.split("body", JAVA_SPACE), lambda w: w != ""))
     df = df.withColumn("lines", F.split("body", "\n"))
     step1, step2, step3, step4 = _repeat_words(*map(F.col, ("words", "hashes", "ordered", "places")))
@@ -78,7 +80,7 @@ def clean_lines(docs: DataFrame) -> DataFrame:
     df = df.withColumn("places", step3).drop("ordered")
     worded = F.filter("lines", lambda x: x.rlike(JAVA_WORD))
     df = df.select(
-        "doc_id", "text", "lines",
+        "doc_id", "text", "lines", *row,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("body", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -98,5 +100,5 @@ def clean_lines(docs: DataFrame) -> DataFrame:
     df = df.withColumn("base_failed", failed)
     return df.select(
         "doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "clean_text", "line_chars", "lost_chars", "base_failed",
+        "clean_text", "line_chars", "lost_chars", "base_failed", *row,
         (~F.col("base_failed") & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("line_chars"))).alias("kept"))

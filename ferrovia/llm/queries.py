@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.llm import common, decontaminate, packing, quality_rules, secrets
+from ferrovia.llm import common, decontaminate, odd_sketch, packing, quality_rules, secrets
 
 
 def tokenizer(name: str) -> str:
@@ -48,6 +48,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op6_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(_documents(spark, sf_dir)).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -55,6 +60,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op3_packing, op4_decontamination, op10_quality_rules)}
+    f.__name__: f for f in (op2_secrets, op3_packing, op4_decontamination, op6_odd_sketch, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}

@@ -181,9 +181,10 @@ _FOUND = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.str
 _SQL = "array<struct<start:int,stop:int,kind:string,encoding:string,band:int,level:int>>"
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``text``, ``found`` (base spans and
-    candidates with their levels) and ``decoys`` (levels of plain strings)."""
+def scan(docs: DataFrame, keep_row: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``found`` (base spans and candidates with
+    their levels), ``decoys`` (levels of plain strings) and, with ``keep_row``,
+    the input's column ``row``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     keys = ("start", "stop", "kind", "encoding", "band", "level")
 
@@ -198,11 +199,14 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.list_(_FOUND)),
                  pa.array(plain, pa.list_(pa.struct([("encoding", pa.string()), ("band", pa.int32()),
-                                                     ("level", pa.int32())])))],
-                ["doc_id", "found", "decoys"])
+                                                     ("level", pa.int32())]))),
+                 *[batch.column(c) for c in row]],
+                ["doc_id", "found", "decoys", *row])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, found {_SQL}, decoys array<struct<encoding:string,band:int,level:int>>")
+    row = ["row"] if keep_row else []
+    kept = "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row)
+    return docs.select("doc_id", "text", *row).mapInArrow(
+        run, f"doc_id {id_type}, found {_SQL}, decoys array<struct<encoding:string,band:int,level:int>>{kept}")
 
 
 def accepted_levels(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
@@ -233,11 +237,11 @@ def accepted_levels(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
     return scanned.sparkSession.createDataFrame(rows, "encoding string, band int, least int")
 
 
-def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
+def find_secrets(docs: DataFrame, fdr: float = FDR, keep_row: bool = False) -> DataFrame:
     """One row per document: ``doc_id`` and ``spans`` (start, stop, kind; code
     points; by start, then kind): the base spans, and as ``random`` the accepted
     candidates."""
-    scanned = stored(scan(docs), "secrets")
+    scanned = stored(scan(docs, keep_row), "secrets")
     least = {(r["encoding"], r["band"]): r["least"] for r in accepted_levels(scanned, fdr).collect()}
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
     if least:
@@ -249,7 +253,22 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     keep = F.filter("found", lambda s: (s["kind"] != "random") | passes(s))
     ordered = F.array_sort(F.transform(keep, lambda s: F.struct(
         s["start"].alias("start"), F.element_at(rank, s["kind"]).alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    return scanned.select("doc_id", ordered.alias("spans"))
+    return scanned.select("doc_id", ordered.alias("spans"), *(["row"] if keep_row else []))
+
+
+def redacted(found: DataFrame) -> DataFrame:
+    """The rows of :func:`find_secrets` (with ``row``), and ``clean_text``: the
+    row's text with every span replaced."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            texts = [t if t is None or not s else redact(t, [(x["start"], x["stop"]) for x in s])
+                     for t, s in zip(batch.column("row").field("text").to_pylist(),
+                                     batch.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+                                             [*batch.schema.names, "clean_text"])
+
+    kinds = ", ".join(f"{c} {t}" for c, t in found.dtypes)
+    return found.mapInArrow(run, f"{kinds}, clean_text string")
 
 
 def redact(text: str, spans: list[tuple[int, int]]) -> str:
