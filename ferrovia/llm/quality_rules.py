@@ -98,7 +98,10 @@ def clean_lines(docs: DataFrame, keep_row: bool = False) -> DataFrame:
     df = df.withColumn("lost_chars", lost)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     df = df.withColumn("base_failed", failed)
-    return df.select(
+    out = df.select(
         "doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "clean_text", "line_chars", "lost_chars", "base_failed", *row,
         (~F.col("base_failed") & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("line_chars"))).alias("kept"))
+    # A generator in between: a later filter on a result column is not pushed
+    # down, which would repeat the array expressions inside of it many times over.
+    return out.select(F.inline(F.array(F.struct(*out.columns))))
