@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -47,6 +49,14 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids."""
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordIds:
     """Token ids of texts.  The tokenizer drops white space, so the ids of a
     text are those of its blank-separated chunks in turn; each distinct chunk is
@@ -56,6 +66,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.symbols = byte_symbols()
         self.kept: dict[str, bytes] = {"": b""}
         self.held = 0
@@ -65,7 +76,7 @@ class WordIds:
         mapped = word.lower()
         if not mapped.isascii():
             mapped = "".join(map(self.symbols.__getitem__, mapped.encode()))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+        return packed_ids([t.id for t in self.model.tokenize(mapped)])
 
     def _learn(self, chunks: set[str]) -> None:
         kept, other, tails = self.kept, [], []
@@ -78,12 +89,11 @@ class WordIds:
                     tails.append((c, core))
             else:
                 other.append(c)
-        marks = {c[len(core):] for c, core in tails} - kept.keys()
-        other.extend(marks)
+        other.extend({c[len(core):] for c, core in tails if c[len(core):] not in kept})
         for i in range(0, len(other), 4096):
             part = other[i:i + 4096]
             for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                kept[c] = np.array(e.ids, "<u4").tobytes()
+                kept[c] = packed_ids(e.ids)
         for c, core in tails:
             kept[c] = kept[core] + kept[c[len(core):]]
         self.held += sum(160 + 8 * len(c) for c in chunks)
@@ -195,7 +205,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     ``sequence_id``, ``offset``, ``ids`` (binary, little-endian unsigned
     32-bit)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
+    end = packed_ids([end_id])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
