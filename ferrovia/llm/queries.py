@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.llm import common, decontaminate, odd_sketch, packing, quality_rules, secrets
+from ferrovia.llm import common, decontaminate, odd_sketch, packing, pitman_yor, quality_rules, secrets, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -16,6 +16,9 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+TOKEN_LIMIT = 512
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common.load(spark, sf_dir, "documents")
 
@@ -25,6 +28,12 @@ def _joined(spans):
         ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pitman_yor.score(_documents(spark, sf_dir))
+    return scored.select("doc_id", (common.crc_mod(F.col("doc_id"), 10) == 0).alias("held_out"),
+                         "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -48,6 +57,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.token_counts(_documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 def op6_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(_documents(spark, sf_dir)).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -60,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op3_packing, op4_decontamination, op6_odd_sketch, op10_quality_rules)}
+    f.__name__: f for f in (
+        op1_pitman_yor, op2_secrets, op3_packing, op4_decontamination, op5_token_counts, op6_odd_sketch, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}
