@@ -67,6 +67,20 @@ def crc_mod(column, modulus: int):
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def sampled(rows: DataFrame, key: str, by: str, size: int) -> DataFrame:
+    """About ``size`` rows for each value of ``by`` (all rows, where there are
+    fewer): those whose hash of ``key`` is smallest, up to the share that gives
+    that number.  One pass counts, one filters; nothing is sorted."""
+    many = [(r[by], r["n"]) for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect() if r["n"] > size]
+    if not many:
+        return rows
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))
+    limit = F.lit(1 << 30)
+    for value, n in many:
+        limit = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(int((1 << 30) * size / n))).otherwise(limit)
+    return rows.where(place < limit)
+
+
 def batches(func: Callable[[pa.RecordBatch], dict], schema: pa.Schema):
     """An Arrow batch function from a function that makes columns of a batch."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.llm import common, decontaminate, odd_sketch, packing, pitman_yor, quality_rules, secrets, token_counts
+from ferrovia.llm import (
+    common,
+    decontaminate,
+    language_id,
+    odd_sketch,
+    packing,
+    pitman_yor,
+    preference,
+    quality_rules,
+    secrets,
+    token_counts,
+)
 
 
 def tokenizer(name: str) -> str:
@@ -67,6 +78,17 @@ def op6_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(_documents(spark, sf_dir))
+    return found.select("doc_id", (common.crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"),
+                        "lang_pred", "score", "rejected")
+
+
+def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = preference.score(_documents(spark, sf_dir), common.load(spark, sf_dir, "labels"))
+    return found.select("doc_id", (common.crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -75,6 +97,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pitman_yor, op2_secrets, op3_packing, op4_decontamination, op5_token_counts, op6_odd_sketch, op10_quality_rules)}
+        op1_pitman_yor, op2_secrets, op3_packing, op4_decontamination, op5_token_counts, op6_odd_sketch,
+        op8_language_id, op9_preference, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}
