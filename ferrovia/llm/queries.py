@@ -18,6 +18,7 @@ from ferrovia.llm import (
     preference,
     quality_rules,
     secrets,
+    suffix_dedup,
     token_counts,
 )
 
@@ -78,6 +79,13 @@ def op6_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op7_induced_sorting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(_documents(spark, sf_dir))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + (s["stop"] - s["start"]))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(_documents(spark, sf_dir))
     return found.select("doc_id", (common.crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"),
@@ -98,6 +106,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pitman_yor, op2_secrets, op3_packing, op4_decontamination, op5_token_counts, op6_odd_sketch,
-        op8_language_id, op9_preference, op10_quality_rules)}
+        op7_induced_sorting, op8_language_id, op9_preference, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}
