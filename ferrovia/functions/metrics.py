@@ -45,8 +45,9 @@ def pct_from_counts(k, n) -> Column:
 
 
 def speed_kmh(mps) -> Column:
-    """m/s -> km/h rounded per row to DECIMAL(6,1); out-of-range -> NULL."""
-    return (_col(mps) * F.lit(3.6)).try_cast(KMH)
+    """m/s -> km/h rounded per row to DECIMAL(6,1); a value out of range is an
+    error, not a silent NULL."""
+    return (_col(mps) * F.lit(3.6)).cast(KMH)
 
 
 def kmh_from_sums(sum_kmh, n) -> Column:
@@ -62,22 +63,3 @@ def distinct_count(c, approx_rsd: float | None = None) -> Column:
     if approx_rsd is None:
         return F.count_distinct(col)
     return F.approx_count_distinct(col, approx_rsd)
-
-
-# Aggregate shorthands for one-level groupings ------------------------------
-
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
-def avg_minutes(secs) -> Column:
-    return minutes_from_sums(F.sum(_col(secs)), F.count(_col(secs)))
-
-
-def pct_of(cond: Column) -> Column:
-    return pct_from_counts(F.count_if(cond), F.count(F.lit(1)))
-
-
-def avg_kmh(mps) -> Column:
-    k = speed_kmh(mps)
-    return kmh_from_sums(F.sum(k), F.count(k))

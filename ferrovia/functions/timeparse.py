@@ -29,8 +29,10 @@ def parse_snapshot_ts(stamp) -> Column:
 
 
 def date_key(d) -> Column:
-    """YYYYMMDD integer surrogate key of a date or timestamp."""
-    return F.date_format(_col(d), "yyyyMMdd").cast("int")
+    """YYYYMMDD integer surrogate key of a date or timestamp (arithmetic only, no
+    per-row formatter)."""
+    d = _col(d)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def date_from_key(k) -> Column:

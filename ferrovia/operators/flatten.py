@@ -87,11 +87,6 @@ def flatten_vehicle_positions(raw: DataFrame, doc_col: str = "value",
     return out.select(*VEHICLE_POSITION_COLUMNS)
 
 
-def with_fetched_at(df: DataFrame, stamp: str) -> DataFrame:
-    """Stamp every row of one snapshot with the same ``fetched_at``."""
-    return df.withColumn("fetched_at", F.lit(stamp))
-
-
 # Documents from rows (the inverse direction, used to land feeds) ---------------
 
 def trip_update_documents(bronze: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ Parquet tables have no MERGE statement, so merges are expressed as joins:
   from the target, unmatched rows come from whichever side has them.
 
 Both are plain DataFrame -> DataFrame functions; the ``*_table`` wrappers add
-the IO (partition-pruned target scan, write to a shared scratch table, then a
-dynamic partition overwrite of the touched partitions only).
+the IO (scan of the touched partition folders, write to a shared scratch table,
+then a dynamic partition overwrite of the touched partitions only).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrovia.session import path_exists
+from ferrovia.sources.lake import read_partitions
 from ferrovia.sources.lake import staged as staged_table
 
 # Columns each Gold upsert refreshes on a key match (the rest keep the stored
@@ -58,9 +59,9 @@ def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Source rows whose key has no equal in the target (NULL never equal).
 
     ``prune_on`` names columns functionally dependent on the keys (e.g. the
-    date partition of a timestamp key): the target is restricted to the
-    values present in the batch before the anti join, which lets Spark prune
-    target partitions instead of scanning the whole table.
+    date partition of a timestamp key): target rows with other values than the
+    batch has don't take part in the anti join.  A table on disk is read pruned
+    by :func:`insert_if_absent_table`.
     """
     tkeys = target.select(*keys, *[c for c in prune_on if c not in keys])
     if prune_on:
@@ -82,7 +83,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keep the stored value, even if the source has a different one);
     ``stale='refresh'`` overwrites every column.  An updated column follows the
     source also when the source value is NULL.  Unmatched source rows are
-    inserted whole; unmatched target rows are kept whole.
+    inserted whole; unmatched target rows are kept whole.  A NULL key is one
+    key like any other, so a repeated refresh doesn't pile up its rows.
     """
     if stale not in ("keep", "refresh"):
         raise ValueError(f"stale must be 'keep' or 'refresh', not {stale!r}")
@@ -95,7 +97,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
     cond = None
     for k in keys:
-        c = F.col(f"t_{k}") == F.col(f"s_{k}")
+        c = F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}"))
         cond = c if cond is None else cond & c
     j = t.join(s, cond, "full_outer")
     has_s, has_t = F.col("_s").isNotNull(), F.col("_t").isNotNull()
@@ -127,21 +129,29 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 # table-level wrappers
 
 
+def partition_values(source: DataFrame, column: str) -> list:
+    """The partition values of a batch: one per touched day, hour or week."""
+    return [r[0] for r in source.select(column).distinct().collect()]
+
+
 def insert_if_absent_table(spark: SparkSession, source: DataFrame, path: str,
                            keys: Sequence[str], partition_by: str | None = None) -> None:
     """Append the batch rows that are absent from the table at ``path``.
 
-    The target is read pruned to the batch's partitions (``partition_by`` is
-    functionally dependent on the keys), so a micro-batch touches only the
-    partitions it can collide with.
+    ``partition_by`` is functionally dependent on the keys: the batch's values of
+    it (the days of a micro-batch) are collected first, and only those partition
+    folders are listed and read.
     """
-    if not path_exists(spark, path):
-        new = source
+    if partition_by:
+        values = partition_values(source, partition_by)
+        if not values:
+            return
+        target = read_partitions(spark, path, partition_by, values)
     else:
-        # the target file list is fixed when this plan is analysed, so the
-        # append below never reads its own output
-        target = spark.read.parquet(path)
-        new = rows_to_insert(target, source, keys, [partition_by] if partition_by else [])
+        target = spark.read.parquet(path) if path_exists(spark, path) else None
+    # the target file list is fixed when this plan is analysed, so the append
+    # below never reads its own output
+    new = source if target is None else rows_to_insert(target, source, keys)
     w = new.write.mode("append")
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -155,8 +165,8 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
 
     The source is computed once and staged in the shared checkpoint folder;
     the key check and the merge both read the staged copy (no second
-    evaluation of an expensive aggregate).  Only the target partitions
-    present in the source are read and rewritten: with dynamic partition
+    evaluation of an expensive aggregate).  Only the folders of the source's
+    partitions are listed, read and rewritten: with dynamic partition
     overwrite the new files go to a staging folder and replace the touched
     partitions only at job commit, after every reading task has finished, so
     a retried task still sees the old files.  An unpartitioned target is
@@ -165,14 +175,16 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     with staged_table(source, "upsert-source") as src:
         if check_unique:
             assert_unique(src, keys)
-        if not path_exists(spark, path):
-            _write(src, path, partition_by)
-            return
-        target = spark.read.parquet(path)
         if partition_by:
-            target = target.join(src.select(partition_by).distinct(), partition_by, "left_semi")
-            _write(upsert(target, src, keys, update_cols, stale), path, partition_by)
+            values = partition_values(src, partition_by)
+            if not values:
+                return
+            target = read_partitions(spark, path, partition_by, values)
+            _write(src if target is None else upsert(target, src, keys, update_cols, stale), path, partition_by)
+        elif not path_exists(spark, path):
+            _write(src, path, None)
         else:
+            target = spark.read.parquet(path)
             with staged_table(upsert(target, src, keys, update_cols, stale), "upsert-merged") as merged:
                 _write(merged, path, None)
 

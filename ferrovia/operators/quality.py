@@ -7,6 +7,7 @@ one row per column.  Nothing is collected to the driver.
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -42,6 +43,16 @@ def validate(df: DataFrame, name: str) -> DataFrame:
                       status.alias("status"))
 
 
+def verdict(name: str, row_count: int, null_counts: dict[str, int]) -> tuple:
+    """The row of :func:`validate`, from counts already taken (e.g. observed while
+    the feed was written)."""
+    worst = max((Decimal(100 * n) / row_count for n in null_counts.values()), default=Decimal(0)) if row_count else None
+    if worst is not None:
+        worst = worst.quantize(Decimal("0.01"), ROUND_HALF_UP)
+    status = "FAIL" if not row_count else "WARN" if worst > NULL_WARN_PCT else "PASS"
+    return name, row_count, worst, status
+
+
 def check_non_empty(df: DataFrame, name: str) -> DataFrame:
     return df.agg((F.count(F.lit(1)) > 0).alias("ok")).select(F.lit(name).alias("name"), "ok")
 
@@ -58,9 +69,9 @@ def batch_gate(verdicts: DataFrame) -> DataFrame:
 
 
 def feed_row_counts(feeds: dict[str, DataFrame]) -> DataFrame:
-    """``feed, rows`` per feed plus a ``TOTAL`` row."""
+    """``feed, rows`` per feed plus a ``TOTAL`` row; each feed is counted once."""
     per = reduce(DataFrame.unionByName,
                  [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("feed"), "rows")
                   for name, df in feeds.items()])
-    total = per.agg(F.sum("rows").alias("rows")).select(F.lit("TOTAL").alias("feed"), "rows")
-    return per.unionByName(total)
+    return (per.rollup("feed").agg(F.sum("rows").alias("rows"))
+            .select(F.coalesce("feed", F.lit("TOTAL")).alias("feed"), "rows"))

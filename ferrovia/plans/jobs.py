@@ -4,7 +4,7 @@ Lake layout under ``lake``::
 
     bronze_snapshots/<feed>/snapshot=<stamp>/   static feeds as landed
     bronze/<feed>/                              latest static snapshot
-    bronze/trip_updates/batch_id=<n>/           realtime Bronze, one folder per batch
+    bronze/trip_updates/source=<id>/batch_id=<n>/   realtime Bronze, one folder per checkpoint and batch
     silver/<table>/                             dimensions and facts
     gold/<table>/                               aggregates
 
@@ -19,11 +19,11 @@ import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.operators import dims, facts, gold, merge, quality
-from ferrovia.session import apply_conf, path_exists
+from ferrovia.operators import dims, facts, flatten, gold, merge, quality
+from ferrovia.session import apply_conf, delete_path, path_exists
 from ferrovia.sources import feeds, lake
 
 STATIC_FEEDS = ["agency", "routes", "stops", "trips", "stop_times", "calendar", "calendar_dates"]
@@ -46,31 +46,48 @@ def _p(lake_root: str, *parts: str) -> str:
 
 
 def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp: str | None = None,
-               null_tokens=None, raise_on_fail: bool = False) -> DataFrame:
+               null_tokens=None, raise_on_fail: bool = False, samples: str | None = None) -> DataFrame:
     """Landing CSV feeds -> validated snapshots -> Bronze (latest snapshot)
     -> Silver dimensions and the scheduled-departure fact.
 
     Good feeds are written even when another feed fails; the returned verdict
-    frame (one row per feed) tells which failed, and ``raise_on_fail`` turns a
-    failed feed into an error after everything else has been written.
+    frame (one row per feed: rows, worst null share, status, and how many
+    malformed rows were dropped) tells which failed, and ``raise_on_fail`` turns
+    a failed feed into an error after everything else has been written.
+    ``samples`` is a folder for a small CSV sample of each feed.
     """
     apply_conf(spark)
     stamp = stamp or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    raw = feeds.read_static_feeds(spark, landing, STATIC_FEEDS, null_tokens=null_tokens)
-    checks = quality.validate_all(raw)
-    # one verdict row per feed: a handful of rows, computed once
-    verdicts = spark.createDataFrame(checks.collect(), checks.schema)
-    failed = {r["name"] for r in verdicts.where(F.col("status") == "FAIL").select("name").collect()}
-    for feed, df in raw.items():
-        if feed in failed:
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    snapshots = _p(lake_root, "bronze_snapshots")
+    rows = []
+    for feed in STATIC_FEEDS:
+        # parsed once: the counts behind the verdict are observed while the
+        # snapshot is written
+        raw = feeds.read_feed_csv(spark, landing, feed, null_tokens=null_tokens, bad_rows="flag")
+        bad, seen = Observation(), Observation()
+        columns = [c for c in raw.columns if c != feeds.LONG_ROW]
+        good = (raw.observe(bad, F.count_if(feeds.LONG_ROW).alias("dropped"))
+                .where(~F.col(feeds.LONG_ROW)).select(*columns)
+                .observe(seen, F.count(F.lit(1)).alias("rows"),
+                         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(columns)]))
+        path = lake.write_snapshot(good, snapshots, feed, stamp)
+        counts = seen.get
+        rows.append((*quality.verdict(feed, counts["rows"], {c: counts[f"null_{i}"] for i, c in enumerate(columns)}),
+                     bad.get["dropped"]))
+        if not counts["rows"]:
+            delete_path(spark, path)  # an empty feed never replaces an earlier snapshot
             continue
-        lake.write_snapshot(df, _p(lake_root, "bronze_snapshots"), feed, stamp)
-        snaps = lake.read_bronze(spark, _p(lake_root, "bronze_snapshots"), feed)
-        lake.load_bronze_full(snaps, _p(lake_root, "bronze", feed))
+        latest = lake.read_latest_snapshot(spark, snapshots, feed)
+        lake.load_bronze_full(feeds.with_audit(latest, "_loaded_at", now), _p(lake_root, "bronze", feed))
+        if samples:
+            lake.write_sample(latest, _p(samples, feed))
+    verdicts = spark.createDataFrame(
+        rows, "name string, row_count long, max_null_pct decimal(5,2), status string, dropped_rows long")
+    failed = sorted(r[0] for r in rows if r[3] == "FAIL")
     bronze = {f: spark.read.parquet(_p(lake_root, "bronze", f))
               for f in STATIC_FEEDS if path_exists(spark, _p(lake_root, "bronze", f))}
     silver = _p(lake_root, "silver")
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     if "agency" in bronze:
         lake.overwrite_table(feeds.with_audit(dims.build_dim_agency(bronze["agency"]), "_updated_at", now),
                              f"{silver}/dim_agency")
@@ -85,8 +102,8 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
         sched = facts.build_scheduled_departures(bronze["stop_times"], bronze["trips"],
                                                  bronze["routes"], as_of)
         lake.overwrite_table(feeds.with_audit(sched, "_loaded_at", now), f"{silver}/fact_scheduled_departures")
-    if raise_on_fail and failed:
-        raise RuntimeError(f"static feeds failed validation: {sorted(failed)}")
+    if raise_on_fail and not quality.batch_gate(verdicts).first()["ok"]:
+        raise RuntimeError(f"static feeds failed validation: {failed}")
     return verdicts
 
 
@@ -103,48 +120,75 @@ def ensure_calendar(spark: SparkSession, lake_root: str, as_of) -> None:
 # R2 realtime
 
 
+def fact_schemas(spark: SparkSession) -> dict:
+    """Schemas of the facts, for tables that don't exist before their first row."""
+    docs = spark.createDataFrame([], "fetched_at string, value string")
+    stops, trips, routes = (feeds.empty_feed(spark, f) for f in ("stop_times", "trips", "routes"))
+    loaded = F.lit(None).cast("timestamp")
+    return {
+        "fact_realtime_delays": facts.build_realtime_delays(flatten.flatten_trip_updates(docs))
+        .withColumn("_loaded_at", loaded).schema,
+        "fact_vehicle_positions": facts.build_vehicle_positions(flatten.flatten_vehicle_positions(docs))
+        .withColumn("_loaded_at", loaded).schema,
+        "fact_scheduled_departures": facts.build_scheduled_departures(stops, trips, routes, "2000-01-01")
+        .withColumn("_loaded_at", loaded).schema,
+    }
+
+
+FACTS = {
+    "trip_updates": ("fact_realtime_delays", facts.build_realtime_delays, ["trip_id", "stop_id", "fetched_at_ts"]),
+    "vehicle_positions": ("fact_vehicle_positions", facts.build_vehicle_positions, ["vehicle_id", "fetched_at_ts"]),
+}
+
+
+class FeedError(RuntimeError):
+    """A feed of a batch failed; the other one and Gold were brought up to date."""
+
+
 def run_realtime_batch(spark: SparkSession, trip_updates: DataFrame | None,
                        positions: DataFrame | None, lake_root: str, batch_id: int,
-                       refresh_gold: bool = True, stale: str = "refresh") -> None:
-    """One realtime micro-batch of flattened Bronze rows.
-
-    Bronze lands under ``batch_id=<n>`` with overwrite (a replayed batch
-    replaces its own first attempt); Silver facts take only absent keys
-    (insert-if-absent, target pruned to the batch's days); Gold is rebuilt
-    for the touched days and upserted.  Every step is idempotent, so the
-    at-least-once replay of ``foreachBatch`` yields the same tables.
+                       refresh_gold: bool = True, stale: str = "refresh", source: str = "manual") -> dict:
+    """One realtime micro-batch of flattened Bronze rows, both feeds in one run.
+
+    Bronze lands under ``source=<checkpoint>/batch_id=<n>`` with overwrite (a
+    replayed batch replaces its own first attempt only); Silver facts take only
+    absent keys (insert-if-absent against the folders of the batch's days); Gold
+    is rebuilt once, after both feeds, for the touched days and upserted.  Every
+    step is idempotent, so the at-least-once replay of ``foreachBatch`` yields
+    the same tables.  A failing feed doesn't stop the other: its error is raised
+    at the end, so that the batch is run again.  Returns the rows dropped for an
+    unreadable stamp, per feed.
     """
     apply_conf(spark)
     silver = _p(lake_root, "silver")
-    touched, held = [], []
-    if trip_updates is not None:
-        lake.load_bronze_append(trip_updates, _p(lake_root, "bronze", "trip_updates"), batch_id)
-        fact = facts.build_realtime_delays(
-            spark.read.parquet(_p(lake_root, "bronze", "trip_updates", f"batch_id={batch_id}")))
-        fact = fact.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(fact)
-        merge.insert_if_absent_table(spark, fact, f"{silver}/fact_realtime_delays",
-                                     ["trip_id", "stop_id", "fetched_at_ts"], "fetched_date_key")
-        touched.append(fact.select("fetched_date_key"))
-    if positions is not None:
-        lake.load_bronze_append(positions, _p(lake_root, "bronze", "vehicle_positions"), batch_id)
-        fact = facts.build_vehicle_positions(
-            spark.read.parquet(_p(lake_root, "bronze", "vehicle_positions", f"batch_id={batch_id}")))
-        fact = fact.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(fact)
-        merge.insert_if_absent_table(spark, fact, f"{silver}/fact_vehicle_positions",
-                                     ["vehicle_id", "fetched_at_ts"], "fetched_date_key")
-        touched.append(fact.select("fetched_date_key"))
-    try:
-        if refresh_gold and touched:
-            days = touched[0] if len(touched) == 1 else touched[0].unionByName(touched[1])
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    touched: set[int] = set()
+    dropped, errors = {}, {}
+    for feed, rows in (("trip_updates", trip_updates), ("vehicle_positions", positions)):
+        if rows is None:
+            continue
+        table, build, keys = FACTS[feed]
+        fact = None
+        try:
+            bronze = _p(lake_root, "bronze", feed)
+            lake.load_bronze_append(feeds.with_audit(rows, "_loaded_at", now), bronze, batch_id, source)
+            landed = spark.read.parquet(lake.batch_folder(bronze, source, batch_id))
+            dropped[feed] = facts.unparsed_stamp_count(landed).first()["dropped_rows"]
+            fact = feeds.with_audit(build(landed), "_loaded_at", now).persist(StorageLevel.MEMORY_AND_DISK)
             # the distinct day keys of one batch: a handful of integers
-            day_keys = sorted(r[0] for r in days.distinct().collect())
-            if day_keys:
-                run_gold(spark, lake_root, days=day_keys, stale=stale)
-    finally:
-        for df in held:
-            df.unpersist()
+            days = merge.partition_values(fact, "fetched_date_key")
+            merge.insert_if_absent_table(spark, fact, f"{silver}/{table}", keys, "fetched_date_key")
+            touched.update(days)
+        except Exception as e:  # noqa: BLE001 - raised below, after the other feed
+            errors[feed] = e
+        finally:
+            if fact is not None:
+                fact.unpersist()
+    if refresh_gold and touched:
+        run_gold(spark, lake_root, days=sorted(touched), stale=stale)
+    if errors:
+        raise FeedError(f"feeds that failed in batch {batch_id}: {sorted(errors)}") from next(iter(errors.values()))
+    return dropped
 
 
 # ---------------------------------------------------------------------------
@@ -174,14 +218,6 @@ def _week_days(keys) -> list[int]:
     return sorted(out)
 
 
-def _table(spark, path, schema=None):
-    if path_exists(spark, path):
-        return spark.read.parquet(path)
-    if schema is None:
-        raise FileNotFoundError(path)
-    return spark.createDataFrame([], schema)
-
-
 def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
              stale: str = "refresh", rolling_mode: str = "calendar",
              parallel_writes: int = 6) -> dict[str, DataFrame]:
@@ -196,14 +232,12 @@ def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
     """
     apply_conf(spark)
     silver = _p(lake_root, "silver")
-    delays_all = _table(spark, f"{silver}/fact_realtime_delays")
-    positions_all = _table(spark, f"{silver}/fact_vehicle_positions")
-    sched = _table(spark, f"{silver}/fact_scheduled_departures")
-    d_route = _table(spark, f"{silver}/dim_route")
-    d_agency = _table(spark, f"{silver}/dim_agency")
-    d_stop = _table(spark, f"{silver}/dim_stop")
-    d_date = _table(spark, f"{silver}/dim_date")
-    d_tod = _table(spark, f"{silver}/dim_time_of_day")
+    delays_all, positions_all, sched = (
+        lake.table_or_empty(spark, f"{silver}/{name}", schema).drop("_loaded_at")
+        for name, schema in fact_schemas(spark).items())
+    d_route, d_agency, d_stop, d_date, d_tod = (
+        spark.read.parquet(f"{silver}/{name}")
+        for name in ("dim_route", "dim_agency", "dim_stop", "dim_date", "dim_time_of_day"))
 
     def days_filter(df, keys):
         if keys is None:
@@ -244,4 +278,5 @@ def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
     with ThreadPoolExecutor(max_workers=min(parallel_writes, len(out))) as pool:
         for f in [pool.submit(write, name) for name in out]:
             f.result()
-    return {name: spark.read.parquet(f"{gold_root}/{name}") for name in out}
+    return {name: lake.table_or_empty(spark, f"{gold_root}/{name}", feeds.with_audit(df, "_refreshed_at", now).schema)
+            for name, df in out.items()}

@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrovia.operators import dims, facts, gold
-from ferrovia.sources.lake import ensure_parallelism, materialize
+from ferrovia.session import delete_path
+from ferrovia.sources.lake import materialize
 
 # FIXED VALUES of the derivation (test-data design, not business rules).
 AS_OF = _dt.date(2025, 2, 15)           # dimension calendar covers 2024-11-17 .. 2025-03-17
@@ -33,17 +34,11 @@ AGENCY_PREFIXES = [
     "Transport for Ireland", "Bus Átha Cliath – Dublin Bus", "Coach express",
 ]
 N_TRIP_ROUTES = 120                     # trips use routes R0..R119
-LANDING_FILES = 8                       # files per landed realtime feed
 N_VEHICLES = 50
 
 
-# tables whose per-row derivation is heavy enough to spread a narrow scan
-_FACT_SOURCES = {"lineitem", "orders", "events"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in _FACT_SOURCES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(prefix: str, c) -> Column:
@@ -263,6 +258,17 @@ class TransitViews:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF, persist: str | None = "cache"):
         self.spark, self.sf_dir, self.as_of, self.persist = spark, sf_dir, as_of, persist
+        self._kept: list[DataFrame] = []
+        self._landed: list[str] = []
+        self.streamed_lake: str | None = None
+
+    def release(self) -> None:
+        """Unpersist what is kept and delete the landed documents."""
+        for df in self._kept:
+            df.unpersist()
+        for path in self._landed:
+            delete_path(self.spark, path)
+        self._kept, self._landed = [], []
 
     def _silver(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
         """The Silver facts are shared by every Gold query of a session.
@@ -274,7 +280,7 @@ class TransitViews:
         ``persist=None``: recomputed by each query.
         """
         if self.persist == "cache":
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
+            return self._keep(df)
         if self.persist == "table":
             return materialize(df, f"silver-{name}", partition_by)
         return df
@@ -341,10 +347,10 @@ class TransitViews:
         from ferrovia.session import scratch_dir
         from ferrovia.sources.realtime import land_documents
         path = scratch_dir(self.spark, "landing-trip-updates")
-        # rows hash-partitioned by trip: the document grouping (keys include
-        # the trip) reuses that partitioning, and each trip lands in one file
-        rows = bronze_trip_updates(self.spark, self.sf_dir).repartition(LANDING_FILES, "trip_id")
-        land_documents(trip_update_documents(rows), path)
+        # as many files as the data needs: no fixed width, a bounded number of
+        # documents per file
+        land_documents(trip_update_documents(bronze_trip_updates(self.spark, self.sf_dir)), path)
+        self._landed.append(path)
         return path
 
     @cached_property
@@ -352,14 +358,18 @@ class TransitViews:
         from ferrovia.session import scratch_dir
         from ferrovia.sources.realtime import land_documents
         path = scratch_dir(self.spark, "landing-vehicle-positions")
-        land_documents(vehicle_position_docs(self.spark, self.sf_dir).repartition(LANDING_FILES), path)
+        land_documents(vehicle_position_docs(self.spark, self.sf_dir), path)
+        self._landed.append(path)
         return path
 
     # Gold: the default aggregates are shared like stored Gold tables (views
     # read them); variants with substituted inputs are computed fresh.
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist == "cache" else df
+        if self.persist != "cache":
+            return df
+        self._kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
 
     @cached_property
     def _route_daily(self):
@@ -376,16 +386,19 @@ class TransitViews:
     def _hotspots(self):
         return self._keep(gold.stop_delay_hotspot(self.delays, self.dim_stop))
 
-    def hotspots(self):
-        return self._hotspots
+    def hotspots(self, delays=None):
+        return self._hotspots if delays is None else gold.stop_delay_hotspot(delays, self.dim_stop)
 
     @cached_property
     def _hourly(self):
         return self._keep(gold.hourly_network_pattern(self.delays, self.dim_tod, self.dim_date,
                                                       self.sched, self.positions))
 
-    def hourly(self):
-        return self._hourly
+    def hourly(self, delays=None, positions=None):
+        if delays is None and positions is None:
+            return self._hourly
+        return gold.hourly_network_pattern(delays or self.delays, self.dim_tod, self.dim_date,
+                                           self.sched, positions or self.positions)
 
     @cached_property
     def _scorecard(self):
@@ -401,10 +414,10 @@ class TransitViews:
     def _trend(self):
         return self._keep(gold.delay_trend_daily(self.delays, self.dim_date, "calendar"))
 
-    def trend(self, mode="calendar"):
-        if mode == "calendar":
+    def trend(self, mode="calendar", delays=None):
+        if mode == "calendar" and delays is None:
             return self._trend
-        return gold.delay_trend_daily(self.delays, self.dim_date, mode)
+        return gold.delay_trend_daily(self.delays if delays is None else delays, self.dim_date, mode)
 
     def type_summary(self):
         return gold.route_type_summary(self.delays, self.dim_route, self.positions)
@@ -414,8 +427,13 @@ _VIEWS: dict = {}
 
 
 def views_for(spark: SparkSession, sf_dir: str) -> TransitViews:
-    """Shared lazily-built views per (session, directory) — plan objects only."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """Shared lazily-built views of the latest (session, directory); those of an
+    earlier one are released first, so at most one set is kept."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _VIEWS:
+        for (app, _), views in _VIEWS.items():
+            if app == spark.sparkContext.applicationId:
+                views.release()
+        _VIEWS.clear()
         _VIEWS[key] = TransitViews(spark, sf_dir)
     return _VIEWS[key]

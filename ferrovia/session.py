@@ -62,14 +62,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must already be set to a shared (HDFS / object store)
-    path.  Only when it is unset (local tests) do we create a private folder
-    and register it, so lineage cuts and scratch tables still have a home.
+    path, and an error says so if it isn't.  Only in local mode is a private
+    folder made and registered, so lineage cuts and scratch tables still have a
+    home.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = root.get() if root.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ferrovia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -81,11 +84,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side existence checks work locally."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem API (works on any store)."""
     jvm = spark.sparkContext._jvm
@@ -94,7 +92,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete a folder this engine created (staging tables)."""
     jvm = spark.sparkContext._jvm
@@ -102,3 +99,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(hpath):
         fs.delete(hpath, True)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (one metadata listing)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(hpath) if f.isDirectory())
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, through the Hadoop FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hpath), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()

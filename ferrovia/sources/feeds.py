@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ferrovia.schemas import FEED_COLUMNS, feed_schema
+from ferrovia.session import first_line
 
 # FIXED VALUES — pandas' default NA tokens (opt-in null tokens for CSV feeds).
 PANDAS_NA_TOKENS = [
@@ -17,6 +19,7 @@ PANDAS_NA_TOKENS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 EXTRA = "_extra_field"
+LONG_ROW = "_long_row"
 NULL_SENTINEL = "\u0001"
 
 
@@ -61,18 +64,34 @@ def empty_feed(spark: SparkSession, feed: str) -> DataFrame:
     return spark.createDataFrame([], feed_schema(feed))
 
 
+# Feeds whose rows are far too many for unsplittable files; all others may hold
+# line breaks within quotes.
+SINGLE_LINE_FEEDS = {"stop_times"}
+CSV_QUOTING = {"quote": '"', "escape": '"'}   # a quote within quotes is doubled
+
+
+def header_names(line: str) -> list[str]:
+    """The names of a header line, without BOM and surrounding blanks."""
+    return [clean_name(c) for c in next(csv.reader([line]), [])]
+
+
 def read_feed_csv(spark: SparkSession, root: str, feed: str, null_tokens=None,
                   bad_rows: str = "skip_long", ingested_at: str | None = None,
-                  first_only: bool = True) -> DataFrame:
+                  first_only: bool = True, multi_line: bool | None = None) -> DataFrame:
     """Read one static feed by header names.
 
     * expected columns (``schemas.FEED_COLUMNS``) are cast by name with
       ``try_cast`` (dirty value -> NULL); unexpected columns stay strings;
       expected columns missing from the file are added as typed NULLs;
-    * header names lose a BOM and surrounding blanks;
+    * every file is read by its own header, so files may order their columns
+      differently; names lose a BOM and surrounding blanks;
+    * quoted fields may contain commas, doubled quotes and, with ``multi_line``
+      (by default for all feeds but ``stop_times``, as such a file can't be
+      split), line breaks;
     * rows with *more* fields than the header are dropped, shorter rows are
-      padded with NULL (``bad_rows='keep'`` keeps long rows truncated);
-      quoted fields may contain commas;
+      padded with NULL.  ``bad_rows='keep'`` keeps long rows truncated, and
+      ``bad_rows='flag'`` keeps all rows and marks them in ``_long_row``, so a
+      caller can count what it drops;
     * ``null_tokens`` (e.g. ``PANDAS_NA_TOKENS``) become NULL; by default only
       empty fields are NULL;
     * ``ingested_at`` (UTC ISO string, default now) is stamped on every row.
@@ -80,20 +99,30 @@ def read_feed_csv(spark: SparkSession, root: str, feed: str, null_tokens=None,
     """
     files = find_feed_files(spark, root, feed, first_only)
     ingested_at = ingested_at or _dt.datetime.now(_dt.timezone.utc).isoformat()
-    if not files:
-        return empty_feed(spark, feed).withColumn("_ingested_at", F.lit(ingested_at))
-    # header names (the data read below is positional, so take names first)
-    header = spark.read.option("header", True).option("inferSchema", False).csv(files).columns
-    names = [clean_name(c) for c in header]
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        groups.setdefault(tuple(header_names(first_line(spark, f))), []).append(f)
+    groups.pop((), None)  # files without a header hold nothing
+    if not groups:
+        out = empty_feed(spark, feed).withColumn("_ingested_at", F.lit(ingested_at))
+        return out.withColumn(LONG_ROW, F.lit(False)) if bad_rows == "flag" else out
+    multi_line = feed not in SINGLE_LINE_FEEDS if multi_line is None else multi_line
+    parts = [_read_with_header(spark, members, list(names), feed, null_tokens, bad_rows, ingested_at, multi_line)
+             for names, members in groups.items()]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _read_with_header(spark, files, names, feed, null_tokens, bad_rows, ingested_at, multi_line) -> DataFrame:
     # one spare positional column catches rows with more fields than the
     # header; the NULL sentinel keeps an empty spare field distinguishable
     # from an absent one (empty data fields become NULL below instead)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))]
                         + [StructField(EXTRA, StringType())])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", NULL_SENTINEL).csv(files))
+    raw = (spark.read.schema(schema).options(**CSV_QUOTING).option("header", True).option("mode", "PERMISSIVE")
+           .option("multiLine", multi_line).option("nullValue", NULL_SENTINEL).csv(files))
+    long_row = F.col(EXTRA).isNotNull()
     if bad_rows == "skip_long":
-        raw = raw.where(F.col(EXTRA).isNull())
+        raw = raw.where(~long_row)
     expected = FEED_COLUMNS.get(feed, {})
     present = {n: f"_c{i}" for i, n in enumerate(names)}
     tokens = sorted(set(null_tokens or []) | {""})
@@ -109,25 +138,21 @@ def read_feed_csv(spark: SparkSession, root: str, feed: str, null_tokens=None,
             cols.append((c if typ == "string" else c.try_cast(typ)).alias(n))
         else:
             cols.append(F.lit(None).cast(typ).alias(n))
-    cols += [value(n).alias(n) for n in names if n not in expected]
-    return raw.select(*cols, F.lit(ingested_at).alias("_ingested_at"))
+    cols += [value(n).alias(n) for n in present if n not in expected]
+    flag = [long_row.alias(LONG_ROW)] if bad_rows == "flag" else []
+    return raw.select(*cols, F.lit(ingested_at).alias("_ingested_at"), *flag)
 
 
 def land_feed_csv(df: DataFrame, root: str, feed: str) -> str:
     """Write a feed as ``<root>/<feed>.txt/`` part files with headers, keeping
-    values verbatim (no blank trimming)."""
+    values verbatim (no blank trimming, quotes doubled)."""
     path = f"{root.rstrip('/')}/{feed}.txt"
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode("overwrite").options(**CSV_QUOTING).option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
     return path
 
 
-def with_ingested_at(df: DataFrame, now: str | None = None) -> DataFrame:
-    now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
-    return df.withColumn("_ingested_at", F.lit(now))
-
-
 def with_audit(df: DataFrame, name: str, now=None) -> DataFrame:
     """Load / update / refresh audit column (one driver-side clock reading)."""
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -136,12 +161,3 @@ def with_audit(df: DataFrame, name: str, now=None) -> DataFrame:
 
 def read_static_feeds(spark: SparkSession, root: str, feeds=None, **kw) -> dict[str, DataFrame]:
     return {f: read_feed_csv(spark, root, f, **kw) for f in (feeds or list(FEED_COLUMNS))}
-
-
-def feed_row_counts(feeds: dict[str, DataFrame]) -> DataFrame:
-    from ferrovia.operators.quality import feed_row_counts as _frc
-    return _frc(feeds)
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)

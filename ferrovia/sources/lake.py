@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrovia.session import delete_path, path_exists, scratch_dir
+from ferrovia.session import child_folders, delete_path, path_exists, scratch_dir
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -54,6 +55,13 @@ def write_snapshot(df: DataFrame, root: str, feed: str, stamp: str) -> str:
     return path
 
 
+def write_stamped_snapshots(df: DataFrame, root: str, feed: str, stamp: str = "fetched_at") -> None:
+    """Realtime rows as one folder per snapshot stamp (``snapshot=<stamp>``); rows
+    of a stamp that is written again replace it (dynamic partition overwrite)."""
+    (df.withColumn("snapshot", F.col(stamp)).write.mode("overwrite").partitionBy("snapshot")
+     .parquet(f"{root.rstrip('/')}/{feed}"))
+
+
 def read_bronze(spark: SparkSession, root: str, feed: str, schema=None) -> DataFrame:
     """Scan every snapshot of a feed; ``snapshot`` becomes a partition column."""
     r = spark.read
@@ -65,28 +73,75 @@ def read_bronze(spark: SparkSession, root: str, feed: str, schema=None) -> DataF
 def latest_snapshot(df: DataFrame, col: str = "snapshot") -> DataFrame:
     """Rows of the most recent snapshot only (full-refresh feeds).
 
-    Equi-join with the one-row ``max(snapshot)`` aggregate; with ``snapshot``
-    as a partition column the join becomes dynamic partition pruning, so only
-    the newest folder is read.
+    Equi-join with the one-row ``max(snapshot)`` aggregate.  The join reads every
+    snapshot: for snapshots on disk use :func:`read_latest_snapshot`.
     """
     latest = df.agg(F.max(col).alias(col))
     return df.join(latest, col)
 
 
+def read_latest_snapshot(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """The newest snapshot of a feed.  It is found by listing the folder names, so
+    older snapshots are neither listed in depth nor read."""
+    base = f"{root.rstrip('/')}/{feed}"
+    names = [n for n in child_folders(spark, base) if n.startswith("snapshot=")]
+    if not names:
+        raise FileNotFoundError(base)
+    return spark.read.option("basePath", base).parquet(f"{base}/{max(names)}")
+
+
 def load_bronze_full(df: DataFrame, path: str) -> None:
-    """Full refresh: replace the table with the latest snapshot."""
-    src = latest_snapshot(df) if "snapshot" in df.columns else df
-    src.write.mode("overwrite").parquet(path)
+    """Full refresh: replace the table with the rows given (of one snapshot:
+    :func:`read_latest_snapshot`)."""
+    df.write.mode("overwrite").parquet(path)
+
 
+def batch_folder(path: str, source: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/source={source}/batch_id={batch_id}"
 
-def load_bronze_append(df: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append load.  With a ``batch_id`` the batch lands in its own
-    ``batch_id=<n>`` folder with overwrite, so a replayed micro-batch replaces
-    its own earlier attempt instead of appending twice."""
+
+def load_bronze_append(df: DataFrame, path: str, batch_id: int | None = None, source: str = "manual") -> None:
+    """Append load.  With a ``batch_id`` the batch lands in a folder of its own,
+    named by the source (one per checkpoint) and the batch, with overwrite: a
+    replayed micro-batch replaces its own earlier attempt, and a new checkpoint,
+    which counts from 0 again, never touches what another one has landed."""
     if batch_id is None:
         df.write.mode("append").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(batch_folder(path, source, batch_id))
+
+
+def compact_bronze(spark: SparkSession, path: str, source: str, before: int, files: int = 1) -> int:
+    """Merge a source's batch folders below ``before`` into one, ``upto=<n>``; the
+    small folders go only after the merged one has been written.  Returns how many
+    went.  Run it while no batch below ``before`` can be replayed."""
+    base = f"{path.rstrip('/')}/source={source}"
+    old = [n for n in child_folders(spark, base)
+           if n.startswith("batch_id=") and n[9:].isdigit() and int(n[9:]) < before]
+    if len(old) < 2:
+        return 0
+    merged = spark.read.parquet(*[f"{base}/{n}" for n in old])
+    if files:
+        merged = merged.coalesce(files)
+    merged.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(
+        f"{base}/batch_id=upto{before}")
+    for n in old:
+        delete_path(spark, f"{base}/{n}")
+    return len(old)
+
+
+def read_partitions(spark: SparkSession, path: str, column: str, values, schema=None) -> DataFrame | None:
+    """The given partitions of a table partitioned by ``column``; None if it has
+    none of them.  Only their folders are listed and opened."""
+    base = path.rstrip("/")
+    wanted = {f"{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in values}
+    names = sorted(wanted.intersection(child_folders(spark, base)))
+    if not names:
+        return None
+    reader = spark.read.option("basePath", base)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*[f"{base}/{n}" for n in names])
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by=None) -> None:
@@ -97,24 +152,17 @@ def overwrite_table(df: DataFrame, path: str, partition_by=None) -> None:
 
 
 def table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Scan a table, or an empty frame with ``schema`` when it does not exist."""
+    """Scan a table, or an empty frame with ``schema`` when it doesn't exist yet or
+    has no row yet."""
     if path_exists(spark, path):
-        return spark.read.parquet(path)
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
     return spark.createDataFrame([], schema)
 
 
 def write_sample(df: DataFrame, path: str, n: int = 500) -> None:
     """First ``n`` rows as one CSV file with header (a size-bounded sample)."""
     df.limit(n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the cluster has task
-    slots (one huge row group, a non-splittable file) before CPU-heavy
-    per-row work.  Inputs that are already split widely — the normal case for
-    large tables — are returned untouched, so no shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

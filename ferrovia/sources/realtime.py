@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ferrovia.functions.timeparse import stamp_from_file_name
 
+DOCUMENTS_PER_FILE = 20_000
 TEXT_SCHEMA = StructType([StructField("value", StringType())])
 
 
@@ -58,5 +59,6 @@ def stamped_documents(docs: DataFrame) -> DataFrame:
 
 
 def land_documents(docs: DataFrame, path: str) -> None:
-    """Append ``(fetched_at, value)`` documents to a ``lines`` landing folder."""
-    stamped_documents(docs).write.mode("append").text(path)
+    """Append ``(fetched_at, value)`` documents to a ``lines`` landing folder, in
+    files of a bounded number of documents."""
+    stamped_documents(docs).write.mode("append").option("maxRecordsPerFile", DOCUMENTS_PER_FILE).text(path)

@@ -1,15 +1,13 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
-import os
-
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ferrovia.plans import catalog
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"stream_realtime_delays", "stream_hourly_window", "stream_hourly_delays"}
 
 
 @pytest.fixture(scope="module")
@@ -20,10 +18,8 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    if name in SLOW and not os.environ.get("FERROVIA_SLOW_TESTS"):
-        pytest.skip("streaming parity runs in test_jobs; set FERROVIA_SLOW_TESTS=1 to repeat here")
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
@@ -40,4 +36,4 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
