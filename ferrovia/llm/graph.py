@@ -33,6 +33,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out
 
 
+def roots_of(forest: DataFrame) -> DataFrame:
+    """(node, root) from (node, root) links in which each node has one smaller
+    parent: paths are halved by joining the links to themselves until no parent
+    has a parent."""
+    now = stored(forest.select("node", "root"), "forest")
+    while True:
+        up = now.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        after = stored(now.join(up, "root", "left").select(
+            "node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), "forest")
+        drop_stored(now)
+        now = after.select("node", "root")
+        now._stored_path = after._stored_path
+        if after.where("moved").isEmpty():
+            return now
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge to another one; ``root`` is the
     smallest node of its component (a root itself is not listed)."""

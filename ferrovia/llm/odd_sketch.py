@@ -8,10 +8,10 @@ in which each sample flips one bit.  The XOR of two sketches has as many bits
 as the samples differ in, so its population count estimates a high similarity
 within a few hundredths.
 
-Candidates of a band are checked against the band's smallest member first (a
-star, never all pairs).  Members of a band that are still in different
-components then are compared directly, as a join with the sketch estimate as
-its condition.  A candidate that the sketch doesn't rule out by far is
+Candidates are checked against the smallest member of their bands first (one
+pair per document, never all pairs).  Members of a band that are still in
+different components then are compared directly, as a join with the sketch
+estimate as its condition.  A candidate that the sketch doesn't rule out by far is
 confirmed on the full shingle sets, and components are built from confirmed
 links.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrovia.llm.common import drop_stored, folded_words, stored, text_values
-from ferrovia.llm.graph import components
+from ferrovia.llm.graph import components, roots_of
 
 SHINGLE = 5
 BANDS, ROWS = 45, 5
@@ -176,8 +176,7 @@ def estimate(a, b):
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
-    ids = stored(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id")))
-                 .distinct(), "near-ids")
+    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     members = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = stored(full_sets(members).dropDuplicates(["rep"]), "near-sets")
     a = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a"))
@@ -185,7 +184,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     both = F.size(F.array_intersect("a", "b"))
     out = stored(pairs.join(a, "u").join(b, "v")
                  .where(100 * both >= SIMILARITY * (F.size("a") + F.size("b") - both)).select("u", "v"), "near-links")
-    drop_stored(ids)
     drop_stored(sets)
     return out
 
@@ -207,31 +205,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     kb = sketches.select(F.col("rep").alias("v"), F.col("sketch").alias("b"))
     likely = estimate(F.col("a"), F.col("b")) >= LEAST_ESTIMATE
 
-    star = stored(crowd.where("rep != center").select(F.col("center").alias("u"), F.col("rep").alias("v")).distinct(),
-                  "near-star")
+    # First each document against the smallest member of all its bands: one pair.
+    star = crowd.groupBy("rep").agg(F.min("center").alias("u")).where("u != rep").withColumnRenamed("rep", "v")
     near = stored(star.join(ka, "u").join(kb, "v").where(likely).select("u", "v"), "near-pairs")
     links = _confirmed(near, docs)
-    first = components(links)
+    first = roots_of(links.select(F.col("v").alias("node"), F.col("u").alias("root")))
 
-    # Band members that the stars have not joined to their band's smallest one.
+    # Then, in bands whose members are not in one component yet, each member
+    # outside the component of the band's smallest one against all the others.
     root = lambda name: first.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
     placed = stored(crowd.join(root("rep"), "rep", "left").join(root("center"), "center", "left").select(
-        "band", "center", "rep", F.coalesce("rep_root", "rep").alias("comp"),
+        "band", "rep", F.coalesce("rep_root", "rep").alias("comp"),
         F.coalesce("center_root", "center").alias("center_comp")), "near-placed")
     apart = stored(placed.where("comp != center_comp").join(kb.withColumnRenamed("v", "rep"), "rep")
                    .select("band", F.col("rep").alias("v"), F.col("comp").alias("v_comp"), "b"), "near-apart")
-    open_bands = apart.select("band").distinct()
-    others = stored(placed.join(open_bands, "band", "left_semi").where("rep != center")
-                    .join(ka.withColumnRenamed("u", "rep"), "rep")
-                    .select("band", F.col("rep").alias("u"), F.col("comp").alias("u_comp"), "a"), "near-others")
-    rest = stored(others.join(apart, "band").where((F.col("u_comp") != F.col("v_comp")) & likely)
-                  .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near-rest")
-    more = _confirmed(rest, docs)
-    roots = components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    tables = [shared, crowd, near, links, placed, apart]
+    roots = first
+    if not apart.isEmpty():
+        open_bands = apart.select("band").distinct()
+        others = stored(placed.join(open_bands, "band", "left_semi").join(ka.withColumnRenamed("u", "rep"), "rep")
+                        .select("band", F.col("rep").alias("u"), F.col("comp").alias("u_comp"), "a"), "near-others")
+        rest = stored(others.join(apart, "band").where((F.col("u_comp") != F.col("v_comp")) & likely)
+                      .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near-rest")
+        tables += [others, rest]
+        if not rest.isEmpty():
+            more = _confirmed(rest, docs)
+            tables.append(more)
+            if not more.isEmpty():
+                roots = components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
     classes = stored(reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                      .select("digest", F.coalesce("root", "rep").alias("class_root")), "near-classes")
-    for x in (shared, crowd, star, near, links, placed, apart, others, rest, more):
+    for x in tables:
         drop_stored(x)
     found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     return found.join(classes, "digest", "left").select(
