@@ -537,12 +537,12 @@ def _streamed_gold(spark, sf_dir, name: str) -> DataFrame:
     return spark.read.parquet(f"{tv.streamed_lake}/gold/{name}").drop("_refreshed_at")
 
 
-@register("stream_gold_route_daily", O.with_ctes("SELECT * FROM route_daily"))
+@register("stream_gold_route_daily", O.with_ctes("SELECT * FROM route_daily_doc", O.DOCUMENT_CTES))
 def q_stream_gold_route_daily(spark, sf_dir):
     return _streamed_gold(spark, sf_dir, "route_daily_performance")
 
 
-@register("stream_gold_hourly", O.with_ctes("SELECT * FROM hourly"))
+@register("stream_gold_hourly", O.with_ctes("SELECT * FROM hourly_doc", O.DOCUMENT_CTES))
 def q_stream_gold_hourly(spark, sf_dir):
     return _streamed_gold(spark, sf_dir, "hourly_network_pattern")
 

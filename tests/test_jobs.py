@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ferrovia.operators import dims, facts, flatten
 from ferrovia.plans import jobs
 from ferrovia.plans import testviews as TV
+from ferrovia.sources import lake as lake_io
 from ferrovia.sources.realtime import land_documents
 from ferrovia.streaming import realtime as ST
 from tests.conftest import rows
@@ -54,7 +55,13 @@ def test_run_static_from_csv_feeds(spark, tmp):
             part = [f for f in os.listdir(out) if f.endswith(".csv")][0]
             os.makedirs(landing, exist_ok=True)
             os.rename(f"{out}/{part}", f"{landing}/{name}.txt")
-    verdicts = {r.name: r.status for r in jobs.run_static(spark, landing, f"{tmp}/lake", TV.AS_OF).collect()}
+    with open(f"{landing}/agency.txt", "a", encoding="utf-8") as f:
+        f.write("too,many,fields,in,this,row,for,the,header,of,agency\n")
+    out = jobs.run_static(spark, landing, f"{tmp}/lake", TV.AS_OF, samples=f"{tmp}/samples").collect()
+    verdicts = {r.name: r.status for r in out}
+    assert {r.name: r.dropped_rows for r in out if r.dropped_rows} == {"agency": 1}
+    assert spark.read.option("header", True).csv(f"{tmp}/samples/stops").count() == 200
+    assert "_loaded_at" in spark.read.parquet(f"{tmp}/lake/bronze/stops").columns
     assert verdicts["calendar"] == "FAIL" and verdicts["stops"] in ("PASS", "WARN")
     silver = f"{tmp}/lake/silver"
     tv = TV.TransitViews(spark, SF, persist=None)
@@ -103,6 +110,50 @@ def test_realtime_batches_replay_and_incremental_gold(spark, tmp):
     assert rows(sc.select(*tv.scorecard().columns)) == rows(tv.scorecard())
 
 
+def test_one_feed_alone_and_a_failing_feed(spark, tmp):
+    import pytest
+    lake = f"{tmp}/lake"
+    tv = _static_silver(spark, lake)
+    tu = TV.bronze_trip_updates(spark, SF)
+    dropped = jobs.run_realtime_batch(spark, tu, None, lake, 0)    # no position was ever landed
+    got = spark.read.parquet(f"{lake}/gold/route_daily_performance")
+    assert got.count() == tv.route_daily().count() and got.where("active_vehicles is not null").isEmpty()
+    assert dropped == {"trip_updates": tu.count() - tv.delays.count()}
+    # positions that can't be built into facts: the other feed and Gold go on
+    broken = TV.bronze_vehicle_positions(spark, SF).drop("speed_mps")
+    late = tu.limit(5).withColumn("fetched_at", F.lit("20250401T080000Z"))
+    with pytest.raises(jobs.FeedError, match="vehicle_positions"):
+        jobs.run_realtime_batch(spark, late, broken, lake, 1)
+    assert spark.read.parquet(f"{lake}/silver/fact_realtime_delays").where("fetched_date_key = 20250401").count() == 5
+
+
+def test_both_feeds_stream_with_gold(spark, tmp):
+    lake = f"{tmp}/lake"
+    tv = _static_silver(spark, lake)
+    land_documents(TV.trip_update_docs(spark, SF).repartition(2, F.get_json_object("value", "$.entity[0].tripUpdate.trip.tripId")),
+                   f"{tmp}/tu")
+    land_documents(TV.vehicle_position_docs(spark, SF).repartition(2), f"{tmp}/vp")
+    for _ in range(2):   # the second start finds nothing new
+        ST.await_all(ST.start_realtime(spark, f"{tmp}/tu", f"{tmp}/vp", lake, f"{tmp}/chk", trigger="availableNow",
+                                       max_files_per_trigger=1))
+    assert spark.read.parquet(f"{lake}/silver/fact_realtime_delays").count() == tv.delays.count()
+    trend = spark.read.parquet(f"{lake}/gold/delay_trend_daily")
+    assert rows(trend.select(*tv.trend().columns)) == rows(tv.trend())
+    # another checkpoint counts its batches from 0 again; Bronze keeps both
+    before = spark.read.parquet(f"{lake}/bronze/trip_updates").count()
+    ST.await_all(ST.start_realtime(spark, f"{tmp}/tu", f"{tmp}/nowhere", lake, f"{tmp}/chk2", trigger="availableNow",
+                                   refresh_gold=False))
+    assert spark.read.parquet(f"{lake}/bronze/trip_updates").count() == 2 * before
+    assert spark.read.parquet(f"{lake}/silver/fact_realtime_delays").count() == tv.delays.count()
+
+
+def test_bronze_compaction(spark, tmp):
+    for k in range(4):
+        lake_io.load_bronze_append(spark.range(k, k + 3).withColumn("fetched_at", F.lit("x")), f"{tmp}/b", k, "s")
+    assert lake_io.compact_bronze(spark, f"{tmp}/b", "s", before=3) == 3
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/b").collect()) == sorted(i for k in range(4) for i in range(k, k + 3))
+
+
 def test_stream_equals_batch(spark, tmp):
     docs = TV.trip_update_docs(spark, SF)
     trip = F.get_json_object("value", "$.entity[0].tripUpdate.trip.tripId")

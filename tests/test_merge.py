@@ -99,3 +99,11 @@ def test_insert_if_absent_idempotent_property(spark):
         assert len(rows(once)) == len(t) + len([x for x in s if x not in set(t)])
 
     check()
+
+
+def test_null_keys_do_not_pile_up(spark):
+    target = spark.createDataFrame([(1, None, 1), (1, "b", 2)], "week int, agency string, n int")
+    fresh = spark.createDataFrame([(1, None, 5)], "week int, agency string, n int")
+    for _ in range(3):
+        target = merge.upsert(target, fresh, ["week", "agency"], ["n"], "keep")
+    assert sorted((r.agency or "", r.n) for r in target.collect()) == [("", 5), ("b", 2)]

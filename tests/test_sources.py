@@ -66,6 +66,20 @@ def test_bad_rows_and_null_tokens(spark, tmp):
     assert kept.count() == 4
 
 
+def test_quoting_and_column_order_per_file(spark, tmp):
+    _write(f"{tmp}/feed/stops.txt/a.csv",
+           'stop_id,stop_name,stop_lat,stop_lon\n'
+           'A,"St ""Quay"", North",51.1,-8.1\nB,"He ""x""",52.0,-7.0\nC,"two\nlines",53.0,-6.0\n')
+    _write(f"{tmp}/feed/stops.txt/b.csv", "stop_lon,stop_lat,stop_name,stop_id\n-5.5,54.5,Last,D\n")
+    got = {r.stop_id: (r.stop_name, r.stop_lat, r.stop_lon) for r in feeds.read_feed_csv(spark, f"{tmp}/feed", "stops").collect()}
+    assert got == {"A": ('St "Quay", North', 51.1, -8.1), "B": ('He "x"', 52.0, -7.0), "C": ("two\nlines", 53.0, -6.0),
+                   "D": ("Last", 54.5, -5.5)}
+    path = feeds.land_feed_csv(feeds.read_feed_csv(spark, f"{tmp}/feed", "stops").drop("_ingested_at"), f"{tmp}/again", "stops")
+    assert path.endswith("stops.txt")
+    again = {r.stop_id: (r.stop_name, r.stop_lat, r.stop_lon) for r in feeds.read_feed_csv(spark, f"{tmp}/again", "stops").collect()}
+    assert again == got
+
+
 def test_dirty_numbers_become_null(spark, tmp):
     _write(f"{tmp}/feed/stop_times.txt",
            "trip_id,arrival_time,departure_time,stop_id,stop_sequence\nT,7:05:00,7:05:00,S,x\n")
