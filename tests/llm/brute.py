@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -104,28 +105,31 @@ def components(rows):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-def removed_bytes(rows, size=400):
-    """doc_id -> (bytes, removed, spans, sha of the rest)."""
-    data = {d: (t or "").encode() for d, t in rows}
-    count = Counter(b[i:i + size] for b in data.values() for i in range(len(b) - size + 1))
-    out = {}
-    for d, b in data.items():
+def removed_bytes(texts, size=400):
+    """(bytes, removed, spans, sha of the rest) of each text."""
+    data = [(t or "").encode() for t in texts]
+    count = Counter(b[i:i + size] for b in data for i in range(len(b) - size + 1))
+    out = []
+    for b in data:
         gone = np.zeros(len(b) + 2, bool)
         for i in range(len(b) - size + 1):
             if count[b[i:i + size]] > 1:
                 gone[i + 1:i + size + 1] = True
         runs = int((gone[1:] & ~gone[:-1]).sum())
         keep = ~gone[1:-1]
-        out[d] = (len(b), int((~keep).sum()), runs, sha(np.frombuffer(b, np.uint8)[keep].tobytes()))
+        out.append((len(b), int((~keep).sum()), runs, sha(np.frombuffer(b, np.uint8)[keep].tobytes())))
     return out
 
 
+def crc(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+
+
 def unigram_base(rows):
-    """doc_id -> (held_out, tokens, known, N, base score)."""
-    import math
-    toks = {d: [*WORD.findall(lower(t)), None] for d, t in rows}
-    held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d in toks}
-    c = Counter(w for d, ts in toks.items() if not held[d] for w in ts)
+    """(held out, tokens, known, N, base score) of each (doc_id, text)."""
+    toks = [[*WORD.findall(lower(t)), None] for _, t in rows]
+    held = [crc(d) % 10 == 0 for d, _ in rows]
+    c = Counter(w for h, ts in zip(held, toks, strict=True) if not h for w in ts)
     n, v = sum(c.values()), len(c)
-    return {d: (held[d], len(ts), sum(c[w] > 0 for w in ts), n,
-                sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)) for d, ts in toks.items()}
+    return [(h, len(ts), sum(c[w] > 0 for w in ts), n,
+             sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)) for h, ts in zip(held, toks, strict=True)]
