@@ -4,9 +4,10 @@ The values are made once per distinct token and joined to the documents' own
 token frequencies.  Token frequencies are steep: the tokens that hold at least
 one in ``HOT_SHARE`` of all occurrences (at most ``HOT_SHARE`` of them, whatever
 the data) are broadcast, and a document's occurrences of them are summed where
-the document is read.  Only its rarer tokens are shuffled, one row for each with
-its frequency in the document, and joined to the value table; no token has more
-rows there than that share of all occurrences.
+the document is read.  Only its rarer tokens are shuffled: a task gathers the
+documents that hold a rare token, with its frequency in each, in one row, which
+is joined to the value table.  No token has more occurrences there than that
+share of all.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from ferrovia.llm.common import text_values
 HOT_SHARE = 400_000
 # A longer token is never broadcast, so that the broadcast's bytes are bounded.
 HOT_LENGTH = 64
-# Distinct tokens that a task holds before it hands on their counts.
+# Distinct tokens that a task holds before it hands them on.
 HELD_TOKENS = 300_000
 
 Split = Callable[[str], list[bytes]]
@@ -75,18 +76,23 @@ def document_sums(docs: DataFrame, split: Split, values: DataFrame, columns: dic
         known = shared.value
         row = TaskContext.get().partitionId() << 36
         for batch in it:
-            out: tuple[list, ...] = tuple([] for _ in range(6))
-            sums: list[list] = [[] for _ in names]
-
-            def rows(id_arrow=batch.column("doc_id").type) -> pa.RecordBatch:
-                types = [pa.int64(), pa.binary(), pa.int64(), id_arrow, pa.int64(), pa.int64()]
-                made = pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, types, strict=True)]
-                    + [pa.array(c, t) for c, t in zip(sums, arrow, strict=True)],
-                    ["row", "token", "times", "doc_id", "n_bytes", "n_tokens", *[f"hot_{c}" for c in names]])
-                for c in (*out, *sums):
-                    c.clear()
-                return made
+            whole = pa.struct([("doc_id", batch.column("doc_id").type), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()),
+                               *zip(names, arrow, strict=True)])
+            rare: dict[bytes, list[tuple[int, int]]] = {}
+            owns: list[tuple[int, dict]] = []
+
+            def rows(whole=whole, rare=rare, owns=owns) -> Iterator[pa.RecordBatch]:
+                # One row for each rare token of these documents with all of its
+                # occurrences, and one row per document with its own figures.
+                lists = pa.list_(pa.int64()), pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rare.keys(), pa.binary()), pa.array([[r for r, _ in v] for v in rare.values()], lists[0]),
+                     pa.array([[n for _, n in v] for v in rare.values()], lists[1]), pa.nulls(len(rare), whole)], fields)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b"\x00%d" % r for r, _ in owns], pa.binary()), pa.array([[r] for r, _ in owns], lists[0]),
+                     pa.array([[0]] * len(owns), lists[1]), pa.array([o for _, o in owns], whole)], fields)
+                rare.clear()
+                owns.clear()
 
             texts = text_values(batch.column("text"))
             keys = batch.column("doc_id").to_pylist()
@@ -95,31 +101,29 @@ def document_sums(docs: DataFrame, split: Split, values: DataFrame, columns: dic
                 more = [list(own[c](documents)) if own and c in own else [0] * len(documents) for c in names]
                 for k, tokens in enumerate(documents):
                     counts = Counter(tokens)
-                    met = [(n, known[t]) for t, n in counts.items() if t in known]
-                    # The document's own figures travel with its first rare token;
-                    # one without any has a row with a token that never counts.
-                    rare = [t for t in counts if t not in known] or [b"\x00%d" % row]
-                    first = len(out[0])
-                    out[0].extend([row] * len(rare))
-                    out[1].extend(rare)
-                    out[2].extend([counts.get(t, 0) for t in rare])
-                    for c in (*out[3:], *sums):
-                        c.extend([None] * len(rare))
-                    out[3][first], out[5][first] = keys[at + k], len(tokens)
-                    out[4][first] = len(texts[at + k].encode("utf-8", "replace"))
-                    for i, c in enumerate(sums):
-                        c[first] = more[i][k] + sum(n * v[i] for n, v in met)
+                    met = []
+                    for t, n in counts.items():
+                        if t in known:
+                            met.append((n, known[t]))
+                        elif t in rare:
+                            rare[t].append((row, n))
+                        else:
+                            rare[t] = [(row, n)]
+                    owns.append((row, {"doc_id": keys[at + k], "n_tokens": len(tokens),
+                                       "n_bytes": len(texts[at + k].encode("utf-8", "replace"))}
+                                 | {c: more[i][k] + sum(n * v[i] for n, v in met) for i, c in enumerate(names)}))
                     row += 1
-                    if len(out[0]) > 200_000:
-                        yield rows()
-            if out[0]:
-                yield rows()
+                if len(rare) > HELD_TOKENS:
+                    yield from rows()
+            yield from rows()
 
+    fields = ["token", "rows", "times", "own"]
     made = docs.select("doc_id", "text").mapInArrow(
-        run, f"row long, token binary, times long, doc_id {id_type}, n_bytes long, n_tokens long, "
-             + ", ".join(f"hot_{c} {t}" for c, t in columns.items()))
+        run, f"token binary, rows array<long>, times array<int>, own struct<doc_id:{id_type},n_bytes:long,n_tokens:long,"
+             + ",".join(f"{c}:{t}" for c, t in columns.items()) + ">")
     joined = made.join(values.where(~is_hot).select("token", *names), "token", "left")
-    return joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"),
-        *[(F.max(f"hot_{c}") + F.coalesce(F.sum(F.col("times") * F.col(c)), F.lit(0))).cast(t).alias(c)
-          for c, t in columns.items()]).drop("row")
+    each = joined.select("own", *names, F.explode(F.arrays_zip("rows", "times")).alias("at"))
+    return each.groupBy("at.rows").agg(
+        *[F.max(f"own.{c}").alias(c) for c in ("doc_id", "n_bytes", "n_tokens")],
+        *[(F.max(f"own.{c}") + F.coalesce(F.sum(F.col("at.times") * F.col(c)), F.lit(0))).cast(t).alias(c)
+          for c, t in columns.items()]).drop("rows")
