@@ -21,6 +21,7 @@ from ferrovia.llm import (
     suffix_dedup,
     token_counts,
 )
+from ferrovia.llm.oracle import ORACLE
 
 
 def tokenizer(name: str) -> str:
@@ -108,4 +109,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_pitman_yor, op2_secrets, op3_packing, op4_decontamination, op5_token_counts, op6_odd_sketch,
         op7_induced_sorting, op8_language_id, op9_preference, op10_quality_rules)}
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "tokenizer"]
