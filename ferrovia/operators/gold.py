@@ -144,7 +144,7 @@ def stop_delay_hotspot(delays: DataFrame, dim_stop: DataFrame) -> DataFrame:
 
     Two-level aggregation: (day, stop, route) partials first, then (day, stop)
     sums plus an ``min(struct(...))`` arg-max for the worst route — one pass
-    over the fact, no second scan and no per-group sort.  Ties on the average
+    over the fact, no second scan (Spark sorts each task's groups for the struct minimum).  Ties on the average
     go to the smallest route_id; routes whose delays are all unknown rank last.
     """
     lvl1 = (delays.groupBy(F.col("fetched_date_key").alias("date_key"), "stop_id", "route_id")
