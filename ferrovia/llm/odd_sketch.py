@@ -8,10 +8,10 @@ in which each sample flips one bit.  The XOR of two sketches has as many bits
 as the samples differ in, so its population count estimates a high similarity
 within a few hundredths.
 
-Candidates are checked against the smallest member of their bands first (one
-pair per document, never all pairs).  Members of a band that are still in
-different components then are compared directly, as a join with the sketch
-estimate as its condition.  A candidate that the sketch doesn't rule out by far is
+Candidates are checked against one center of their bands first (one pair per
+document, never all pairs).  Members of a band that are still in different
+components then are compared directly, as a join with the sketch estimate and
+the confirmation as its condition.  A candidate that the sketch doesn't rule out by far is
 confirmed on the full shingle sets, and components are built from confirmed
 links.
 
@@ -41,8 +41,8 @@ SAMPLES = BANDS * ROWS
 BITS = 512
 # 75 of 100; links are confirmed on integers.
 SIMILARITY = 75
-# Pairs estimated below this are no candidates: six standard errors under 0.75.
-LEAST_ESTIMATE = 0.55
+# Pairs estimated below this are no candidates: four standard errors under 0.75.
+LEAST_ESTIMATE = 0.62
 # Words whose hashes a worker keeps.
 KEPT_WORDS = 400_000
 
@@ -174,18 +174,16 @@ def estimate(a, b):
     return F.lit(1.0) + F.lit(BITS / (4.0 * SAMPLES)) * F.log(inside)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    members = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    sets = stored(full_sets(members).dropDuplicates(["rep"]), "near-sets")
-    a = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    out = stored(pairs.join(a, "u").join(b, "v")
-                 .where(100 * both >= SIMILARITY * (F.size("a") + F.size("b") - both)).select("u", "v"), "near-links")
-    drop_stored(sets)
-    return out
+def _similar(a: str, b: str):
+    """Whether two columns of full sets are similar enough."""
+    both = F.size(F.array_intersect(a, b))
+    return 100 * both >= SIMILARITY * (F.size(a) + F.size(b) - both)
+
+
+def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(rep, shingles) of the documents with these ids (column ``rep``)."""
+    members = docs.join(ids.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return stored(full_sets(members).dropDuplicates(["rep"]), name)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -197,45 +195,64 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-reps")
     rows = reps.select("rep", F.explode("bands").alias("band"))
-    shared = stored(rows.groupBy("band").agg(F.min("rep").alias("center"), F.count("*").alias("n"))
-                    .where("n > 1").select("band", "center"), "near-bands")
-    crowd = stored(rows.join(shared, "band").select("band", "center", "rep"), "near-crowd")
-    sketches = reps.select("rep", "sketch")
-    ka = sketches.select(F.col("rep").alias("u"), F.col("sketch").alias("a"))
-    kb = sketches.select(F.col("rep").alias("v"), F.col("sketch").alias("b"))
+    shared = stored(rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "near-bands")
+    crowd = stored(rows.join(shared, "band"), "near-crowd")
+    # A band's center is its member with the most company in all its bands: of a
+    # family of near copies, one that was changed little.  (weight, id) orders them.
+    weights = crowd.groupBy("rep").agg(F.sum("n").alias("weight"))
+    weighted = stored(crowd.join(weights, "rep").select("band", "rep", "weight"), "near-weighted")
+    centers = stored(weighted.groupBy("band").agg(F.max(F.struct("weight", -F.col("rep"))).alias("m"))
+                     .select("band", (-F.col("m.col2")).alias("center"), F.col("m.weight").alias("center_weight")), "near-centers")
+    starred = stored(weighted.join(centers, "band").select("band", "rep", "center", "center_weight"), "near-starred")
+    ka = reps.select(F.col("rep").alias("u"), F.col("sketch").alias("a"))
+    kb = reps.select(F.col("rep").alias("v"), F.col("sketch").alias("b"))
     likely = estimate(F.col("a"), F.col("b")) >= LEAST_ESTIMATE
 
-    # First each document against the smallest member of all its bands: one pair.
-    star = crowd.groupBy("rep").agg(F.min("center").alias("u")).where("u != rep").withColumnRenamed("rep", "v")
+    # First each document against the center that most of its bands have: one
+    # pair.  Centers come later in the order, so the links form a forest.
+    star = (starred.where("rep != center").groupBy("rep", "center", "center_weight").agg(F.count("*").alias("n"))
+            .groupBy("rep").agg(F.max(F.struct("n", "center_weight", -F.col("center"))).alias("m"))
+            .select(F.col("rep").alias("v"), (-F.col("m.col3")).alias("u")))
     near = stored(star.join(ka, "u").join(kb, "v").where(likely).select("u", "v"), "near-pairs")
-    links = _confirmed(near, docs)
+    sets = _sets_of(near.select(F.explode(F.array("u", "v")).alias("rep")), docs, "near-sets")
+    links = stored(near.join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("x")), "u")
+                   .join(sets.select(F.col("rep").alias("v"), F.col("shingles").alias("y")), "v")
+                   .where(_similar("x", "y")).select("u", "v"), "near-links")
     first = roots_of(links.select(F.col("v").alias("node"), F.col("u").alias("root")))
 
     # Then, in bands whose members are not in one component yet, each member
-    # outside the component of the band's smallest one against all the others.
+    # outside the center's component against all the others, confirmed at once:
+    # only links leave the join.
     root = lambda name: first.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-    placed = stored(crowd.join(root("rep"), "rep", "left").join(root("center"), "center", "left").select(
+    placed = stored(starred.join(root("rep"), "rep", "left").join(root("center"), "center", "left").select(
         "band", "rep", F.coalesce("rep_root", "rep").alias("comp"),
         F.coalesce("center_root", "center").alias("center_comp")), "near-placed")
-    apart = stored(placed.where("comp != center_comp").join(kb.withColumnRenamed("v", "rep"), "rep")
-                   .select("band", F.col("rep").alias("v"), F.col("comp").alias("v_comp"), "b"), "near-apart")
-    tables = [shared, crowd, near, links, placed, apart]
+    apart = stored(placed.where("comp != center_comp").select("band", "rep", "comp"), "near-apart")
+    tables = [shared, crowd, weighted, centers, starred, near, sets, links, placed, apart]
     roots = first
     if not apart.isEmpty():
-        open_bands = apart.select("band").distinct()
-        others = stored(placed.join(open_bands, "band", "left_semi").join(ka.withColumnRenamed("u", "rep"), "rep")
-                        .select("band", F.col("rep").alias("u"), F.col("comp").alias("u_comp"), "a"), "near-others")
-        rest = stored(others.join(apart, "band").where((F.col("u_comp") != F.col("v_comp")) & likely)
-                      .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near-rest")
-        tables += [others, rest]
-        if not rest.isEmpty():
-            more = _confirmed(rest, docs)
-            tables.append(more)
-            if not more.isEmpty():
-                roots = components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+        others = stored(placed.join(apart.select("band").distinct(), "band", "left_semi").select("band", "rep", "comp"),
+                        "near-others")
+        known = _sets_of(others, docs, "near-known")
+        side = lambda rows, name, k, x: (
+            rows.select("band", F.col("rep").alias(name), F.col("comp").alias(f"{name}_comp"))
+            .join(k, name).join(known.select(F.col("rep").alias(name), F.col("shingles").alias(x)), name))
+        left = stored(side(others, "u", ka, "x"), "near-left")
+        right = stored(side(apart, "v", kb, "y"), "near-right")
+        more = stored(left.join(right, "band").where((F.col("u_comp") != F.col("v_comp")) & likely & _similar("x", "y"))
+                      .select(F.least("u_comp", "v_comp").alias("u"), F.greatest("u_comp", "v_comp").alias("v")).distinct(),
+                      "near-more")
+        tables += [others, known, left, right, more]
+        if not more.isEmpty():
+            joined = components(more).withColumnRenamed("root", "top")
+            roots = (first.join(joined.withColumnRenamed("node", "root"), "root", "left")
+                     .select("node", F.coalesce("top", "root").alias("root"))
+                     .unionByName(joined.select("node", F.col("top").alias("root"))))
 
     classes = stored(reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-                     .select("digest", F.coalesce("root", "rep").alias("class_root")), "near-classes")
+                     .select("digest", "rep", F.coalesce("root", "rep").alias("top")), "near-classes")
+    lowest = stored(classes.groupBy("top").agg(F.min("rep").alias("class_root")), "near-lowest")
+    classes = stored(classes.join(lowest, "top").select("digest", "class_root"), "near-classes")
     for x in tables:
         drop_stored(x)
     found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
