@@ -20,6 +20,7 @@ import os
 import pickle
 import tempfile
 from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 # Tuples that a queue holds in memory.
@@ -71,27 +72,38 @@ def _chained(first, rest: Iterator) -> Iterator:
 
 
 class Queue:
-    """A priority queue whose overflow is sorted into runs on disk."""
+    """A priority queue of tuples (first symbol, rank, ...) pushed with rising
+    ranks: tuples of one symbol leave in the order in which they came, so each
+    symbol has a list and only the symbols form a heap.  Beyond ``limit`` tuples
+    all lists go to disk as one sorted run."""
 
     def __init__(self, limit: int = IN_MEMORY):
-        self.limit, self.heap, self.runs = limit, [], []
+        self.limit, self.held = limit, 0
+        self.lists: dict[int, deque] = {}
+        self.symbols: list[int] = []
+        self.runs: list[tuple] = []
 
     def push(self, item) -> None:
-        heapq.heappush(self.heap, item)
-        if len(self.heap) > self.limit:
-            self.heap.sort()
-            run = _run_on_disk(self.heap)
-            self.heap = []
+        mine = self.lists.get(item[0])
+        if mine is None:
+            mine = self.lists[item[0]] = deque()
+            heapq.heappush(self.symbols, item[0])
+        mine.append(item)
+        self.held += 1
+        if self.held > self.limit:
+            run = _run_on_disk([x for s in sorted(self.lists) for x in self.lists[s]])
             heapq.heappush(self.runs, (next(run), len(self.runs), run))
+            self.lists, self.symbols, self.held = {}, [], 0
 
     def first(self):
         """The smallest item, or None."""
-        if self.runs and (not self.heap or self.runs[0][0] < self.heap[0]):
+        mine = self.lists[self.symbols[0]][0] if self.symbols else None
+        if self.runs and (mine is None or self.runs[0][0] < mine):
             return self.runs[0][0]
-        return self.heap[0] if self.heap else None
+        return mine
 
     def pop(self):
-        if self.runs and (not self.heap or self.runs[0][0] < self.heap[0]):
+        if self.runs and (not self.symbols or self.runs[0][0] < self.lists[self.symbols[0]][0]):
             item, k, run = self.runs[0]
             after = next(run, None)
             if after is None:
@@ -99,7 +111,12 @@ class Queue:
             else:
                 heapq.heapreplace(self.runs, (after, k, run))
             return item
-        return heapq.heappop(self.heap)
+        mine = self.lists[self.symbols[0]]
+        item = mine.popleft()
+        self.held -= 1
+        if not mine:
+            del self.lists[heapq.heappop(self.symbols)]
+        return item
 
 
 class _Minima:
@@ -140,10 +157,10 @@ def _sampled_order(t: list[int], rising: bytearray, limit: int) -> list[int]:
     ends = {a: b for a, b in zip(places, places[1:], strict=False)}
     ends[places[-1]] = n - 1
     # With its type, no substring is the beginning of another.
-    typed = lambda a: tuple(2 * t[i] + rising[i] for i in range(a, ends[a] + 1))
+    typed = [2 * x + r for x, r in zip(t, rising, strict=True)]
     names, name, last = {}, 0, None
     order = []
-    for key, a in external_sorted(((typed(a), a) for a in places), limit):
+    for key, a in external_sorted(((typed[a:ends[a] + 1], a) for a in places), limit):
         if key != last:
             name, last = name + 1, key
         names[a] = name

@@ -208,9 +208,28 @@ def _sorted_shards(blocks: DataFrame) -> DataFrame:
     """(key, low, high): starts that repeat, of blocks (core, left, right, key, at)
     that are together with all others of their core."""
     def starts_of(shard: list[tuple]) -> Iterator[tuple]:
+        # Equal blocks repeat as a whole; one of them stands for all, and a core
+        # without a second block needs no sorting.
+        places: dict[tuple, list[tuple]] = {}
+        kinds: dict[bytes, int] = {}
+        for core, left, right, key, at in shard:
+            mine = places.setdefault((core, left, right), [])
+            kinds[core] = kinds.get(core, 0) + (not mine)
+            mine.append((key, at))
+        for (_, left, right), mine in places.items():
+            if len(mine) > 1:
+                shortest = max(0, BLOCK - 1 - len(right))  # the string of a start must end within
+                if shortest <= len(left):
+                    for key, at in mine:
+                        yield key, at - len(left), at - shortest
+        yield from sorted_starts([(*block, *mine[0]) for block, mine in places.items() if kinds[block[0]] > 1])
+
+    def sorted_starts(shard: list[tuple]) -> Iterator[tuple]:
         # Symbols: the end, a separator of each block's own, bytes, cores.
         t, first, cores = [], [], {}
         n = len(shard)
+        if not n:
+            return
         for k, (core, left, right, _, _) in enumerate(shard):
             first.append(len(t))
             t += [n + 1 + x for x in left]
@@ -229,6 +248,7 @@ def _sorted_shards(blocks: DataFrame) -> DataFrame:
             m = len(left)
             # A start at a byte before the core has its string's end in the right.
             hits = [at - m + k for k in range(m + 1) if repeat[i + k] and BLOCK - 1 - (m - k) <= len(right)]
+            # Start at - d has d bytes left of the core and BLOCK - 1 - d right of it.
             for lo, hi in _ranges(hits):
                 yield key, lo, hi
 
@@ -251,7 +271,9 @@ def _sorted_shards(blocks: DataFrame) -> DataFrame:
                 last = x[0]
         yield rows()
 
-    dealt = blocks.select("core", "left", "right", "key", "at").repartition("core").sortWithinPartitions("core")
+    # Few bytes, but much work for each: the configured number of tasks is kept.
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.select("core", "left", "right", "key", "at").repartition(tasks, "core").sortWithinPartitions("core")
     return dealt.mapInArrow(run, "key binary, low int, high int")
 
 
