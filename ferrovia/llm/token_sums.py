@@ -25,7 +25,9 @@ HOT_SHARE = 400_000
 # A longer token is never broadcast, so that the broadcast's bytes are bounded.
 HOT_LENGTH = 64
 # Distinct tokens that a task holds before it hands them on.
-HELD_TOKENS = 300_000
+HELD_TOKENS = 100_000
+# Documents that are split at a time.
+SLICE = 256
 
 Split = Callable[[str], list[bytes]]
 
@@ -44,8 +46,10 @@ def frequencies(docs: DataFrame, split: Split) -> DataFrame:
                 counts.clear()
 
         for batch in it:
-            for text, counts in zip(text_values(batch.column("text")), batch.column("counts").to_pylist(), strict=True):
-                seen[bool(counts)].update(split(text))
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                for text, counts in zip(text_values(part.column("text")), part.column("counts").to_pylist(), strict=True):
+                    seen[bool(counts)].update(split(text))
                 if len(seen[0]) + len(seen[1]) > HELD_TOKENS:
                     yield from rows()
         yield from rows()
@@ -94,10 +98,10 @@ def document_sums(docs: DataFrame, split: Split, values: DataFrame, columns: dic
                 rare.clear()
                 owns.clear()
 
-            texts = text_values(batch.column("text"))
-            keys = batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 256):
-                documents = [split(t) for t in texts[at:at + 256]]
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                texts, keys = text_values(part.column("text")), part.column("doc_id").to_pylist()
+                documents = [split(t) for t in texts]
                 more = [list(own[c](documents)) if own and c in own else [0] * len(documents) for c in names]
                 for k, tokens in enumerate(documents):
                     counts = Counter(tokens)
@@ -109,8 +113,8 @@ def document_sums(docs: DataFrame, split: Split, values: DataFrame, columns: dic
                             rare[t].append((row, n))
                         else:
                             rare[t] = [(row, n)]
-                    owns.append((row, {"doc_id": keys[at + k], "n_tokens": len(tokens),
-                                       "n_bytes": len(texts[at + k].encode("utf-8", "replace"))}
+                    owns.append((row, {"doc_id": keys[k], "n_tokens": len(tokens),
+                                       "n_bytes": len(texts[k].encode("utf-8", "replace"))}
                                  | {c: more[i][k] + sum(n * v[i] for n, v in met) for i, c in enumerate(names)}))
                     row += 1
                 if len(rare) > HELD_TOKENS:
