@@ -201,9 +201,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # family of near copies, one that was changed little.  (weight, id) orders them.
     weights = crowd.groupBy("rep").agg(F.sum("n").alias("weight"))
     weighted = stored(crowd.join(weights, "rep").select("band", "rep", "weight"), "near-weighted")
+    drop_stored(shared)
+    drop_stored(crowd)
     centers = stored(weighted.groupBy("band").agg(F.max(F.struct("weight", -F.col("rep"))).alias("m"))
                      .select("band", (-F.col("m.col2")).alias("center"), F.col("m.weight").alias("center_weight")), "near-centers")
     starred = stored(weighted.join(centers, "band").select("band", "rep", "center", "center_weight"), "near-starred")
+    drop_stored(weighted)
+    drop_stored(centers)
     ka = reps.select(F.col("rep").alias("u"), F.col("sketch").alias("a"))
     kb = reps.select(F.col("rep").alias("v"), F.col("sketch").alias("b"))
     likely = estimate(F.col("a"), F.col("b")) >= LEAST_ESTIMATE
@@ -228,7 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "band", "rep", F.coalesce("rep_root", "rep").alias("comp"),
         F.coalesce("center_root", "center").alias("center_comp")), "near-placed")
     apart = stored(placed.where("comp != center_comp").select("band", "rep", "comp"), "near-apart")
-    tables = [shared, crowd, weighted, centers, starred, near, sets, links, placed, apart]
+    tables = [starred, near, sets, links, placed, apart]
     roots = first
     if not apart.isEmpty():
         others = stored(placed.join(apart.select("band").distinct(), "band", "left_semi").select("band", "rep", "comp"),
