@@ -258,6 +258,40 @@ def test_scores_beat_the_base_on_held_out_text(spark):
     assert r["s"] > r["b"]
 
 
+def test_ordinary_words_are_learned_in_context(spark):
+    # 2,000 pairs of words, each word in about one of 6,000 tokens, and one word that is everywhere.
+    rng = random.Random(4)
+    train = [(k, " ".join(f"left{i} right{i} the" for i in rng.sample(range(2000), 20))) for k in range(1200)]
+    asked = [(2000 + i, f"the left{i} right{i}") for i in range(50)] + [(3000 + i, f"the left{i} right{i + 50}") for i in range(50)]
+    docs = spark.createDataFrame(train + asked + asked[:1], "doc_id long, text string")
+    got = pitman_yor.score(docs, docs["doc_id"] >= 2000).collect()
+    assert len(got) == 1301
+    score = {r["doc_id"]: r["score"] for r in got}
+    assert all(score[2000 + i] > score[3000 + i] + 1 for i in range(50))
+
+
+def test_word_hashes_follow_the_words():
+    texts = ["Ab  cd\tab", "", " ", "x" * 70 + "y ab", "x" * 6 + "y" + "x" * 64]
+    got, sizes = pitman_yor.word_hashes([t.encode() for t in texts])
+    words = [w for t in texts for w in pitman_yor.folded_words(t)]
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    assert len(got) == len(words) and len(set(got.tolist())) == len(set(words))
+    assert len(set(zip(got.tolist(), words, strict=True))) == len(set(words))
+
+
+def test_shard_probabilities_sum_to_one(spark):
+    import numpy as np
+    train = ["a b c a b d", "a b c", "c a b e e", "a"]
+    asked = [f"a b {w}" for w in "abcdef"] + ["a b"]
+    docs = spark.createDataFrame([(k, t, k < len(train)) for k, t in enumerate(train + asked)], "k long, text string, counts boolean")
+    model = pitman_yor.Shard(pitman_yor.dealt(docs.coalesce(1), np.empty(0, np.uint64), 1).toArrow(), np.empty(0, np.uint64))
+    state = model.sampled(np.random.default_rng(1), [None] + [(np.empty(0),) * 2] * 3, np.full(len(model.words), 1 / 7), 3, 1)[0]
+    p = model.probabilities(*state, model.totals(*state), np.full(len(model.words), 1 / 7))[3][model.parent[4]]
+    # The third symbol of each text asked: a to f and the end, all of the seven.
+    at = [np.flatnonzero(model.text == len(train) + i)[2] for i in range(7)]
+    assert math.isclose(p[at].sum(), 1, rel_tol=1e-9)
+
+
 def test_repeats(docs, rows):
     short = [(i, t) for i, t, _ in rows if len(t or "") < 60_000]
     some = docs.where(F.length(F.coalesce("text", F.lit(""))) < 60_000)
