@@ -45,7 +45,9 @@ MIN_VALUE, MIN_ACCESS = 12, 18
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 # Candidates of the battery.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,512}={0,2}(?![A-Za-z0-9+/_=-])")
+# An equals sign may stand before one (as in name=value); after one it is padding
+# where the string ends there.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 _DIGIT = re.compile("[0-9]")
 # A string of one case without a digit is a word (or words), not a key.
 LEVELS = 20

@@ -183,6 +183,14 @@ def test_planted_keys_are_found(spark):
     assert secrets.redact("abcdefgh", [(1, 3), (2, 5)]) == "a[SECRET]fgh"
 
 
+def test_candidates_after_a_name_and_of_any_length():
+    rng = random.Random(6)
+    key = "".join(rng.choice(secrets.ALPHABETS["base62"]) for _ in range(5000))
+    for text, want in ((f"AWS_SECRET_ACCESS_KEY={key[:40]}", key[:40]), (f"a sig={key[:28]}&x=1", key[:28]), (f"b {key} c", key),
+                       (f"k={key[:42]}==", key[:42] + "=="), (f"{key[:30]}=b", key[:30])):
+        assert want in [text[a:b] for a, b, *_ in secrets.candidates(text)]
+
+
 def test_near_duplicates(docs, rows):
     want = brute.components([(i, t) for i, t, _ in rows if i is not None])
     got = odd_sketch.near_duplicates(docs).collect()
