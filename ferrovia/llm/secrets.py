@@ -10,12 +10,14 @@ runs test about the alphabet's middle, a serial-correlation test, and, where
 the alphabet has them, a runs test over kinds of characters.
 
 Random strings pass each test; so do some short strings of plain text.  The
-control of false discoveries is therefore aware of the length: the strings of
-plain words in the same texts, cut to candidate lengths, are decoys.  For each
-encoding and length band, a combined level is accepted only where the decoys
+control of false discoveries is therefore aware of the length: all plain words
+of the same texts, joined and cut to candidate lengths, are decoys (of decimal
+and hexadecimal candidates: their digits, and the letters a to f).  For each
+encoding and length band of the candidates, a combined level is accepted only where the decoys
 at that level or above, per decoy, times the candidates, are at most ``fdr`` of
-the candidates there (Storey's estimate).  The histograms of both are summed
-over all documents.
+the candidates there (Storey's estimate).  The histograms of both are counted
+in each task and summed over all documents; decoys are counted in a second pass,
+once the candidates' encodings and bands are known.
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned
 alike; an empty table gives an empty result; in very long texts all matches are
@@ -29,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +55,9 @@ _DIGIT = re.compile("[0-9]")
 # A string of one case without a digit is a word (or words), not a key.
 LEVELS = 20
 FDR = 0.01
-# Every this many-th word run of a text gives a decoy.
-_PLAIN = re.compile(r"[A-Za-z]+")
+SHORTEST = 20
+# erfc of this is less than any level tells apart.
+_SURE = 5.5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -67,6 +71,10 @@ ALPHABETS = {
     "base64": _UPPER + _LOWER + "0123456789+/",
     "base64url": _UPPER + _LOWER + "0123456789-_",
 }
+_LETTERS = (_UPPER + _LOWER).encode()
+_NO_WORD = bytes(set(range(256)) - set(_LETTERS + b"0123456789"))
+# What the decoys of an encoding are made of, if not of letters.
+_STREAM = {"decimal": "digits", "hex": "hex", "HEX": "hex"}
 _CODE = {name: {c: i for i, c in enumerate(a)} for name, a in ALPHABETS.items()}
 _SETS = {name: frozenset(a) for name, a in ALPHABETS.items()}
 
@@ -166,16 +174,110 @@ def candidates(text: str) -> Iterator[tuple[int, int, str, int, int]]:
         yield m.start(), m.end(), e, band_of(len(s)), level_of(combined(battery(s, e)))
 
 
-def decoys(text: str) -> Iterator[tuple[str, int, int]]:
-    """(encoding, band, level) of plain words of the text, joined to the length
-    of keys: two for each text, judged as base62, base36 and base64 strings."""
-    for start in (0, len(text) // 2):
-        words = _PLAIN.findall(text, start, start + 400)[1:]
-        s = "".join(words)
-        for n, e in ((24, "base62"), (34, "base62"), (48, "base64"), (24, "base36"), (34, "base36"), (48, "base36")):
-            if len(s) >= n:
-                cut = s[:n].lower() if e == "base36" else s[:n]
-                yield e, band_of(n), level_of(combined(battery(cut, e)))
+def lengths_of(band: int) -> int:
+    """The shortest candidate length of a band."""
+    return next(n for n in range(max(SHORTEST, int(2 ** (band / 2)) - 1), 2 ** (band // 2 + 2)) if band_of(n) == band)
+
+
+def plain(text: str) -> dict[str, bytes]:
+    """All plain words of a text (what is no candidate), joined: letters, digits,
+    and digits with the letters of hexadecimal numbers."""
+    words = CANDIDATE.sub(" ", text).encode("ascii", "ignore").translate(None, _NO_WORD)
+    return {"letters": words.translate(None, b"0123456789"), "digits": words.translate(None, _LETTERS),
+            "hex": words.lower().translate(None, b"ghijklmnopqrstuvwxyz")}
+
+
+def levels(strings: np.ndarray, encoding: str) -> np.ndarray:
+    """:func:`level_of` the combined p-value for strings of one length, given as
+    rows of bytes; the same numbers as :func:`battery`, made for all at once."""
+    m, n = strings.shape
+    size = len(ALPHABETS[encoding])
+    tests = 5 if size > 16 else 4
+    if size > 16:
+        share = sum(c.isdigit() for c in ALPHABETS[encoding]) / size
+        digits = ((strings >= 48) & (strings <= 57)).sum(axis=1)
+        z = np.abs(digits - n * share) / math.sqrt(n * share * (1 - share)) / math.sqrt(2)
+    else:
+        z = np.zeros(m)
+    # Where one test is sure, the others change nothing.
+    out, at = np.zeros(m, np.int64), np.flatnonzero(z < _SURE)
+    code = np.full(256, -1)
+    code[list(ALPHABETS[encoding].encode())] = np.arange(size)
+    v, z = code[strings[at]], z[at]
+    m = len(at)
+    if not m:
+        return out
+    row = np.arange(m)[:, None]
+    counts = np.bincount((row * size + v).ravel(), minlength=m * size).reshape(m, size)
+    pairs = n * (n - 1) / 2
+    same = (counts * (counts - 1)).sum(axis=1) / 2
+    z = np.maximum(z, (same - pairs / size) / math.sqrt(pairs / size * (1 - 1 / size)) / math.sqrt(2))
+    mean, var = (size - 1) / 2, (size * size - 1) / 12
+    x = v - mean
+    z = np.maximum(z, np.abs((x[:, :-1] * x[:, 1:]).sum(axis=1)) / (var * math.sqrt(max(1, n - 1))) / math.sqrt(2))
+    bits = 2 * v >= size
+    a = bits.sum(axis=1)
+    b = n - a
+    mean = 2 * a * b / n + 1
+    var = (mean - 1) * (mean - 2) / (n - 1)
+    runs = 1 + (bits[:, 1:] != bits[:, :-1]).sum(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        about = np.where(var > 0, np.abs(runs - mean) / np.sqrt(var), 0)
+    z = np.maximum(z, np.where((a == 0) | (b == 0), math.sqrt(n), about) / math.sqrt(2))
+    classes = max(2, min(size, n // 4))
+    of = np.arange(size) * classes // size
+    expected = n * np.bincount(of, minlength=classes) / size
+    seen = np.add.reduceat(counts, np.searchsorted(of, np.arange(classes)), axis=1)
+    chi, df = ((seen - expected) ** 2 / expected).sum(axis=1), classes - 1
+    uniform = (np.cbrt(np.maximum(chi, 1e-9) / df) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)) / math.sqrt(2)
+    open_ = np.flatnonzero((z < _SURE) & (uniform < _SURE))
+    p = [min(1.0, tests * min(1.0, math.erfc(y), 0.5 * math.erfc(u))) for y, u in zip(z[open_], uniform[open_], strict=True)]
+    out[at[open_]] = [level_of(q) for q in p]
+    return out
+
+
+def decoys(docs: DataFrame, wanted: list[tuple[str, int]]) -> DataFrame:
+    """(encoding, band, level, n): levels of the plain words of all texts, cut to
+    the shortest length of each (encoding, band) ``wanted``.  Words are joined over
+    the texts of a task, so only its last letters give no decoy."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        rest = dict.fromkeys(wanted, b"")
+        held: dict[str, list[bytes]] = {"letters": [], "digits": [], "hex": []}
+        size = 0
+
+        def cut() -> None:
+            whole = {k: b"".join(x) for k, x in held.items()}
+            for x in held.values():
+                x.clear()
+            for e, band in wanted:
+                data, n = whole[_STREAM.get(e, "letters")], lengths_of(band)
+                data = data.upper() if e in ("HEX", "base32", "BASE36") else data.lower() if e == "base36" else data
+                data = rest[e, band] + data
+                m = len(data) // n
+                rest[e, band] = data[m * n:]
+                rows = np.frombuffer(data, np.uint8, m * n).reshape(m, n)
+                step = max(1, 200_000 // n)
+                for i in range(0, m, step):
+                    for level, k in enumerate(np.bincount(levels(rows[i:i + step], e)).tolist()):
+                        seen[e, band, level] += k
+
+        for batch in it:
+            for t in text_values(batch.column("text")):
+                for k, x in plain(t).items():
+                    held[k].append(x)
+                size += len(t)
+                if size > 2_000_000:
+                    cut()
+                    size = 0
+        cut()
+        found = [(*k, n) for k, n in seen.items() if n]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in found], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int64()))],
+            ["encoding", "band", "level", "n"])
+
+    return (docs.select("text").mapInArrow(run, "encoding string, band int, level int, n long")
+            .groupBy("encoding", "band", "level").agg(F.sum("n").alias("n")))
 
 
 _FOUND = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string()),
@@ -185,53 +287,51 @@ _SQL = "array<struct<start:int,stop:int,kind:string,encoding:string,band:int,lev
 
 def scan(docs: DataFrame, keep_row: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``found`` (base spans and candidates with
-    their levels), ``decoys`` (levels of plain strings) and, with ``keep_row``,
-    the input's column ``row``."""
+    their levels) and, with ``keep_row``, the input's column ``row``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     keys = ("start", "stop", "kind", "encoding", "band", "level")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found, plain = [], []
+            found = []
             for t in text_values(batch.column("text")):
                 rows = [(a, b, k, None, None, None) for a, b, k in base_spans(t)]
                 rows += [(a, b, "random", e, n, q) for a, b, e, n, q in candidates(t)]
                 found.append([dict(zip(keys, r, strict=True)) for r in rows])
-                plain.append([{"encoding": e, "band": n, "level": q} for e, n, q in decoys(t)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(_FOUND)),
-                 pa.array(plain, pa.list_(pa.struct([("encoding", pa.string()), ("band", pa.int32()),
-                                                     ("level", pa.int32())]))),
-                 *[batch.column(c) for c in row]],
-                ["doc_id", "found", "decoys", *row])
+                [batch.column("doc_id"), pa.array(found, pa.list_(_FOUND)), *[batch.column(c) for c in row]],
+                ["doc_id", "found", *row])
 
     row = ["row"] if keep_row else []
     kept = "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row)
     return docs.select("doc_id", "text", *row).mapInArrow(
-        run, f"doc_id {id_type}, found {_SQL}, decoys array<struct<encoding:string,band:int,level:int>>{kept}")
+        run, f"doc_id {id_type}, found {_SQL}{kept}")
 
 
-def accepted_levels(scanned: DataFrame, fdr: float = FDR) -> DataFrame:
+def accepted_levels(scanned: DataFrame, docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """(encoding, band, least): the lowest level at which the expected share of
-    plain strings among the candidates at or above it is at most ``fdr``.  A
-    band without decoys takes those of all bands up to its length."""
+    plain strings of ``docs`` among the candidates at or above it is at most
+    ``fdr``.  A band with too few decoys of its own to show such a share takes in
+    those of shorter bands, which look random more often."""
     seen = (scanned.select(F.explode("found").alias("f")).where("f.kind = 'random'")
             .groupBy("f.encoding", "f.band", "f.level").agg(F.count("*").alias("n")))
-    plain = (scanned.select(F.explode("decoys").alias("f"))
-             .groupBy("f.encoding", "f.band", "f.level").agg(F.count("*").alias("n")))
     # Both are histograms: encodings x length bands x levels, some hundred rows.
     real, null = Counter(), Counter()
-    for out, df in ((real, seen), (null, plain)):
-        for r in df.collect():
-            out[r["encoding"], r["band"], r["level"]] += r["n"]
+    for r in seen.collect():
+        real[r["encoding"], r["band"], r["level"]] += r["n"]
+    wanted = sorted({k[:2] for k in real} | {(k[0], band_of(SHORTEST)) for k in real})
+    for r in decoys(docs, wanted).collect() if real else ():
+        null[r["encoding"], r["band"], r["level"]] += r["n"]
     rows = []
     for e, band in sorted({k[:2] for k in real}):
-        model = e if any(k[0] == e for k in null) else "base36" if e in ("base32", "BASE36") else "base62"
-        near = [k for k in null if k[0] == model and k[1] <= band] or [k for k in null if k[0] == model]
-        all_null = sum(null[k] for k in near)
+        near, all_null = [], 0
+        for shorter in range(band, -1, -1):
+            if all_null < 2 / fdr:
+                near += [k for k in null if k[:2] == (e, shorter)]
+                all_null = sum(null[k] for k in near)
+        total = sum(n for k, n in real.items() if k[:2] == (e, band))
         for level in range(1, LEVELS + 1):
             share = (sum(null[k] for k in near if k[2] >= level) + 1) / (all_null + 1)
-            total = sum(n for k, n in real.items() if k[:2] == (e, band))
             above = sum(n for k, n in real.items() if k[:2] == (e, band) and k[2] >= level)
             if above and share * total <= fdr * above:
                 rows.append((e, band, level))
@@ -244,7 +344,7 @@ def find_secrets(docs: DataFrame, fdr: float = FDR, keep_row: bool = False) -> D
     points; by start, then kind): the base spans, and as ``random`` the accepted
     candidates."""
     scanned = stored(scan(docs, keep_row), "secrets")
-    least = {(r["encoding"], r["band"]): r["least"] for r in accepted_levels(scanned, fdr).collect()}
+    least = {(r["encoding"], r["band"]): r["least"] for r in accepted_levels(scanned, docs, fdr).collect()}
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
     if least:
         table = F.create_map(*[x for (e, b), n in least.items() for x in (F.lit(f"{e}:{b}"), F.lit(n))])

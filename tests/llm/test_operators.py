@@ -191,6 +191,37 @@ def test_candidates_after_a_name_and_of_any_length():
         assert want in [text[a:b] for a, b, *_ in secrets.candidates(text)]
 
 
+def test_decoys_come_from_whole_texts_for_every_encoding(spark):
+    import numpy as np
+    rng = random.Random(8)
+    words = "".join(rng.choice("etaoinshrdlucmfwyp") for _ in range(30))
+    text = "12345 " * 200 + f"{words[:9]} {words[9:20]} Plain words 2024 " * 800
+    wanted = [(e, b) for e in secrets.ALPHABETS for b in (8, 11, 14, 20)]
+    n = Counter()
+    for r in secrets.decoys(spark.createDataFrame([(text,)] * 3, "text string").coalesce(1), wanted).collect():
+        n[r["encoding"], r["band"]] += r["n"]
+    stream = {"decimal": 1000 + 4 * 800, "base62": 30 * 800}
+    for e, size in stream.items():
+        for b in (8, 11, 14):
+            assert n[e, b] == 3 * size // secrets.lengths_of(b)
+    assert set(n) == set(wanted)
+    for e in secrets.ALPHABETS:  # all at once as one by one
+        for size in (20, 33, 64, 200):
+            made = ["".join(rng.choice(secrets.ALPHABETS[e][:rng.choice((1, 9, 99))]) for _ in range(size)) for _ in range(60)]
+            got = secrets.levels(np.array([list(s.encode()) for s in made], np.uint8), e)
+            assert got.tolist() == [secrets.level_of(secrets.combined(secrets.battery(s, e))) for s in made]
+
+
+def test_long_and_named_keys_are_found(spark):
+    rng = random.Random(9)
+    plain = "this text has only ordinary words of a plain language and nothing else to see here at all " * 8
+    key = lambda n: "".join(rng.choice(secrets.ALPHABETS["base62"]) for _ in range(n))
+    rows = [(k, f"{plain} sig={key(60)}&x {plain} {key(3000)} {plain}") for k in range(40)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    lengths = Counter(s["stop"] - s["start"] for r in found for s in r["spans"] if s["kind"] == "random")
+    assert lengths[60] >= 36 and lengths[3000] >= 36
+
+
 def test_near_duplicates(docs, rows):
     want = brute.components([(i, t) for i, t, _ in rows if i is not None])
     got = odd_sketch.near_duplicates(docs).collect()
