@@ -9,7 +9,8 @@ logistic curve through it makes the score lie between 0 and 1.
 
 The fit uses a bounded sample: about ``SAMPLE`` labelled texts of each class,
 those with the smallest hashes of their ids, and ``PAIRS`` pairs drawn from them.
-The threshold's share is counted over all labelled training rows.
+The threshold and the spread of the scores are taken from the scores of all
+labelled training rows, by histograms that are summed over the tasks.
 
 Defined cases: a null or empty text has the features of no words and is scored
 by them; rows without a label, or with a label other than 0 and 1, don't train;
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrovia.llm.common import crc_mod, sampled, text_values
+from ferrovia.llm.common import crc_mod, drop_stored, sampled, stored, text_values
 
 SAMPLE = 4000
 PAIRS = 60_000
@@ -36,6 +37,8 @@ PENALTY = 1e-3
 STEPS = 300
 THRESHOLD = 0.3
 SEED = 5
+# Bins of the histograms that find the threshold.
+BINS = 10_000
 
 # Classes of bytes whose shares are features.
 _KIND = np.zeros(256, np.int64)
@@ -92,12 +95,13 @@ def with_features(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> dict:
-    """The model from training texts (doc_id, text) and labels (doc_id, label):
-    weights, threshold and spread of the training scores.  The labels are drawn
-    first, so only texts of the sample are brought to them."""
-    share = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    """The model from training texts (doc_id, text) and labels (doc_id, label).
+    The labels are drawn first, so only texts of the sample are brought to them; of
+    equal rows one is brought, and of ids with many texts a share of them."""
     sample = sampled(labels, "doc_id", "label", SAMPLE)
-    rows = with_features(docs.join(F.broadcast(sample), "doc_id"), "label", "doc_id").collect()
+    texts = (docs.join(F.broadcast(sample), "doc_id").withColumn("text_key", F.xxhash64("doc_id", "text"))
+             .dropDuplicates(["label", "text_key"]))
+    rows = with_features(sampled(texts, "text_key", "label", 2 * SAMPLE), "label", "doc_id").collect()
     rows.sort(key=lambda r: (r["label"], str(r["doc_id"]), r["x"]))
     good = np.array([r["x"] for r in rows if r["label"] == 1])
     bad = np.array([r["x"] for r in rows if r["label"] == 0])
@@ -107,16 +111,34 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     centre, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
     rng = np.random.default_rng(SEED)
     w = fitted((good - centre) / scale, (bad - centre) / scale, rng)
-    g, b = np.sort((good - centre) / scale @ w), np.sort((bad - centre) / scale @ w)
-    # The quantile of the scores, each class weighted by its share of all labels,
-    # at which as many fall below as are bad.
-    s = np.concatenate([g, b])
-    weight = np.concatenate([np.full(len(g), share[1] / len(g)), np.full(len(b), share[0] / len(b))])
-    at = np.argsort(s)
-    below = np.cumsum(weight[at])
-    k = int(np.searchsorted(below, share[0]))
-    cut = float(s[at][min(k, len(s) - 1)] + s[at][min(k + 1, len(s) - 1)]) / 2
-    return {"w": w / scale, "shift": float(centre @ (w / scale)), "cut": cut, "spread": float(s.std()) / 2 + 1e-9}
+    return {"w": w / scale, "shift": float(centre @ (w / scale))}
+
+
+def ranked(scores: DataFrame, k: int) -> float:
+    """The value of ``z`` that has ``k`` smaller or equal ones before it in sorted
+    order: histograms are summed until the one bin that holds it is small."""
+    low, high = scores.agg(F.min("z"), F.max("z")).first()
+    while low < high:
+        place = F.least(F.floor((F.col("z") - F.lit(low)) / F.lit((high - low) / BINS)), F.lit(BINS - 1))
+        bins = scores.groupBy(place.alias("b")).agg(F.count("*").alias("n"), F.min("z").alias("low"), F.max("z").alias("high"))
+        for r in sorted(bins.collect(), key=lambda r: r["b"]):
+            if k < r["n"]:
+                break
+            k -= r["n"]
+        scores, low, high = scores.where(place == r["b"]), r["low"], r["high"]
+        if r["n"] <= BINS:
+            return sorted(x["z"] for x in scores.collect())[k]
+    return low
+
+
+def threshold(scores: DataFrame, known: DataFrame) -> tuple[float, float]:
+    """The cut below which as many of all labelled training rows fall as are bad,
+    and half the deviation of their scores."""
+    mine = stored(scores.join(known, "doc_id").select("z", "label"), "preference-labelled")
+    n, bad, spread = mine.agg(F.count("*"), F.count_if(F.col("label") == 0), F.stddev_pop("z")).first()
+    cut = (ranked(mine, bad - 1) + ranked(mine, min(bad, n - 1))) / 2
+    drop_stored(mine)
+    return cut, spread / 2 + 1e-9
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out=None) -> DataFrame:
@@ -129,19 +151,19 @@ def score(docs: DataFrame, labels: DataFrame, held_out=None) -> DataFrame:
     known = (labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
              .select("doc_id", F.col("quality").cast("int").alias("label")).distinct())
     model = learn(docs.select("doc_id", "text"), known)
+    if not model:
+        return docs.select("doc_id", F.lit(0.5).alias("score"), F.lit(int(THRESHOLD <= 0.5)).alias("predicted"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    shift = float(np.log(THRESHOLD / (1 - THRESHOLD)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in it:
             x = np.array([features(t) for t in text_values(batch.column("text"))]).reshape(-1, FEATURES)
-            p = np.full(len(x), 0.5)
-            if m:
-                z = (x @ m["w"] - m["shift"] - m["cut"]) / m["spread"] + shift
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(x @ m["w"] - m["shift"])], ["doc_id", "z"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, score double")
+    scores = stored(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, z double"), "preference")
+    cut, spread = threshold(scores, known)
+    z = (F.col("z") - F.lit(cut)) / F.lit(spread) + F.lit(float(np.log(THRESHOLD / (1 - THRESHOLD))))
+    scored = scores.select("doc_id", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

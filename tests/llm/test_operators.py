@@ -380,6 +380,21 @@ def test_preference(spark):
     assert table.where("score < 0 or score > 1 or predicted != cast(score >= 0.3 as int)").isEmpty()
 
 
+def test_preference_threshold_covers_all_labels(spark, monkeypatch):
+    monkeypatch.setattr(preference, "SAMPLE", 25)
+    monkeypatch.setattr(preference, "BINS", 16)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    made = [(k, " ".join(word() if rng.random() > k % 3 / 8 else rng.choice(["#", "!!", "12"]) for _ in range(rng.randrange(12, 60))),
+             int(k % 3 != 2)) for k in range(900)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in made] + [(0, made[0][1])] * 20, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, q) for k, _, q in made], "doc_id long, quality int")
+    got = preference.score(docs, labels, lambda c: F.lit(False)).collect()
+    assert len(got) == 920 and sum(r["predicted"] == 0 for r in got) == 300
+    scores = spark.createDataFrame([(float(x),) for x in [3] * 50 + list(range(200)) + [1e9]], "z double")
+    assert [preference.ranked(scores, k) for k in (0, 3, 52, 53, 54, 250)] == [0, 3, 3, 3, 4, 1e9]
+
+
 def test_preference_edge_cases(spark, docs, rows):
     labels = spark.createDataFrame([(900_012, 0, 0), (900_013, 0, 0), (900_007, 1, 0), (900_008, 1, 1), (900_008, 1, 0),
                                     (3, 1, 0), (None, 1, 0), (900_009, None, 0), (42, 7, 0)], "doc_id long, quality int, toxic int")
