@@ -262,6 +262,19 @@ def test_odd_sketch_estimates():
         assert abs(est - share) < 0.15
 
 
+def test_gate_passes_pairs_at_the_limit():
+    import numpy as np
+    rng = np.random.default_rng(11)
+    n, lost = 5000, 0
+    for _ in range(20):  # pairs of similarity 0.75: samples that differ toggle two random bits
+        toggles = 2 * rng.binomial(odd_sketch.SAMPLES, 0.25, n)
+        at = np.repeat(np.arange(n), toggles) * odd_sketch.BITS + rng.integers(0, odd_sketch.BITS, toggles.sum())
+        differ = (np.bincount(at, minlength=n * odd_sketch.BITS) & 1).reshape(n, -1).sum(axis=1)
+        estimate = 1 + odd_sketch.BITS / (4 * odd_sketch.SAMPLES) * np.log(np.maximum(1e-9, 1 - 2 * differ / odd_sketch.BITS))
+        lost += int((estimate < odd_sketch.LEAST_ESTIMATE).sum())
+    assert lost == 0
+
+
 def test_token_counts(docs, rows):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(BYTE_BPE)
