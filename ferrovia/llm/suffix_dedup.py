@@ -139,7 +139,8 @@ def found_runs(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _bit(key: bytes, gram: int, digest: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(key + digest + gram.to_bytes(8, "little", signed=True)) % FILTER_BITS
+    # From 1 on: Spark's bitmap buckets keep 0 apart.
+    return 1 + xxhash.xxh3_64_intdigest(key + digest + gram.to_bytes(8, "little", signed=True)) % FILTER_BITS
 
 
 def run_blocks(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -159,7 +160,7 @@ def run_blocks(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     bits = np.zeros(FILTER_BITS + 2 * chunk, bool)
     for r in maps:
         own = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
-        # Buckets count from 1; bit 0 is in the bucket before.
+        # Buckets and bits count from 1.
         start = (r["bucket"] - 1) * chunk + 1
         bits[start + chunk - 1:start + chunk - 1 + len(own)] = own
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits[chunk - 1:]))

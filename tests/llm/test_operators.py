@@ -359,6 +359,11 @@ def test_repeats(docs, rows):
         suffix_dedup.CROWD = crowd
 
 
+def test_no_run_falls_on_bit_zero(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 1)
+    assert suffix_dedup._bit(b"key", 3, b"digest") == 1
+
+
 @pytest.mark.parametrize("limit", [2, 7, 100_000])
 def test_induced_sorting(limit):
     rng = random.Random(limit)
