@@ -71,4 +71,22 @@ roots AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM d JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
 
-ORACLE = {"op4_decontamination": DECONTAMINATION, "op6_odd_sketch": NEAR_DUPLICATES, "op10_quality_rules": QUALITY}
+FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS ls,
+                  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+hashed AS (SELECT doc_id, t, ls, len(ls) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                  CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m FROM hashed),
+parts AS (SELECT *, array_to_string(ls[1:p], '') AS pre, array_to_string(ls[p + 1:m], '') AS mid,
+                 array_to_string(ls[m + 1:n], '') AS suf FROM cuts),
+formed AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                          WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM parts)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM formed"""
+
+ORACLE = {"op4_decontamination": DECONTAMINATION, "op6_odd_sketch": NEAR_DUPLICATES, "op10_quality_rules": QUALITY,
+          "op11_fill_in_middle": FILL_IN_MIDDLE}

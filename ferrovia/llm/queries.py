@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ferrovia.llm import (
     common,
     decontaminate,
+    fill_in_middle,
     language_id,
     odd_sketch,
     packing,
@@ -19,7 +20,9 @@ from ferrovia.llm import (
     quality_rules,
     secrets,
     suffix_dedup,
+    token_alignment,
     token_counts,
+    url_rules,
 )
 from ferrovia.llm.oracle import ORACLE
 
@@ -104,9 +107,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lost_chars")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_documents(spark, sf_dir))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(common.load(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pitman_yor, op2_secrets, op3_packing, op4_decontamination, op5_token_counts, op6_odd_sketch,
-        op7_induced_sorting, op8_language_id, op9_preference, op10_quality_rules)}
+        op7_induced_sorting, op8_language_id, op9_preference, op10_quality_rules, op11_fill_in_middle,
+        op12_token_alignment, op13_url_rules)}
 
 __all__ = ["ORACLE", "QUERIES", "tokenizer"]
