@@ -22,11 +22,10 @@ input columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +37,12 @@ from ferrovia.llm.common import drop_stored, stored, text_values
 # Pairs that hold at least one in HOT_SHARE of all (document, pair) entries are
 # broadcast: at most HOT_SHARE of them, 17 bytes each.
 HOT_SHARE = 400_000
-# Ids of B are below this: a pair is a * B_IDS + b.
-B_IDS = 1 << 20
+# Ids of B are below this: a pair is a * B_IDS + b, in so many bits.
+B_IDS, PAIR_BITS = 1 << 20, 44
 # What a task keeps of the pieces it has aligned.
-HELD_PIECES, HELD_CHARS = 100_000, 4_000_000
-# Documents that are aligned at a time.
-SLICE = 256
+HELD_PIECES, HELD_CHARS = 200_000, 8_000_000
+# Documents that are aligned at a time, and pieces that are tokenized as one text.
+SLICE, RUN_PIECES = 256, 256
 
 _BORDER = re.compile(r"(?<=\S)(?= )")
 
@@ -80,8 +79,7 @@ def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     a_start = np.concatenate([[0], a_end[:-1]])
     first, last = np.searchsorted(b_end, a_start, "right"), np.searchsorted(b_end, a_end)
     n = last - first + 1
-    a = np.repeat(np.arange(len(a_end)), n)
-    return a, np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    return np.repeat(np.arange(len(a_end)), n), expanded(first, n)
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -92,6 +90,24 @@ def byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def expanded(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n[i]`` numbers from ``first[i]`` on, for every i, in a row."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+
+
+class Aligned(NamedTuple):
+    """What some texts give: per text, and the distinct linked pairs of each (from
+    ``offsets[i]`` to ``offsets[i + 1]``) with how often they are linked."""
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups: list[str | None]
+    offsets: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+
+
 class Aligner:
     """Tokenizes and aligns pieces of text, each distinct one once while it is held."""
 
@@ -111,78 +127,103 @@ class Aligner:
         for i in range(self._b.get_piece_size()):
             byte = re.fullmatch(r"<0x([0-9A-F]{2})>", piece := self._b.id_to_piece(i))
             self._b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
-        self._held: dict[str, tuple | None] = {}
+        # Ids in writing, with what follows them: a token of the same side, the
+        # other side, or the next group.
+        self._a_comma, self._a_bar = (np.array([f"{i}{c}" for i in range(len(self._a_bytes))], object) for c in ",|")
+        self._b_comma, self._b_next = (np.array([f"{i}{c}" for i in range(len(self._b_bytes))], object) for c in ",;")
+        self._a_size, self._b_size = (np.array([len(x) for x in y], np.int64) for y in (self._a_bytes, self._b_bytes))
+        self._forget()
+
+    def _forget(self) -> None:
+        self._place: dict[str, int] = {}            # number of each piece held; -1: not given back
+        self._written: list[str] = []               # its groups in writing
+        self._sizes = np.zeros((4, 0), np.int64)    # its A tokens, B tokens, groups, links
+        self._pairs = np.zeros(0, np.int64)         # linked pairs of one piece after another
         self._chars = 0
 
-    def _align(self, new: list[str]) -> None:
-        """Hold (A tokens, B tokens, groups, groups in writing, linked pairs) of each
-        new piece, or None where the tokens don't give the piece back."""
-        a_all = [e.ids for e in self._a.encode_batch_fast(new, add_special_tokens=False)]
-        b_all = self._b.encode([p[1:] for p in new], num_threads=1)
-        exact = []
-        for p, a, b in zip(new, a_all, b_all, strict=True):
-            raw = p.encode("utf-8", "replace")
-            same = b"".join(map(self._a_bytes.__getitem__, a)) == raw == b"".join(map(self._b_bytes.__getitem__, b))
-            self._held[p] = None
-            self._chars += len(p)
-            if same:
-                exact.append((p, a, b))
-        if not exact:
-            return
-        # All pieces in a row: both sides end where a piece ends, so no group
-        # and no overlap crosses a border.
-        a_ids = np.concatenate([a for _, a, _ in exact]).astype(np.int64)
-        b_ids = np.concatenate([b for _, _, b in exact]).astype(np.int64)
-        a_end = np.cumsum(np.fromiter((len(self._a_bytes[i]) for i in a_ids), np.int64, len(a_ids)))
-        b_end = np.cumsum(np.fromiter((len(self._b_bytes[i]) for i in b_ids), np.int64, len(b_ids)))
+    def _align(self, new: list[str], run: int = RUN_PIECES) -> None:
+        """Hold each new piece.  Pieces that end visibly are tokenized as one text,
+        ``run`` at a time; where the tokens don't give it back, each for itself."""
+        visible = [p for p in new if not p[-1].isspace()]
+        runs = [visible[i:i + run] for i in range(0, len(visible), run)] + [[p] for p in new if p[-1].isspace()]
+        joined = ["".join(r) for r in runs]
+        a_all = [np.array(e.ids, np.int64) for e in self._a.encode_batch_fast(joined, add_special_tokens=False)]
+        b_all = [np.array(ids, np.int64) for ids in self._b.encode([t[1:] for t in joined], num_threads=1)]
+        exact, again = [], []
+        for pieces_, text, a, b in zip(runs, joined, a_all, b_all, strict=True):
+            if (b"".join(map(self._a_bytes.__getitem__, a.tolist())) == text.encode("utf-8", "replace")
+                    == b"".join(map(self._b_bytes.__getitem__, b.tolist()))):
+                exact.append((pieces_, a, b))
+            elif len(pieces_) > 1:
+                again += pieces_
+            else:
+                self._place[text] = -1
+                self._chars += len(text)
+        if exact:
+            again += self._hold([p for r, _, _ in exact for p in r], *(np.concatenate([r[k] for r in exact]) for k in (1, 2)))
+        if again:
+            self._align(again, 1)
+
+    def _hold(self, new: list[str], a_ids: np.ndarray, b_ids: np.ndarray) -> list[str]:
+        """Align pieces that lie in a row: both sides end where a piece ends, so no
+        group and no overlap crosses a border.  Gives the pieces back if they don't."""
+        a_end, b_end = np.cumsum(self._a_size[a_ids]), np.cumsum(self._b_size[b_ids])
+        ends = np.cumsum([len(p.encode("utf-8", "replace")) for p in new])
+        a_stop, b_stop = np.searchsorted(a_end, ends) + 1, np.searchsorted(b_end, ends) + 1
+        if not (np.array_equal(a_end[a_stop - 1], ends) and np.array_equal(b_end[b_stop - 1], ends)):
+            return new
         to = terminals(a_end, b_end)
-        a_group, b_group = to[:len(a_ids)].tolist(), to[len(a_ids):].tolist()
+        a_last, b_last = (np.append(g[1:] != g[:-1], True) for g in (to[:len(a_ids)], to[len(a_ids):]))
+        signs = np.concatenate([np.where(a_last, self._a_bar[a_ids], self._a_comma[a_ids]),
+                                np.where(b_last, self._b_next[b_ids], self._b_comma[b_ids])])
+        # By group, A first; within a side the order stays.
+        side = np.arange(len(to)) >= len(a_ids)
+        signs = signs[np.argsort(to * 2 + side, kind="stable")].tolist()
         link_a, link_b = overlaps(a_end, b_end)
         pairs = a_ids[link_a] * B_IDS + b_ids[link_b]
-        a_stop = np.cumsum([len(a) for _, a, _ in exact])
-        link_stop = np.searchsorted(link_a, a_stop).tolist()
-        a_at = b_at = link_at = 0
-        for (p, a, b), link_to in zip(exact, link_stop, strict=True):
-            written, i, j = [], 0, 0
-            while j < len(b):
-                group, a_from, b_from = b_group[b_at + j], i, j
-                while i < len(a) and a_group[a_at + i] == group:
-                    i += 1
-                while j < len(b) and b_group[b_at + j] == group:
-                    j += 1
-                written.append(f"{','.join(map(str, a[a_from:i]))}|{','.join(map(str, b[b_from:j]))}")
-            self._held[p] = (len(a), len(b), len(written), ";".join(written), pairs[link_at:link_to].copy())
-            a_at, b_at, link_at = a_at + len(a), b_at + len(b), link_to
-
-    def texts(self, texts: list[str]) -> list[tuple | None]:
-        """(A tokens, B tokens, groups, groups in writing, distinct linked pairs, how
-        often each is linked) of each text; None for a text without tokens."""
-        if len(self._held) > HELD_PIECES or self._chars > HELD_CHARS:
-            self._held.clear()
-            self._chars = 0
+        stops = np.stack([a_stop, b_stop, np.cumsum(b_last)[b_stop - 1], np.searchsorted(link_a, a_stop)])
+        self._place.update(zip(new, range(len(self._written), len(self._written) + len(new)), strict=True))
+        self._sizes = np.concatenate([self._sizes, np.diff(stops, axis=1, prepend=0)], axis=1)
+        self._pairs = np.concatenate([self._pairs, pairs])
+        at = 0
+        for to_ in (a_stop + b_stop).tolist():
+            self._written.append("".join(signs[at:to_])[:-1])
+            at = to_
+        self._chars += sum(map(len, new))
+        return []
+
+    def texts(self, texts: list[str]) -> Aligned:
+        """The tokens, groups and links of each text."""
+        if len(self._place) > HELD_PIECES or self._chars > HELD_CHARS:
+            self._forget()
         cut = [pieces(t) if t else [] for t in texts]
-        new = {p for ps in cut for p in ps if p not in self._held}
-        if new:
-            self._align(list(new))
-        # A text with a piece that isn't given back is judged as a whole.
-        odd = {" " + t for t, ps in zip(texts, cut, strict=True) if any(self._held[p] is None for p in ps)}
-        if new := [t for t in odd if t not in self._held]:
+        flat = [p for ps in cut for p in ps]
+        if new := [p for p in dict.fromkeys(flat) if p not in self._place]:
             self._align(new)
-        out: list[tuple | None] = []
-        for t, ps in zip(texts, cut, strict=True):
-            if " " + t in odd:
-                ps = [" " + t]
-            if not ps or self._held[ps[0]] is None:
-                out.append(None)
-                continue
-            often = Counter(ps)
-            held = [(self._held[p], n) for p, n in often.items()]
-            linked, which = np.unique(np.concatenate([h[4] for h, _ in held]), return_inverse=True)
-            weight = np.repeat([n for _, n in held], [len(h[4]) for h, _ in held])
-            out.append((*(sum(h[k] * n for h, n in held) for k in range(3)),
-                        ";".join([self._held[p][3] for p in ps]), linked,
-                        np.bincount(which, weights=weight).astype(np.int64)))
-        return out
+        place = np.fromiter(map(self._place.__getitem__, flat), np.int64, len(flat))
+        lengths = np.array([len(ps) for ps in cut], np.int64)
+        text_of = np.repeat(np.arange(len(texts)), lengths)
+        if (place < 0).any():
+            # A text with a piece that isn't given back is judged as a whole.
+            odd = np.unique(text_of[place < 0])
+            if new := [w for w in dict.fromkeys(" " + texts[i] for i in odd) if w not in self._place]:
+                self._align(new)
+            whole = np.array([self._place[" " + texts[i]] for i in odd], np.int64)
+            stay = ~np.isin(text_of, odd)
+            place, text_of = np.append(place[stay], whole[whole >= 0]), np.append(text_of[stay], odd[whole >= 0])
+            order = np.argsort(text_of, kind="stable")
+            place, text_of = place[order], text_of[order]
+        sizes = self._sizes[:, place]
+        n_a, n_b, n_groups, n_links = (np.bincount(text_of, weights=x, minlength=len(texts)).astype(np.int64) for x in sizes)
+        starts = np.cumsum(self._sizes[3]) - self._sizes[3]
+        linked = self._pairs[expanded(starts[place], sizes[3])]
+        # One sort for all texts of the slice: the text's number above the pair.
+        key, times = np.unique(np.repeat(text_of, sizes[3]) << PAIR_BITS | linked, return_counts=True)
+        bounds = np.searchsorted(text_of, np.arange(len(texts) + 1)).tolist()
+        written = list(map(self._written.__getitem__, place.tolist()))
+        groups = [";".join(written[i:j]) if j > i else None for i, j in zip(bounds, bounds[1:], strict=False)]
+        return Aligned(n_a, n_b, n_groups, n_links, groups, np.searchsorted(key >> PAIR_BITS, np.arange(len(texts) + 1)),
+                       key & (1 << PAIR_BITS) - 1, times)
 
 
 _ALIGNERS: dict = {}
@@ -198,20 +239,15 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         if (a_path, b_path) not in _ALIGNERS:
             _ALIGNERS[a_path, b_path] = Aligner(a_path, b_path)
         aligner = _ALIGNERS[a_path, b_path]
-        none = (0, 0, 0, None, np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in it:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                found = [f or none for f in aligner.texts(text_values(part.column("text")))]
-                offsets = pa.array(np.cumsum([0, *(len(f[4]) for f in found)]), pa.int32())
-                pairs, times = (pa.array(np.concatenate([f[k] for f in found])) for k in (4, 5))
+                found = aligner.texts(text_values(part.column("text")))
+                offsets = pa.array(found.offsets, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(part))), part.column("doc_id"),
-                     *(pa.array([f[k] for f in found], pa.int64()) for k in range(3)),
-                     pa.array([int(f[5].sum()) for f in found], pa.int64()),
-                     pa.array([f[3] for f in found], pa.string()),
-                     pa.ListArray.from_arrays(offsets, pairs),
-                     pa.ListArray.from_arrays(offsets, times.cast(pa.int32()))],
+                    [pa.array(np.arange(row, row + len(part))), part.column("doc_id"), *map(pa.array, found[:4]),
+                     pa.array(found.groups, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(found.pairs)),
+                     pa.ListArray.from_arrays(offsets, pa.array(found.times, pa.int32()))],
                     ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
                 row += len(part)
 
