@@ -50,6 +50,18 @@ def speed_kmh(mps) -> Column:
     return (_col(mps) * F.lit(3.6)).cast(KMH)
 
 
+def fits_minutes(secs) -> Column:
+    """Whether seconds have a place in the minutes column (NULL has)."""
+    c = _col(secs)
+    return c.isNull() | (c.cast("decimal(20,0)") / F.lit(60)).try_cast(MINUTES).isNotNull()
+
+
+def fits_kmh(mps) -> Column:
+    """Whether a speed has a place in the km/h column (NULL has; NaN hasn't)."""
+    c = _col(mps)
+    return c.isNull() | (c * F.lit(3.6)).try_cast(KMH).isNotNull()
+
+
 def kmh_from_sums(sum_kmh, n) -> Column:
     """Average of per-row rounded km/h values, DECIMAL(6,1)."""
     return (_col(sum_kmh) / _nz(_col(n).cast("decimal(20,0)"))).cast(KMH)

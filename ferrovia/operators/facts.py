@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrovia.functions import classify as C
@@ -93,6 +93,31 @@ def build_vehicle_positions(positions: DataFrame) -> DataFrame:
             ))
 
 
+# Why a flattened row can't become a row of its fact.
+NO_STAMP = "fetched_at does not parse"
+OUT_OF_RANGE = "{} out of range"
+
+
+def _problem(limits: dict[str, Column]) -> Column:
+    ts = T.parse_snapshot_ts("fetched_at")
+    # a day key has a four-digit year
+    found = F.when(ts.isNull() | ~F.year(ts).between(1, 9999), NO_STAMP)
+    for name, fits in limits.items():
+        found = found.when(~fits, OUT_OF_RANGE.format(name))
+    return found
+
+
+def delay_problem() -> Column:
+    """The reason why a flattened trip update can't be a delay fact; NULL if it can.
+    The fact builders raise on such rows: the jobs put them aside first."""
+    return _problem({c: M.fits_minutes(c) for c in ("arrival_delay_secs", "departure_delay_secs")})
+
+
+def position_problem() -> Column:
+    """The same for a flattened vehicle position."""
+    return _problem({"speed_mps": M.fits_kmh("speed_mps")})
+
+
 def unparsed_stamp_count(bronze: DataFrame) -> DataFrame:
     """Rows a fact build drops because their snapshot stamp does not parse."""
     return bronze.agg(F.count_if(T.parse_snapshot_ts("fetched_at").isNull()).alias("dropped_rows"))

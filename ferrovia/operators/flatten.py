@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ferrovia.schemas import (TRIP_UPDATE_COLUMNS, TRIP_UPDATES_DOC, VEHICLE_POSITION_COLUMNS,
                               VEHICLE_POSITIONS_DOC)
@@ -24,11 +25,34 @@ def get_long(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
+CORRUPT = "_corrupt"
+
+
+def parsed_documents(raw: DataFrame, schema: StructType) -> DataFrame:
+    """``fetched_at``, ``value`` and the parsed ``doc`` of each document: what the
+    flattening reads, and what tells documents that can't be read."""
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return raw.select("fetched_at", "value",
+                      F.from_json("value", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
+
+
+def is_unreadable() -> Column:
+    """Of parsed documents: nothing could be read (a single bad field is NULL, and
+    the rest of its document is read)."""
+    return F.col(f"doc.{CORRUPT}").isNotNull() & F.col("doc.entity").isNull()
+
+
+def _document(raw: DataFrame, doc_col: str, schema: StructType) -> Column:
+    return F.col(doc_col) if isinstance(raw.schema[doc_col].dataType, StructType) else F.from_json(F.col(doc_col), schema)
+
+
 def flatten_trip_updates(raw: DataFrame, doc_col: str = "value",
                          stamp_col: str = "fetched_at") -> DataFrame:
-    """One row per (entity, stop-time update); trip and vehicle fields are
+    """``doc_col`` is the document's text, or the document already parsed.
+
+    One row per (entity, stop-time update); trip and vehicle fields are
     repeated on each row; entities without updates give no rows."""
-    doc = F.from_json(F.col(doc_col), TRIP_UPDATES_DOC)
+    doc = _document(raw, doc_col, TRIP_UPDATES_DOC)
     ents = raw.select(F.col(stamp_col).alias("fetched_at"), F.explode(doc["entity"]).alias("e"))
     rows = ents.select("fetched_at", "e", F.explode("e.tripUpdate.stopTimeUpdate").alias("u"))
     trip = F.col("e.tripUpdate.trip")
@@ -60,7 +84,7 @@ def flatten_vehicle_positions(raw: DataFrame, doc_col: str = "value",
                               stamp_col: str = "fetched_at") -> DataFrame:
     """One row per entity — also when the vehicle part is absent (then all
     strings are '' and all numbers NULL)."""
-    doc = F.from_json(F.col(doc_col), VEHICLE_POSITIONS_DOC)
+    doc = _document(raw, doc_col, VEHICLE_POSITIONS_DOC)
     ents = raw.select(F.col(stamp_col).alias("fetched_at"), F.explode(doc["entity"]).alias("e"))
     v = F.col("e.vehicle")
     trip, pos, veh = v["trip"], v["position"], v["vehicle"]

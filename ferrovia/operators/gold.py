@@ -26,6 +26,7 @@ from ferrovia.functions import metrics as M
 from ferrovia.functions import timeparse as T
 
 BAND = "delay_band"
+BANDS = ("On-Time", "Minor", "Moderate", "Severe")
 
 
 # ---------------------------------------------------------------------------
@@ -71,6 +72,14 @@ def moving_vehicle_stats(positions: DataFrame, keys: list[str],
                  M.kmh_from_sums(F.sum(kmh), F.count(kmh)).alias("avg_speed_kmh")))
 
 
+def moving_cells(positions: DataFrame, keys: list[str]) -> DataFrame:
+    """Positions with a known, positive speed as km/h sums per day and ``keys``."""
+    kmh = M.speed_kmh("speed_mps")
+    return (positions.where(F.col("speed_mps").isNotNull() & (F.col("speed_mps") > 0))
+            .groupBy("fetched_date_key", *keys)
+            .agg(F.sum(kmh).alias("kmh_sum"), F.count(kmh).alias("kmh_n")))
+
+
 def schedule_by_route(sched: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     return sched.groupBy("route_id").agg(
         M.distinct_count("trip_id", approx_rsd).alias("total_scheduled_trips"),
@@ -103,17 +112,23 @@ def route_daily_performance(delays: DataFrame, dim_route: DataFrame, dim_agency:
     percentages but in none of the numerators.  Distinct counts are exact
     unless ``approx_rsd`` asks for HyperLogLog++ estimates.
     """
-    bands = ("On-Time", "Minor", "Moderate", "Severe")
     part = (delays.groupBy(F.col("fetched_date_key").alias("date_key"), "route_id")
-            .agg(*_delay_partials(bands, with_departure=True, with_max=True)))
+            .agg(*_delay_partials(BANDS, with_departure=True, with_max=True)))
+    vp = (moving_vehicle_stats(positions, ["route_id", "fetched_date_key"], approx_rsd)
+          .withColumnRenamed("fetched_date_key", "date_key"))
+    return route_daily_from(part, dim_route, dim_agency, schedule_by_route(sched, approx_rsd), vp)
+
+
+def route_daily_from(part: DataFrame, dim_route: DataFrame, dim_agency: DataFrame, by_route: DataFrame,
+                     vp: DataFrame) -> DataFrame:
+    """:func:`route_daily_performance` from partial sums per (date_key, route_id),
+    schedule counts per route and vehicle figures per (route_id, date_key)."""
     routes = dim_route.select("route_id", "agency_id", "route_short_name",
                               "route_long_name", "route_type_desc")
     agencies = dim_agency.select("agency_id", "agency_name")
-    vp = (moving_vehicle_stats(positions, ["route_id", "fetched_date_key"], approx_rsd)
-          .withColumnRenamed("fetched_date_key", "date_key"))
     out = (part.join(routes, "route_id")
            .join(agencies, "agency_id", "left")
-           .join(schedule_by_route(sched, approx_rsd), "route_id", "left")
+           .join(by_route, "route_id", "left")
            .join(vp, ["route_id", "date_key"], "left"))
     return out.select(
         "date_key", "route_id", "route_short_name", "route_long_name", "agency_name",
@@ -149,6 +164,11 @@ def stop_delay_hotspot(delays: DataFrame, dim_stop: DataFrame) -> DataFrame:
     """
     lvl1 = (delays.groupBy(F.col("fetched_date_key").alias("date_key"), "stop_id", "route_id")
             .agg(*_delay_partials()))
+    return hotspots_from(lvl1, dim_stop)
+
+
+def hotspots_from(lvl1: DataFrame, dim_stop: DataFrame) -> DataFrame:
+    """:func:`stop_delay_hotspot` from partial sums per (date_key, stop_id, route_id)."""
     avg = _exact_avg("arr_sum", "arr_n")
     rank_key = F.struct(avg.isNull().alias("no_avg"), (-avg).alias("neg_avg"),
                         F.col("route_id").alias("route_id"))
@@ -176,13 +196,20 @@ def hourly_network_pattern(delays: DataFrame, dim_tod: DataFrame, dim_date: Data
     part = (delays.groupBy(F.col("fetched_date_key").alias("date_key"),
                            F.col("fetched_hour").alias("hour_of_day"))
             .agg(*_delay_partials()))
-    tod = dim_tod.where(F.col("minute") == 0).select(
-        F.col("hour").alias("hour_of_day"), F.col("period").alias("time_period"))
-    dates = dim_date.select("date_key", "day_name", "is_weekend")
-    sh = schedule_by_hour(sched).withColumnRenamed("departure_hour", "hour_of_day")
     vp = (moving_vehicle_stats(positions, ["fetched_date_key", "fetched_hour"], approx_rsd)
           .withColumnRenamed("fetched_date_key", "date_key")
           .withColumnRenamed("fetched_hour", "hour_of_day"))
+    return hourly_from(part, dim_tod, dim_date, schedule_by_hour(sched), vp)
+
+
+def hourly_from(part: DataFrame, dim_tod: DataFrame, dim_date: DataFrame, by_hour: DataFrame,
+                vp: DataFrame) -> DataFrame:
+    """:func:`hourly_network_pattern` from partial sums per (date_key, hour_of_day),
+    schedule counts per departure hour and vehicle figures per (date_key, hour_of_day)."""
+    tod = dim_tod.where(F.col("minute") == 0).select(
+        F.col("hour").alias("hour_of_day"), F.col("period").alias("time_period"))
+    dates = dim_date.select("date_key", "day_name", "is_weekend")
+    sh = by_hour.withColumnRenamed("departure_hour", "hour_of_day")
     out = (part.join(tod, "hour_of_day", "left")
            .join(dates, "date_key", "left")
            .join(sh, "hour_of_day", "left")
@@ -206,6 +233,11 @@ def operator_weekly_scorecard(delays: DataFrame, dim_route: DataFrame, dim_agenc
     % on time / severe, reliability score and band (band on % on time)."""
     part = (delays.groupBy(F.col("fetched_date_key").alias("date_key"), "route_id")
             .agg(*_delay_partials(("On-Time", "Severe"))))
+    return scorecard_from(part, dim_route, dim_agency, dim_date)
+
+
+def scorecard_from(part: DataFrame, dim_route: DataFrame, dim_agency: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """:func:`operator_weekly_scorecard` from partial sums per (date_key, route_id)."""
     routes = dim_route.select("route_id", "agency_id")
     agencies = dim_agency.select("agency_id", "agency_name", "operator_type")
     ws = T.week_start_sunday("full_date")
@@ -265,7 +297,11 @@ def delay_trend_daily(delays: DataFrame, dim_date: DataFrame, mode: str = "calen
     outputs.  Days missing from the date dimension still feed their
     neighbours' frames.
     """
-    daily = daily_delay_sums(delays)
+    return trend_from(daily_delay_sums(delays), dim_date, mode)
+
+
+def trend_from(daily: DataFrame, dim_date: DataFrame, mode: str = "calendar") -> DataFrame:
+    """:func:`delay_trend_daily` from partial sums per date_key."""
     on_time = _band_col("On-Time")
     roll = rolling_sums(daily, ["n", "arr_sum", "arr_n", on_time], 7, mode)
     dates = dim_date.select("date_key", "full_date", "day_name", "is_weekend")
@@ -290,25 +326,26 @@ def route_type_summary(delays: DataFrame, dim_route: DataFrame, positions: DataF
     routes from the (day, route) partials, trips from a (day, type, trip)
     de-duplication, vehicles from the positions side.
     """
-    types = dim_route.select("route_id", "route_type_desc")
     part = (delays.groupBy(F.col("fetched_date_key").alias("date_key"), "route_id")
             .agg(*_delay_partials()))
+    trips = delays.select(F.col("fetched_date_key").alias("date_key"), "route_id", "trip_id").distinct()
+    per_vehicle = (moving_cells(positions, ["route_id", "vehicle_id"]).withColumnRenamed("fetched_date_key", "date_key"))
+    return route_types_from(part, trips, per_vehicle, dim_route)
+
+
+def route_types_from(part: DataFrame, trips: DataFrame, per_vehicle: DataFrame, dim_route: DataFrame) -> DataFrame:
+    """:func:`route_type_summary` from partial sums per (date_key, route_id), the
+    distinct (date_key, route_id, trip_id) and km/h sums per (date_key, route_id,
+    vehicle_id)."""
+    types = dim_route.select("route_id", "route_type_desc")
     sums = ["n", "arr_sum", "arr_n", _band_col("On-Time")]
     by_type = (part.join(types, "route_id").groupBy("date_key", "route_type_desc")
                .agg(F.count(F.lit(1)).alias("route_count"), *_merge_partials(sums)))
-    # de-duplicate to (day, route, trip) map-side before the dimension join,
-    # so a hot route carries one row per trip, not one per observation
-    trips = (delays.select(F.col("fetched_date_key").alias("date_key"), "route_id", "trip_id")
-             .distinct()
-             .join(types, "route_id")
+    # one row per (day, route, trip), so a hot route carries one row per trip,
+    # not one per observation
+    trips = (trips.join(types, "route_id")
              .groupBy("date_key", "route_type_desc")
              .agg(F.count_distinct("trip_id").alias("trip_count")))
-    # moving positions reduced to (day, route, vehicle) km/h partial sums first
-    kmh = M.speed_kmh("speed_mps")
-    per_vehicle = (positions
-                   .where(F.col("speed_mps").isNotNull() & (F.col("speed_mps") > 0))
-                   .groupBy(F.col("fetched_date_key").alias("date_key"), "route_id", "vehicle_id")
-                   .agg(F.sum(kmh).alias("kmh_sum"), F.count(kmh).alias("kmh_n")))
     vp = (per_vehicle.join(types, "route_id")
           .groupBy("date_key", "route_type_desc")
           .agg(F.count_distinct("vehicle_id").alias("active_vehicles"),
@@ -323,3 +360,46 @@ def route_type_summary(delays: DataFrame, dim_route: DataFrame, positions: DataF
         M.pct_from_counts(_band_col("On-Time"), "n").alias("pct_on_time"),
         "active_vehicles", "avg_speed_kmh",
     )
+
+
+# ---------------------------------------------------------------------------
+# Cells: what a batch adds to the aggregates
+#
+# A cell is a row of partial sums at the finest grain that every aggregate can be
+# derived from; sums, maxima and key sets of several batches merge into one by
+# grouping again.  Distinct counts stay exact: the things counted are part of the
+# key, one row for each per day and route, however often it was seen.
+
+CELL_SUMS = ["n", "arr_sum", "arr_n", "dep_sum", "dep_n", *map(_band_col, BANDS)]
+
+
+def delay_cells(delays: DataFrame) -> DataFrame:
+    return (delays.groupBy("fetched_date_key", "fetched_hour", "route_id")
+            .agg(*_delay_partials(BANDS, with_departure=True, with_max=True)))
+
+
+def stop_cells(delays: DataFrame) -> DataFrame:
+    return delays.groupBy("fetched_date_key", "stop_id", "route_id").agg(*_delay_partials())
+
+
+def trip_cells(delays: DataFrame) -> DataFrame:
+    return delays.select("fetched_date_key", "route_id", "trip_id").distinct()
+
+
+def vehicle_cells(positions: DataFrame) -> DataFrame:
+    return moving_cells(positions, ["fetched_hour", "route_id", "vehicle_id"])
+
+
+DELAY_CELLS = {"delay_cells": delay_cells, "stop_cells": stop_cells, "trip_cells": trip_cells}
+POSITION_CELLS = {"vehicle_cells": vehicle_cells}
+
+
+def merged_delays(cells: DataFrame, *keys: str) -> DataFrame:
+    """Delay cells as partial sums per ``keys``."""
+    return cells.groupBy(*keys).agg(*_merge_partials(CELL_SUMS), F.max("arr_max").alias("arr_max"))
+
+
+def merged_vehicles(cells: DataFrame, *keys: str) -> DataFrame:
+    """Vehicle cells as distinct vehicles and average km/h per ``keys``."""
+    return cells.groupBy(*keys).agg(F.count_distinct("vehicle_id").alias("active_vehicles"),
+                                    M.kmh_from_sums(F.sum("kmh_sum"), F.sum("kmh_n")).alias("avg_speed_kmh"))

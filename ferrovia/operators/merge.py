@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrovia.session import path_exists
+from ferrovia.sources import manifest
 from ferrovia.sources.lake import read_partitions
 from ferrovia.sources.lake import staged as staged_table
 
@@ -158,6 +159,20 @@ def insert_if_absent_table(spark: SparkSession, source: DataFrame, path: str,
     w.parquet(path)
 
 
+def insert_batch(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[str], partition_by: str,
+                 source: str, batch_id: int, schema) -> list:
+    """Insert-if-absent for a table of batch folders: the rows whose key no *other*
+    batch has, in folders of this batch's own.  Only the folders of the batch's
+    partition values are listed and read, and a replay writes the same rows again.
+    Gives those values."""
+    values = partition_values(rows, partition_by)
+    if values:
+        target = manifest.read_live(spark, path, schema, [f"{partition_by}={v}" for v in values], (source, batch_id))
+        new = rows if target is None else rows_to_insert(target, rows, keys)
+        manifest.write_batch(new, path, source, batch_id, partition_by)
+    return values
+
+
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                  update_cols: Sequence[str] | None = None, stale: str = "refresh",
                  partition_by: str | None = None, check_unique: bool = True) -> None:

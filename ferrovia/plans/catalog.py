@@ -352,7 +352,14 @@ def q_null_profile(spark, sf_dir):
 
 @register("validate_feeds", O.with_ctes(O.VALIDATE_SQL, O.QUALITY_CTES))
 def q_validate_feeds(spark, sf_dir):
-    return Q.validate_all(TVM.bronze_feeds(spark, sf_dir))
+    """Every feed's verdict; the calendar feed has landed empty."""
+    return Q.validate_all(TVM.bronze_feeds(spark, sf_dir) | {"calendar": FD.empty_feed(spark, "calendar")})
+
+
+@register("static_gate", O.with_ctes(O.GATE_SQL, O.QUALITY_CTES))
+def q_static_gate(spark, sf_dir):
+    """The batch gate over the verdicts: one failed feed closes it."""
+    return Q.batch_gate(q_validate_feeds(spark, sf_dir))
 
 
 @register("feed_row_counts", O.with_ctes(O.ROW_COUNTS_SQL))
@@ -524,7 +531,7 @@ def _streamed_gold(spark, sf_dir, name: str) -> DataFrame:
     table read back from the lake.  Built once per session and folder."""
     tv = _tv(spark, sf_dir)
     if tv.streamed_lake is None:
-        root = scratch_dir(spark, "stream-gold")
+        root = tv.scratch("stream-gold")
         lake = f"{root}/lake"
         for table, df in (("dim_route", tv.dim_route), ("dim_agency", tv.dim_agency), ("dim_stop", tv.dim_stop),
                           ("dim_date", tv.dim_date), ("dim_time_of_day", tv.dim_tod),
@@ -550,3 +557,127 @@ def q_stream_gold_hourly(spark, sf_dir):
 @register("stream_gold_trend", O.with_ctes("SELECT * FROM trend"))
 def q_stream_gold_trend(spark, sf_dir):
     return _streamed_gold(spark, sf_dir, "delay_trend_daily")
+
+
+# --- feeds that go wrong -------------------------------------------------------------
+
+from ferrovia.sources import manifest as MF  # noqa: E402
+from ferrovia.sources.realtime import land_documents  # noqa: E402
+
+
+def _poisoned(spark, sf_dir) -> str:
+    """A lake that both feeds were streamed into, with speeds and delays that no
+    column can hold, stamps that don't parse and documents that break off.  Built
+    once per session and folder."""
+    tv = _tv(spark, sf_dir)
+    if tv.poisoned_lake is None:
+        root = tv.scratch("stream-poison")
+        key = lambda c, n: F.substring(c, n, 20).cast("long")
+        tu = tv.bronze_trip_updates.withColumn("arrival_delay_secs", F.when(
+            (key("trip_id", 2) % 103 == 7) & F.col("arrival_delay_secs").isNotNull(), 2_000_000_000).otherwise(F.col("arrival_delay_secs")))
+        vp = tv.bronze_vehicle_positions.withColumn("speed_mps", F.when(
+            (key("entity_id", 3) % 101 == 3) & F.col("speed_mps").isNotNull(), 1e9).otherwise(F.col("speed_mps")))
+        broken = TVM.read_table(spark, sf_dir, "nation").select(
+            F.lit(None).cast("string").alias("fetched_at"),
+            F.concat(F.lit('{"fetched_at":"20250120T080000Z","entity":[{"id":"'), "n_name", F.lit('",')).alias("value"))
+        for feed, docs in (("tu", FL.trip_update_documents(tu)),
+                           ("vp", FL.vehicle_position_documents(vp, with_vehicle=F.col("current_stop_seq") != 7))):
+            land_documents(docs.unionByName(broken), f"{root}/{feed}")
+        ST.await_all(ST.start_realtime(spark, f"{root}/tu", f"{root}/vp", f"{root}/lake", f"{root}/checkpoints",
+                                       trigger="availableNow", refresh_gold=False))
+        tv.poisoned_lake = f"{root}/lake"
+    return tv.poisoned_lake
+
+
+@register("stream_poison_rows", O.with_ctes(O.POISON_SQL, O.POISON_CTES))
+def q_stream_poison_rows(spark, sf_dir):
+    """Where the rows of a poisoned feed are: good ones in Silver (reason ''), the
+    others and unreadable documents in quarantine, with the reason."""
+    lake = _poisoned(spark, sf_dir)
+    none = lambda kind: F.lit(None).cast(kind)
+    delays, positions = (MF.read_live(spark, f"{lake}/silver/{t}") for t in ("fact_realtime_delays", "fact_vehicle_positions"))
+    parts = [
+        delays.groupBy(F.col("fetched_date_key").alias("date_key")).agg(
+            F.count("*").alias("rows"), F.sum("arrival_delay_secs").alias("delay_sum"))
+        .select(F.lit("trip_updates").alias("feed"), F.lit("").alias("reason"), "date_key", "rows", "delay_sum"),
+        positions.groupBy(F.col("fetched_date_key").alias("date_key")).agg(F.count_distinct("vehicle_id", "fetched_at_ts").alias("rows"))
+        .select(F.lit("vehicle_positions").alias("feed"), F.lit("").alias("reason"), "date_key", "rows", none("bigint").alias("delay_sum"))]
+    for feed in JOBS.FEEDS:
+        total = F.sum("arrival_delay_secs") if feed == "trip_updates" else F.max(none("bigint"))
+        for table, summed in ((feed, total), (f"{feed}_documents", F.max(none("bigint")))):
+            parts.append(MF.read_live(spark, f"{lake}/quarantine/{table}").groupBy("reason").agg(
+                F.count("*").alias("rows"), summed.alias("delay_sum"))
+                .select(F.lit(feed).alias("feed"), "reason", none("int").alias("date_key"), "rows", "delay_sum"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("stream_batch_metrics", O.with_ctes(O.METRICS_SQL, O.POISON_CTES))
+def q_stream_batch_metrics(spark, sf_dir):
+    """The stored figures of the poisoned run's batches, summed per feed."""
+    batches = MF.read_live(spark, f"{_poisoned(spark, sf_dir)}/metrics/feed_batches")
+    return batches.groupBy("feed").agg(*[F.sum(c).alias(c) for c in ("documents", "unreadable", "rows", "rejected")])
+
+
+@register("stream_late_landing", O.with_ctes(O.LATE_LANDING_SQL))
+def q_stream_late_landing(spark, sf_dir):
+    """Half of the trip updates are landed and loaded before the positions' landing
+    appears; the second start loads the rest.  Bronze has every row once."""
+    tv = _tv(spark, sf_dir)
+    root = tv.scratch("stream-late")
+    early = F.crc32(F.get_json_object("value", "$.entity[0].id").cast("binary")) % 2 == 0
+    docs = TVM.trip_update_docs(spark, sf_dir)
+
+    def catch_up():
+        ST.await_all(ST.start_realtime(spark, f"{root}/tu", f"{root}/vp", f"{root}/lake", f"{root}/checkpoints",
+                                       trigger="availableNow", refresh_gold=False))
+
+    land_documents(docs.where(early), f"{root}/tu")
+    catch_up()
+    land_documents(docs.where(~early), f"{root}/tu")
+    land_documents(TVM.vehicle_position_docs(spark, sf_dir), f"{root}/vp")
+    catch_up()
+    return reduce(DataFrame.unionByName, [
+        MF.read_live(spark, f"{root}/lake/bronze/{feed}").groupBy("start_date").agg(F.count("*").alias("rows"))
+        .select(F.lit(feed).alias("feed"), "start_date", "rows") for feed in JOBS.FEEDS])
+
+
+@register("stream_gold_two_starts", O.with_ctes("SELECT * FROM scorecard"))
+def q_stream_gold_two_starts(spark, sf_dir):
+    """The weekly scorecard after two starts that split a week: the second refresh
+    reads the first one's stored cells, no fact, and gives what a full recompute gives."""
+    tv = _tv(spark, sf_dir)
+    root = tv.scratch("stream-two")
+    for table, df in (("dim_route", tv.dim_route), ("dim_agency", tv.dim_agency), ("dim_stop", tv.dim_stop),
+                      ("dim_date", tv.dim_date), ("dim_time_of_day", tv.dim_tod), ("fact_scheduled_departures", tv.sched)):
+        LK.overwrite_table(df, f"{root}/lake/silver/{table}")
+    docs = TVM.trip_update_docs(spark, sf_dir)
+    early = F.get_json_object("value", "$.entity[0].tripUpdate.trip.startDate") < "20250212"     # a Wednesday
+    for part in (early, ~early):
+        land_documents(docs.where(part), f"{root}/tu")
+        ST.await_all(ST.start_realtime(spark, f"{root}/tu", None, f"{root}/lake", f"{root}/checkpoints", trigger="availableNow"))
+    return spark.read.parquet(f"{root}/lake/gold/operator_weekly_scorecard").drop("_refreshed_at")
+
+
+@register("stream_snapshot_sink", O.with_ctes("SELECT * FROM vp_flat"))
+def q_stream_snapshot_sink(spark, sf_dir):
+    """Positions as one folder per snapshot stamp, through the streaming file sink; a
+    second start adds nothing."""
+    tv = _tv(spark, sf_dir)
+    root = tv.scratch("stream-snapshots")
+    for _ in range(2):
+        ST.await_all([ST.start_snapshots(spark, "vehicle_positions", tv.vehicle_position_landing, root,
+                                         f"{root}/checkpoint", "availableNow")])
+    return spark.read.parquet(f"{root}/vehicle_positions").drop("snapshot")
+
+
+@register("bronze_compaction", O.with_ctes(f"SELECT {DELAYS_SQL_COLS} FROM delays"))
+def q_bronze_compaction(spark, sf_dir):
+    """Trip updates in six batches, five of them merged behind a manifest and their
+    folders deleted; the delay fact over what the table has now."""
+    tv = _tv(spark, sf_dir)
+    path = f"{tv.scratch('bronze-compact')}/trip_updates"
+    for k in range(6):
+        LK.load_bronze_append(tv.bronze_trip_updates.where(F.crc32(F.col("trip_id").cast("binary")) % 6 == k), path, k, "s")
+    LK.compact_bronze(spark, path, "s", before=5)
+    MF.vacuum(spark, path)
+    return delays_out(FACTS.build_realtime_delays(MF.read_live(spark, path)))

@@ -5,26 +5,36 @@ Lake layout under ``lake``::
     bronze_snapshots/<feed>/snapshot=<stamp>/   static feeds as landed
     bronze/<feed>/                              latest static snapshot
     bronze/trip_updates/source=<id>/batch_id=<n>/   realtime Bronze, one folder per checkpoint and batch
+    quarantine/<feed>/, <feed>_documents/       rows and documents that can't be loaded, with the reason
     silver/<table>/                             dimensions and facts
+    partials/<cells>/                           partial sums per day, from which Gold is refreshed
+    changes/                                    days with new rows, read by the Gold refresh
+    metrics/feed_batches/                       one row per feed and batch
     gold/<table>/                               aggregates
 
-Facts are partitioned by ``fetched_date_key`` and Gold tables by their day /
-week key, so every incremental step reads and rewrites only the partitions it
-touches (dynamic partition overwrite).
+Realtime facts and cells have a folder per day and batch, Gold tables one per day
+or week, so every incremental step reads and rewrites only what it touches.
+``sources.manifest`` merges batch folders without a moment in which rows are there
+twice or not at all.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ferrovia.functions import timeparse as T
 from ferrovia.operators import dims, facts, flatten, gold, merge, quality
-from ferrovia.session import apply_conf, delete_path, path_exists
-from ferrovia.sources import feeds, lake
+from ferrovia.schemas import TRIP_UPDATES_DOC, VEHICLE_POSITIONS_DOC
+from ferrovia.session import apply_conf, child_folders, delete_path, path_exists
+from ferrovia.sources import feeds, lake, manifest
 
 STATIC_FEEDS = ["agency", "routes", "stops", "trips", "stop_times", "calendar", "calendar_dates"]
 GOLD_PARTITION = {
@@ -84,7 +94,11 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
             lake.write_sample(latest, _p(samples, feed))
     verdicts = spark.createDataFrame(
         rows, "name string, row_count long, max_null_pct decimal(5,2), status string, dropped_rows long")
-    failed = sorted(r[0] for r in rows if r[3] == "FAIL")
+    # the gate: the load reads the verdicts of this snapshot, as stored
+    gate = _p(lake_root, "verdicts", f"snapshot={stamp}")
+    lake.overwrite_table(verdicts.coalesce(1), gate)
+    stored = spark.read.parquet(gate)
+    failed = sorted(r["name"] for r in stored.where("status = 'FAIL'").collect())     # one row per feed
     bronze = {f: spark.read.parquet(_p(lake_root, "bronze", f))
               for f in STATIC_FEEDS if path_exists(spark, _p(lake_root, "bronze", f))}
     silver = _p(lake_root, "silver")
@@ -102,7 +116,8 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
         sched = facts.build_scheduled_departures(bronze["stop_times"], bronze["trips"],
                                                  bronze["routes"], as_of)
         lake.overwrite_table(feeds.with_audit(sched, "_loaded_at", now), f"{silver}/fact_scheduled_departures")
-    if raise_on_fail and not quality.batch_gate(verdicts).first()["ok"]:
+        schedule_counts(spark, lake_root, rebuild=True)
+    if raise_on_fail and not quality.batch_gate(stored).first()["ok"]:
         raise RuntimeError(f"static feeds failed validation: {failed}")
     return verdicts
 
@@ -135,60 +150,135 @@ def fact_schemas(spark: SparkSession) -> dict:
     }
 
 
-FACTS = {
-    "trip_updates": ("fact_realtime_delays", facts.build_realtime_delays, ["trip_id", "stop_id", "fetched_at_ts"]),
-    "vehicle_positions": ("fact_vehicle_positions", facts.build_vehicle_positions, ["vehicle_id", "fetched_at_ts"]),
+@dataclass(frozen=True)
+class Feed:
+    """What the job knows about a realtime feed."""
+
+    fact: str
+    document: StructType
+    flatten: Callable[..., DataFrame]
+    build: Callable[[DataFrame], DataFrame]
+    keys: list[str]
+    problem: Callable[[], Column]
+    cells: dict[str, Callable[[DataFrame], DataFrame]]
+
+
+FEEDS = {
+    "trip_updates": Feed("fact_realtime_delays", TRIP_UPDATES_DOC, flatten.flatten_trip_updates, facts.build_realtime_delays,
+                         ["trip_id", "stop_id", "fetched_at_ts"], facts.delay_problem, gold.DELAY_CELLS),
+    "vehicle_positions": Feed("fact_vehicle_positions", VEHICLE_POSITIONS_DOC, flatten.flatten_vehicle_positions,
+                              facts.build_vehicle_positions, ["vehicle_id", "fetched_at_ts"], facts.position_problem,
+                              gold.POSITION_CELLS),
 }
+UNREADABLE = "document is not valid"
+DAY = "fetched_date_key"
 
 
 class FeedError(RuntimeError):
     """A feed of a batch failed; the other one and Gold were brought up to date."""
 
 
-def run_realtime_batch(spark: SparkSession, trip_updates: DataFrame | None,
-                       positions: DataFrame | None, lake_root: str, batch_id: int,
-                       refresh_gold: bool = True, stale: str = "refresh", source: str = "manual") -> dict:
-    """One realtime micro-batch of flattened Bronze rows, both feeds in one run.
-
-    Bronze lands under ``source=<checkpoint>/batch_id=<n>`` with overwrite (a
-    replayed batch replaces its own first attempt only); Silver facts take only
-    absent keys (insert-if-absent against the folders of the batch's days); Gold
-    is rebuilt once, after both feeds, for the touched days and upserted.  Every
-    step is idempotent, so the at-least-once replay of ``foreachBatch`` yields
-    the same tables.  A failing feed doesn't stop the other: its error is raised
-    at the end, so that the batch is run again.  Returns the rows dropped for an
-    unreadable stamp, per feed.
+def load_documents(spark: SparkSession, feed: str, docs: DataFrame, lake_root: str, batch_id: int,
+                   source: str = "manual") -> dict:
+    """One micro-batch of a feed's documents (``fetched_at``, ``value``).  Documents
+    that can't be read go whole to ``quarantine/<feed>_documents``; the others are
+    flattened and loaded by :func:`load_feed_batch`."""
+    f = FEEDS[feed]
+    seen = Observation()
+    parsed = flatten.parsed_documents(docs, f.document).observe(
+        seen, F.count(F.lit(1)).alias("documents"), F.count_if(flatten.is_unreadable()).alias("unreadable"))
+    # one pass: the documents are counted while their rows land in Bronze
+    out = load_feed_batch(spark, feed, f.flatten(parsed, "doc"), lake_root, batch_id, source, seen)
+    if out["unreadable"]:
+        bad = flatten.parsed_documents(docs, f.document).where(flatten.is_unreadable())
+        manifest.write_batch(bad.select("fetched_at", "value", F.lit(UNREADABLE).alias("reason")),
+                             _p(lake_root, "quarantine", f"{feed}_documents"), source, batch_id)
+    return out
+
+
+def load_feed_batch(spark: SparkSession, feed: str, rows: DataFrame, lake_root: str, batch_id: int,
+                    source: str = "manual", documents: Observation | None = None) -> dict:
+    """One micro-batch of a feed's flattened rows: Bronze, quarantine, Silver, cells.
+
+    Bronze keeps every row as it came.  Rows that can't become facts go to
+    ``quarantine/<feed>`` with the reason, so a bad row never stops the batch.
+    Silver takes the rows whose key no other batch has, ``partials/`` the sums of
+    those rows (see ``gold.delay_cells``), and ``changes/`` the days touched, which
+    the Gold refresh follows.  Every table has folders of the batch's own, so a
+    replay writes the same again.  Gives the batch's figures, which are also a row
+    of ``metrics/feed_batches``.
     """
     apply_conf(spark)
-    silver = _p(lake_root, "silver")
+    f = FEEDS[feed]
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    problem, seen = f.problem(), Observation()
+    bronze = _p(lake_root, "bronze", feed)
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(problem.isNotNull()).alias("rejected"),
+                           F.max(F.when(problem.isNull(), T.parse_snapshot_ts("fetched_at"))).alias("latest"))
+    lake.load_bronze_append(feeds.with_audit(counted, "_loaded_at", now), bronze, batch_id, source)
+    figures = {"documents": None, "unreadable": 0} | (documents.get if documents else {}) | seen.get
+    landed = spark.read.schema(rows.schema).parquet(lake.batch_folder(bronze, source, batch_id))
+    if figures["rejected"]:
+        manifest.write_batch(landed.withColumn("reason", problem).where("reason is not null"),
+                             _p(lake_root, "quarantine", feed), source, batch_id)
+    table = _p(lake_root, "silver", f.fact)
+    fact = feeds.with_audit(f.build(landed.where(problem.isNull())), "_loaded_at", now).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # the distinct day keys of one batch: a handful of integers
+        days = merge.insert_batch(spark, fact, table, f.keys, DAY, source, batch_id, fact.schema)
+        own = [manifest.folder_of(DAY, d, source, batch_id) for d in days]
+        own = [o for o in own if path_exists(spark, f"{table}/{o}")]
+        if own:
+            inserted = manifest.read_folders(spark, table, own, fact.schema)
+            for name, cells in f.cells.items():
+                manifest.write_batch(cells(inserted), _p(lake_root, "partials", name), source, batch_id, DAY)
+    finally:
+        fact.unpersist()
+    if days:
+        _note_changes(spark, lake_root, days)
+    lag = None if figures["latest"] is None else int((now - figures["latest"]).total_seconds())
+    row = (feed, figures["documents"], figures["unreadable"], figures["rows"], figures["rejected"], len(days), lag, now)
+    manifest.write_batch(spark.createDataFrame([row], METRICS).coalesce(1), _p(lake_root, "metrics", "feed_batches"),
+                         source, batch_id, "feed")
+    return {k: figures[k] for k in ("documents", "unreadable", "rows", "rejected")} | {"days": sorted(days)}
+
+
+METRICS = ("feed string, documents long, unreadable long, rows long, rejected long, days int, lag_seconds long, "
+           "loaded_at timestamp_ntz")
+
+
+def _note_changes(spark: SparkSession, lake_root: str, days: list[int]) -> None:
+    """Tell the Gold refresh which days have new rows: a small file more, so that a
+    replay is told again."""
+    (spark.createDataFrame([(d,) for d in days], CHANGES).coalesce(1).write.mode("append")
+     .parquet(_p(lake_root, "changes")))
+
+
+CHANGES = "fetched_date_key int"
+
+
+def run_realtime_batch(spark: SparkSession, trip_updates: DataFrame | None,
+                       positions: DataFrame | None, lake_root: str, batch_id: int,
+                       refresh_gold: bool = True, stale: str = "refresh", source: str = "manual") -> dict:
+    """One batch of flattened rows of both feeds, then Gold once for the days they
+    touched.  A failing feed doesn't stop the other: its error is raised at the end,
+    so that the batch is run again.  Returns the rows put aside, per feed."""
     touched: set[int] = set()
-    dropped, errors = {}, {}
+    rejected, errors = {}, {}
     for feed, rows in (("trip_updates", trip_updates), ("vehicle_positions", positions)):
         if rows is None:
             continue
-        table, build, keys = FACTS[feed]
-        fact = None
         try:
-            bronze = _p(lake_root, "bronze", feed)
-            lake.load_bronze_append(feeds.with_audit(rows, "_loaded_at", now), bronze, batch_id, source)
-            landed = spark.read.parquet(lake.batch_folder(bronze, source, batch_id))
-            dropped[feed] = facts.unparsed_stamp_count(landed).first()["dropped_rows"]
-            fact = feeds.with_audit(build(landed), "_loaded_at", now).persist(StorageLevel.MEMORY_AND_DISK)
-            # the distinct day keys of one batch: a handful of integers
-            days = merge.partition_values(fact, "fetched_date_key")
-            merge.insert_if_absent_table(spark, fact, f"{silver}/{table}", keys, "fetched_date_key")
-            touched.update(days)
+            done = load_feed_batch(spark, feed, rows, lake_root, batch_id, source)
+            rejected[feed] = done["rejected"]
+            touched.update(done["days"])
         except Exception as e:  # noqa: BLE001 - raised below, after the other feed
             errors[feed] = e
-        finally:
-            if fact is not None:
-                fact.unpersist()
     if refresh_gold and touched:
         run_gold(spark, lake_root, days=sorted(touched), stale=stale)
     if errors:
         raise FeedError(f"feeds that failed in batch {batch_id}: {sorted(errors)}") from next(iter(errors.values()))
-    return dropped
+    return rejected
 
 
 # ---------------------------------------------------------------------------
@@ -218,52 +308,113 @@ def _week_days(keys) -> list[int]:
     return sorted(out)
 
 
-def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
-             stale: str = "refresh", rolling_mode: str = "calendar",
-             parallel_writes: int = 6) -> dict[str, DataFrame]:
-    """Recompute Gold for ``days`` (all days when None) and upsert it.
-
-    ``days`` bounds the fact scans by partition pruning on
-    ``fetched_date_key``: day-grained tables use exactly those days, the
-    weekly scorecard the whole weeks containing them, and the rolling trend
-    the days plus the six following ones (their windows include the new
-    days) reading six more days back for the window input.
-    ``stale='keep'`` reproduces the source system's column-subset updates.
-    """
-    apply_conf(spark)
+def schedule_counts(spark: SparkSession, lake_root: str, rebuild: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Scheduled trips and stops per route, and departures per hour: made when the
+    schedule is loaded, so that no refresh reads the schedule itself."""
+    silver, out = _p(lake_root, "silver"), []
+    schema = fact_schemas(spark)["fact_scheduled_departures"]
+    for name, count in (("schedule_by_route", gold.schedule_by_route), ("schedule_by_hour", gold.schedule_by_hour)):
+        path = f"{silver}/{name}"
+        if rebuild or not path_exists(spark, path):
+            lake.overwrite_table(count(lake.table_or_empty(spark, f"{silver}/fact_scheduled_departures", schema)), path)
+        out.append(spark.read.parquet(path))
+    return tuple(out)
+
+
+def rebuild_cells(spark: SparkSession, lake_root: str, feed: str, days: list[int]) -> None:
+    """The cells of whole days from the fact (of a lake that has none yet)."""
+    f = FEEDS[feed]
+    schema = fact_schemas(spark)[f.fact]
+    rows = manifest.read_live(spark, _p(lake_root, "silver", f.fact), schema, [f"{DAY}={d}" for d in days])
+    for name, cells in f.cells.items():
+        manifest.write_batch(cells(rows), _p(lake_root, "partials", name), "rebuilt", 0, DAY)
+
+
+def _cells(spark: SparkSession, lake_root: str, days: list[int]) -> dict[str, DataFrame]:
+    """All cells of the given days, by name; days of the facts that have none yet get
+    theirs first."""
+    out, schemas = {}, fact_schemas(spark)
+    for feed, f in FEEDS.items():
+        have = {d for name in f.cells for d in child_folders(spark, _p(lake_root, "partials", name))}
+        stored = set(child_folders(spark, _p(lake_root, "silver", f.fact)))
+        lacking = [d for d in days if f"{DAY}={d}" in stored - have]
+        if lacking:
+            rebuild_cells(spark, lake_root, feed, lacking)
+        empty = spark.createDataFrame([], schemas[f.fact])
+        for name, cells in f.cells.items():
+            schema = cells(empty).schema
+            rows = manifest.read_live(spark, _p(lake_root, "partials", name), schema, [f"{DAY}={d}" for d in days])
+            rows = spark.createDataFrame([], schema) if rows is None else rows
+            out[name] = rows.withColumnsRenamed({DAY: "date_key", "fetched_hour": "hour_of_day"})
+    return out
+
+
+def gold_from_cells(spark: SparkSession, lake_root: str, days: list[int], rolling_mode: str = "calendar") -> dict[str, DataFrame]:
+    """The six Gold tables of the touched ``days`` from stored cells: the day-grained
+    tables of exactly those days, the scorecard of the whole weeks around them, the
+    rolling trend of the days and the six that follow (fed from six days back).  No
+    fact and no schedule is read; the cost follows the cells of these days."""
     silver = _p(lake_root, "silver")
-    delays_all, positions_all, sched = (
-        lake.table_or_empty(spark, f"{silver}/{name}", schema).drop("_loaded_at")
-        for name, schema in fact_schemas(spark).items())
     d_route, d_agency, d_stop, d_date, d_tod = (
         spark.read.parquet(f"{silver}/{name}")
         for name in ("dim_route", "dim_agency", "dim_stop", "dim_date", "dim_time_of_day"))
+    by_route, by_hour = schedule_counts(spark, lake_root)
+    weeks, around, affected = _week_days(days), _around(days, -6, 6), _around(days, 0, 6)
+    cells = _cells(spark, lake_root, sorted({*weeks, *around}))
+    of = lambda name, keys: cells[name].where(F.col("date_key").isin(keys))
+    delays, vehicles = of("delay_cells", days), of("vehicle_cells", days)
+    by_day_route = gold.merged_delays(delays, "date_key", "route_id")
+    stops = of("stop_cells", days).groupBy("date_key", "stop_id", "route_id").agg(
+        *[F.sum(c).alias(c) for c in ("n", "arr_sum", "arr_n", "k_on_time")])
+    per_vehicle = vehicles.groupBy("date_key", "route_id", "vehicle_id").agg(
+        F.sum("kmh_sum").alias("kmh_sum"), F.sum("kmh_n").alias("kmh_n"))
+    return {
+        "route_daily_performance": gold.route_daily_from(
+            by_day_route, d_route, d_agency, by_route, gold.merged_vehicles(vehicles, "route_id", "date_key")),
+        "stop_delay_hotspot": gold.hotspots_from(stops, d_stop),
+        "hourly_network_pattern": gold.hourly_from(
+            gold.merged_delays(delays, "date_key", "hour_of_day"), d_tod, d_date, by_hour,
+            gold.merged_vehicles(vehicles, "date_key", "hour_of_day")),
+        "route_type_summary": gold.route_types_from(
+            by_day_route, of("trip_cells", days).select("date_key", "route_id", "trip_id").distinct(), per_vehicle, d_route),
+        "operator_weekly_scorecard": gold.scorecard_from(
+            gold.merged_delays(of("delay_cells", weeks), "date_key", "route_id"), d_route, d_agency, d_date),
+        "delay_trend_daily": gold.trend_from(gold.merged_delays(of("delay_cells", around), "date_key"), d_date, rolling_mode)
+        .where(F.col("date_key").isin(affected)),
+    }
 
-    def days_filter(df, keys):
-        if keys is None:
-            return df
-        return df.where(F.col("fetched_date_key").isin(keys))
 
-    delays = days_filter(delays_all, days)
-    positions = days_filter(positions_all, days)
-    out = {
+def gold_from_facts(spark: SparkSession, lake_root: str, rolling_mode: str = "calendar") -> dict[str, DataFrame]:
+    """The six Gold tables of all days, from the facts."""
+    silver = _p(lake_root, "silver")
+    frames = []
+    for name, schema in fact_schemas(spark).items():
+        rows = (lake.table_or_empty(spark, f"{silver}/{name}", schema) if name == "fact_scheduled_departures"
+                else manifest.read_live(spark, f"{silver}/{name}", schema))
+        frames.append(spark.createDataFrame([], schema) if rows is None else rows)
+    delays, positions, sched = frames
+    d_route, d_agency, d_stop, d_date, d_tod = (
+        spark.read.parquet(f"{silver}/{name}")
+        for name in ("dim_route", "dim_agency", "dim_stop", "dim_date", "dim_time_of_day"))
+    return {
         "route_daily_performance": gold.route_daily_performance(delays, d_route, d_agency, sched, positions),
         "stop_delay_hotspot": gold.stop_delay_hotspot(delays, d_stop),
         "hourly_network_pattern": gold.hourly_network_pattern(delays, d_tod, d_date, sched, positions),
         "route_type_summary": gold.route_type_summary(delays, d_route, positions),
+        "operator_weekly_scorecard": gold.operator_weekly_scorecard(delays, d_route, d_agency, d_date),
+        "delay_trend_daily": gold.delay_trend_daily(delays, d_date, rolling_mode),
     }
-    if days is None:
-        out["operator_weekly_scorecard"] = gold.operator_weekly_scorecard(delays, d_route, d_agency, d_date)
-        out["delay_trend_daily"] = gold.delay_trend_daily(delays, d_date, rolling_mode)
-    else:
-        # whole Sunday-start weeks containing a touched day
-        out["operator_weekly_scorecard"] = gold.operator_weekly_scorecard(
-            days_filter(delays_all, _week_days(days)), d_route, d_agency, d_date)
-        # days whose 7-day window contains a touched day, fed from 6 days earlier
-        affected = _around(days, 0, 6)
-        out["delay_trend_daily"] = (gold.delay_trend_daily(
-            days_filter(delays_all, _around(days, -6, 6)), d_date, rolling_mode)
-            .where(F.col("date_key").isin(affected)))
+
+
+def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
+             stale: str = "refresh", rolling_mode: str = "calendar",
+             parallel_writes: int = 6) -> dict[str, str]:
+    """Bring Gold up to date and upsert it: from the stored cells of the touched
+    ``days``, or, without ``days``, all of it from the facts.  ``stale='keep'``
+    reproduces the source system's column-subset updates.  Returns the tables'
+    folders."""
+    apply_conf(spark)
+    out = gold_from_facts(spark, lake_root, rolling_mode) if days is None else gold_from_cells(spark, lake_root, days, rolling_mode)
     gold_root = _p(lake_root, "gold")
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
@@ -278,5 +429,4 @@ def run_gold(spark: SparkSession, lake_root: str, days: list[int] | None = None,
     with ThreadPoolExecutor(max_workers=min(parallel_writes, len(out))) as pool:
         for f in [pool.submit(write, name) for name in out]:
             f.result()
-    return {name: lake.table_or_empty(spark, f"{gold_root}/{name}", feeds.with_audit(df, "_refreshed_at", now).schema)
-            for name, df in out.items()}
+    return {name: f"{gold_root}/{name}" for name in out}

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrovia.operators import dims, facts, gold
-from ferrovia.session import delete_path
+from ferrovia.session import delete_path, scratch_dir
 from ferrovia.sources.lake import materialize
 
 # FIXED VALUES of the derivation (test-data design, not business rules).
@@ -261,14 +261,20 @@ class TransitViews:
         self._kept: list[DataFrame] = []
         self._landed: list[str] = []
         self.streamed_lake: str | None = None
+        self.poisoned_lake: str | None = None
+
+    def scratch(self, name: str) -> str:
+        """A scratch folder that goes with these views."""
+        self._landed.append(scratch_dir(self.spark, name))
+        return self._landed[-1]
 
     def release(self) -> None:
-        """Unpersist what is kept and delete the landed documents."""
+        """Unpersist what is kept and delete the landed documents and scratch lakes."""
         for df in self._kept:
             df.unpersist()
         for path in self._landed:
             delete_path(self.spark, path)
-        self._kept, self._landed = [], []
+        self._kept, self._landed, self.streamed_lake, self.poisoned_lake = [], [], None, None
 
     def _silver(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
         """The Silver facts are shared by every Gold query of a session.
@@ -344,7 +350,6 @@ class TransitViews:
     @cached_property
     def trip_update_landing(self) -> str:
         from ferrovia.operators.flatten import trip_update_documents
-        from ferrovia.session import scratch_dir
         from ferrovia.sources.realtime import land_documents
         path = scratch_dir(self.spark, "landing-trip-updates")
         # as many files as the data needs: no fixed width, a bounded number of
@@ -355,7 +360,6 @@ class TransitViews:
 
     @cached_property
     def vehicle_position_landing(self) -> str:
-        from ferrovia.session import scratch_dir
         from ferrovia.sources.realtime import land_documents
         path = scratch_dir(self.spark, "landing-vehicle-positions")
         land_documents(vehicle_position_docs(self.spark, self.sf_dir), path)

@@ -101,6 +101,43 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``, sorted."""
+    hpath, fs = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(hpath) if f.isFile()) if fs.exists(hpath) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    hpath, fs = _file_system(spark, path)
+    return fs.getContentSummary(hpath).getLength()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    hpath, fs = _file_system(spark, path)
+    fs.mkdirs(hpath)
+
+
+def write_line(spark: SparkSession, path: str, line: str) -> None:
+    """A one-line text file, written whole."""
+    hpath, fs = _file_system(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(line.encode()))
+    finally:
+        out.close()
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename a file; False if the new name is taken."""
+    target, fs = _file_system(spark, new)
+    return not fs.exists(target) and fs.rename(_file_system(spark, old)[0], target)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path`` (one metadata listing)."""
     jvm = spark.sparkContext._jvm

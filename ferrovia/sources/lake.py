@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ferrovia.session import child_folders, delete_path, path_exists, scratch_dir
+from ferrovia.sources import manifest
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -55,31 +55,6 @@ def write_snapshot(df: DataFrame, root: str, feed: str, stamp: str) -> str:
     return path
 
 
-def write_stamped_snapshots(df: DataFrame, root: str, feed: str, stamp: str = "fetched_at") -> None:
-    """Realtime rows as one folder per snapshot stamp (``snapshot=<stamp>``); rows
-    of a stamp that is written again replace it (dynamic partition overwrite)."""
-    (df.withColumn("snapshot", F.col(stamp)).write.mode("overwrite").partitionBy("snapshot")
-     .parquet(f"{root.rstrip('/')}/{feed}"))
-
-
-def read_bronze(spark: SparkSession, root: str, feed: str, schema=None) -> DataFrame:
-    """Scan every snapshot of a feed; ``snapshot`` becomes a partition column."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(f"{root.rstrip('/')}/{feed}")
-
-
-def latest_snapshot(df: DataFrame, col: str = "snapshot") -> DataFrame:
-    """Rows of the most recent snapshot only (full-refresh feeds).
-
-    Equi-join with the one-row ``max(snapshot)`` aggregate.  The join reads every
-    snapshot: for snapshots on disk use :func:`read_latest_snapshot`.
-    """
-    latest = df.agg(F.max(col).alias(col))
-    return df.join(latest, col)
-
-
 def read_latest_snapshot(spark: SparkSession, root: str, feed: str) -> DataFrame:
     """The newest snapshot of a feed.  It is found by listing the folder names, so
     older snapshots are neither listed in depth nor read."""
@@ -111,23 +86,15 @@ def load_bronze_append(df: DataFrame, path: str, batch_id: int | None = None, so
         df.write.mode("overwrite").parquet(batch_folder(path, source, batch_id))
 
 
-def compact_bronze(spark: SparkSession, path: str, source: str, before: int, files: int = 1) -> int:
-    """Merge a source's batch folders below ``before`` into one, ``upto=<n>``; the
-    small folders go only after the merged one has been written.  Returns how many
-    went.  Run it while no batch below ``before`` can be replayed."""
-    base = f"{path.rstrip('/')}/source={source}"
-    old = [n for n in child_folders(spark, base)
-           if n.startswith("batch_id=") and n[9:].isdigit() and int(n[9:]) < before]
-    if len(old) < 2:
-        return 0
-    merged = spark.read.parquet(*[f"{base}/{n}" for n in old])
-    if files:
-        merged = merged.coalesce(files)
-    merged.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(
-        f"{base}/batch_id=upto{before}")
-    for n in old:
-        delete_path(spark, f"{base}/{n}")
-    return len(old)
+def compact_bronze(spark: SparkSession, path: str, source: str, before: int) -> int:
+    """Merge a source's batch folders below ``before`` (see :mod:`.manifest`); gives
+    how many.  Run it while no batch below ``before`` can be replayed."""
+    return manifest.compact(spark, path, f"source={source}", lambda s, n: n < before)
+
+
+def compact_facts(spark: SparkSession, path: str, day: int, is_old=lambda source, batch_id: True) -> int:
+    """Merge the batch folders of one day of a realtime fact (or of its cells)."""
+    return manifest.compact(spark, path, f"fetched_date_key={day}", is_old)
 
 
 def read_partitions(spark: SparkSession, path: str, column: str, values, schema=None) -> DataFrame | None:

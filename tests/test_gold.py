@@ -40,8 +40,8 @@ def test_route_daily_band_percentages_sum(spark):
     tv = TransitViews(spark, SF, persist=None)
     rd = tv.route_daily()
     rest = (tv.delays.groupBy(F.col("fetched_date_key").alias("date_key"), "route_id")
-            .agg(M.pct_of(F.col("delay_band") == "Early").alias("pct_early"),
-                 M.pct_of(F.col("delay_band") == "Unknown").alias("pct_unknown")))
+            .agg(*[M.pct_from_counts(F.count_if(F.col("delay_band") == b), F.count(F.lit(1))).alias(f"pct_{b.lower()}")
+                   for b in ("Early", "Unknown")]))
     total = (F.col("pct_on_time") + F.col("pct_minor_delay") + F.col("pct_moderate_delay")
              + F.col("pct_severe_delay") + F.col("pct_early") + F.col("pct_unknown"))
     joined = rd.join(rest, ["date_key", "route_id"])

@@ -1,14 +1,18 @@
 """Batch jobs and streaming: static load, micro-batch replay, stream = batch."""
 
 import datetime as dt
+import json
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from ferrovia.operators import dims, facts, flatten
+from ferrovia.operators import dims, facts, flatten, gold
 from ferrovia.plans import jobs
 from ferrovia.plans import testviews as TV
 from ferrovia.sources import lake as lake_io
+from ferrovia.sources import manifest
 from ferrovia.sources.realtime import land_documents
 from ferrovia.streaming import realtime as ST
 from tests.conftest import rows
@@ -148,10 +152,195 @@ def test_both_feeds_stream_with_gold(spark, tmp):
 
 
 def test_bronze_compaction(spark, tmp):
+    base, want = f"{tmp}/b", sorted(i for k in range(4) for i in range(k, k + 3))
+    ids = lambda df: sorted(r.id for r in df.collect())
     for k in range(4):
-        lake_io.load_bronze_append(spark.range(k, k + 3).withColumn("fetched_at", F.lit("x")), f"{tmp}/b", k, "s")
-    assert lake_io.compact_bronze(spark, f"{tmp}/b", "s", before=3) == 3
-    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/b").collect()) == sorted(i for k in range(4) for i in range(k, k + 3))
+        lake_io.load_bronze_append(spark.range(k, k + 3).withColumn("fetched_at", F.lit("x")), base, k, "s")
+    before = manifest.read_live(spark, base)
+    assert lake_io.compact_bronze(spark, base, "s", before=3) == 3
+    # a reader that listed the table before sees the same rows as one that lists it now
+    assert ids(before) == ids(manifest.read_live(spark, base)) == want
+    assert len(manifest.live_folders(spark, base)) == 2
+    # a copy that was written but never named by a manifest is not part of the table
+    spark.range(5).write.parquet(f"{base}/_merged/source=s/batch_id=9")
+    assert ids(manifest.read_live(spark, base)) == want
+    lake_io.load_bronze_append(spark.range(9).withColumn("fetched_at", F.lit("x")), base, 4, "s")
+    assert lake_io.compact_bronze(spark, base, "s", before=5) == 3      # the merged folder, 3 and 4
+    assert manifest.vacuum(spark, base) == 7      # five batches, the copy, the first merged folder
+    assert ids(manifest.read_live(spark, base)) == sorted(want + list(range(9)))
+    assert lake_io.compact_bronze(spark, base, "s", before=5) == 0 and manifest.vacuum(spark, base) == 0
+
+
+def test_fact_compaction_keeps_gold(spark, tmp):
+    lake = f"{tmp}/lake"
+    tv = _static_silver(spark, lake)
+    tu = TV.bronze_trip_updates(spark, SF)
+    day = F.col("start_date") == "20250120"
+    for k in range(3):
+        jobs.run_realtime_batch(spark, tu.where(day & (F.crc32("trip_id") % 3 == k)), None, lake, k, refresh_gold=False)
+    fact = f"{lake}/silver/fact_realtime_delays"
+    want = tv.delays.where("fetched_date_key = 20250120").count()
+    assert lake_io.compact_facts(spark, fact, 20250120) == 3
+    for name in jobs.FEEDS["trip_updates"].cells:
+        assert lake_io.compact_facts(spark, f"{lake}/partials/{name}", 20250120) == 3
+    assert manifest.read_live(spark, fact).count() == want > 0
+    manifest.vacuum(spark, fact)
+    jobs.run_realtime_batch(spark, tu.where(day), None, lake, 3)        # all of it is there already
+    assert manifest.read_live(spark, fact).count() == want
+    got = spark.read.parquet(f"{lake}/gold/route_daily_performance").drop("_refreshed_at", "active_vehicles", "avg_speed_kmh")
+    assert rows(got.select(*sorted(got.columns))) == rows(
+        tv.route_daily().where("date_key = 20250120").select(*sorted(got.columns)))
+
+
+def _land(path, *documents):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{len(os.listdir(path))}.json", "w", encoding="utf-8") as f:
+        f.writelines(d + "\n" for d in documents)
+
+
+def _position(vehicle, speed, stamp="20250120T080000Z"):
+    return json.dumps({"fetched_at": stamp, "entity": [{"id": vehicle, "vehicle": {
+        "trip": {"tripId": "T1", "routeId": "R1"}, "vehicle": {"id": vehicle}, "position": {"speed": speed}}}]})
+
+
+def _update(trip, delay, stamp="20250120T080000Z"):
+    return json.dumps({"fetched_at": stamp, "entity": [{"id": trip, "tripUpdate": {
+        "trip": {"tripId": trip, "routeId": "R1"}, "stopTimeUpdate": [{"stopId": "S1", "arrival": {"delay": delay}}]}}]})
+
+
+def test_poison_rows_are_put_aside(spark, tmp):
+    lake = f"{tmp}/lake"
+    _static_silver(spark, lake)
+    start = lambda: ST.await_all(ST.start_realtime(
+        spark, f"{tmp}/tu", f"{tmp}/vp", lake, f"{tmp}/chk", trigger="availableNow"))
+    _land(f"{tmp}/vp", _position("V1", 10), _position("V2", 1e9), _position("V3", None), _position("V4", 5, "junk"),
+          '{"fetched_at": "20250120T080000Z", "entity": [', _position("V5", 5, "+250000-01-01T00:00:00Z"))
+    _land(f"{tmp}/tu", _update("T1", 60), _update("T2", 2_000_000_000), "not a document", _update("T3", None))
+    start()
+    _land(f"{tmp}/vp", _position("V9", 7, "20250121T080000Z"))
+    _land(f"{tmp}/tu", _update("T9", 60, "20250121T080000Z"))
+    start()
+    read = lambda t: manifest.read_live(spark, f"{lake}/{t}")
+    assert rows(read("silver/fact_vehicle_positions"), "vehicle_id") == [("V1",), ("V3",), ("V9",)]
+    assert rows(read("silver/fact_realtime_delays"), "trip_id") == [("T1",), ("T3",), ("T9",)]
+    assert rows(read("quarantine/vehicle_positions"), "vehicle_id", "reason") == [
+        ("V2", "speed_mps out of range"), ("V4", facts.NO_STAMP), ("V5", facts.NO_STAMP)]
+    assert rows(read("quarantine/trip_updates"), "trip_id", "reason") == [("T2", "arrival_delay_secs out of range")]
+    assert rows(read("quarantine/trip_updates_documents"), "value", "reason") == [("not a document", jobs.UNREADABLE)]
+    assert read("quarantine/vehicle_positions_documents").count() == 1
+    figures = read("metrics/feed_batches").groupBy("feed").agg(
+        *[F.sum(c).cast("int") for c in ("documents", "unreadable", "rows", "rejected")])
+    assert rows(figures) == [("trip_updates", 5, 1, 4, 1), ("vehicle_positions", 7, 1, 6, 3)]
+    assert read("bronze/vehicle_positions").count() == 6       # Bronze keeps every row
+    trend = spark.read.parquet(f"{lake}/gold/delay_trend_daily")
+    assert rows(trend, "date_key", "total_observations") == [(20250120, 2), (20250121, 1)]
+
+
+def test_landing_that_appears_later(spark, tmp):
+    lake = f"{tmp}/lake"
+    _static_silver(spark, lake)
+    start = lambda: ST.await_all(ST.start_realtime(
+        spark, f"{tmp}/tu", f"{tmp}/vp", lake, f"{tmp}/chk", trigger="availableNow"))
+    _land(f"{tmp}/tu", *[_update(f"T{i}", 60) for i in range(20)])
+    with pytest.warns(UserWarning, match="vehicle_positions"):
+        start()
+    _land(f"{tmp}/vp", _position("V1", 10))
+    _land(f"{tmp}/tu", _update("T99", 60))
+    start()
+    assert manifest.read_live(spark, f"{lake}/bronze/trip_updates").count() == 21
+    assert manifest.read_live(spark, f"{lake}/silver/fact_vehicle_positions").count() == 1
+
+
+def test_a_failing_feed_stops_alone(spark, tmp, monkeypatch):
+    lake = f"{tmp}/lake"
+    _static_silver(spark, lake)
+    _land(f"{tmp}/tu", _update("T1", 60))
+    _land(f"{tmp}/vp", _position("V1", 10))
+    real = jobs.load_documents
+
+    def fails(spark_, feed, *a):
+        if feed == "vehicle_positions":
+            raise OSError("store is away")
+        return real(spark_, feed, *a)
+
+    monkeypatch.setattr(jobs, "load_documents", fails)
+    with pytest.raises(RuntimeError, match="store is away"):
+        ST.await_all(ST.start_realtime(spark, f"{tmp}/tu", f"{tmp}/vp", lake, f"{tmp}/chk", trigger="availableNow"))
+    assert spark.read.parquet(f"{lake}/gold/delay_trend_daily").count() == 1        # Gold follows the other feed
+    monkeypatch.setattr(jobs, "load_documents", real)
+    ST.await_all(ST.start_realtime(spark, f"{tmp}/tu", f"{tmp}/vp", lake, f"{tmp}/chk", trigger="availableNow"))
+    assert manifest.read_live(spark, f"{lake}/silver/fact_vehicle_positions").count() == 1
+    assert spark.read.parquet(f"{lake}/gold/route_daily_performance").first()["active_vehicles"] == 1
+
+
+def test_gold_from_cells_equals_gold_from_facts(spark, tmp):
+    lake = f"{tmp}/lake"
+    _static_silver(spark, lake)
+    fortnight = F.col("start_date").between("20250201", "20250214")
+    tu, vp = TV.bronze_trip_updates(spark, SF).where(fortnight), TV.bronze_vehicle_positions(spark, SF).where(fortnight)
+    for k in range(2):
+        jobs.run_realtime_batch(spark, tu.where(F.crc32("trip_id") % 2 == k), vp.where(F.crc32("vehicle_id") % 2 == k),
+                                lake, k, refresh_gold=False)
+    days = [r[0] for r in manifest.read_live(spark, f"{lake}/silver/fact_realtime_delays").select(jobs.DAY).distinct().collect()]
+    some = sorted(days)[3:6]
+    full, part = jobs.gold_from_facts(spark, lake), jobs.gold_from_cells(spark, lake, some)
+    for name, column in jobs.GOLD_PARTITION.items():
+        keys = [r[0] for r in part[name].select(column).distinct().collect()]
+        assert len(keys) == {"operator_weekly_scorecard": 1, "delay_trend_daily": 9}.get(name, 3), name
+        assert rows(part[name]) == rows(full[name].where(F.col(column).isin(keys))), name
+        # neither a fact nor the schedule is read
+        files = part[name].inputFiles()
+        assert files and not any("/silver/fact_" in f for f in files), name
+    # cells that are missing come from the fact
+    import shutil
+    for name in gold.DELAY_CELLS:
+        shutil.rmtree(f"{lake}/partials/{name}/fetched_date_key={some[0]}")
+    assert rows(jobs.gold_from_cells(spark, lake, some)["delay_trend_daily"]) == rows(part["delay_trend_daily"])
+
+
+def test_polls_end_by_themselves(spark, tmp):
+    lake = f"{tmp}/lake"
+    _static_silver(spark, lake)
+    for i in range(3):
+        _land(f"{tmp}/tu", _update(f"T{i}", 60))
+    failed = ST.run_polls(spark, f"{tmp}/tu", None, lake, f"{tmp}/chk", polls=4, interval="2 seconds", timeout=120,
+                          max_files_per_trigger=1)
+    assert failed == {}
+    progress = spark.read.parquet(f"{lake}/metrics/progress")
+    assert progress.where("query like 'trip_updates%'").agg(F.sum("input_rows")).first()[0] == 3
+    assert spark.read.parquet(f"{lake}/gold/delay_trend_daily").first()["total_observations"] == 3
+
+
+def test_late_rows_are_counted(spark, tmp):
+    progress = ST.ProgressTable(spark, f"{tmp}/progress")
+    spark.streams.addListener(progress)
+    for i, stamp in enumerate(["20250120T200000Z", "20250120T210000Z", "20250120T010000Z", "20250120T010500Z"]):
+        _land(f"{tmp}/vp", _position(f"V{i}", 10, stamp))
+        os.utime(f"{tmp}/vp/{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    q = ST.start_hourly_windows(spark, f"{tmp}/vp", f"{tmp}/w", f"{tmp}/chk", "availableNow", "2 hours", 1)
+    ST.await_all([q])
+    deadline = time.monotonic() + 30
+    while progress.late_rows[str(q.id)] < 2 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(progress)
+    progress.flush()
+    assert progress.late_rows[str(q.id)] == 2 == spark.read.parquet(f"{tmp}/progress").agg(F.sum("late_rows")).first()[0]
+
+
+def test_snapshot_sink(spark, tmp):
+    docs = TV.vehicle_position_docs(spark, SF)
+    land_documents(docs, f"{tmp}/vp")
+    want = flatten.flatten_vehicle_positions(docs)
+    for _ in range(2):      # the second start finds nothing new
+        ST.await_all([ST.start_snapshots(spark, "vehicle_positions", f"{tmp}/vp", f"{tmp}/snap", f"{tmp}/chk", "availableNow")])
+    got = spark.read.parquet(f"{tmp}/snap/vehicle_positions")
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert got.where("snapshot <> fetched_at").isEmpty()
+    # files of a batch that was never committed are not read
+    import shutil
+    name = next(os.path.join(d, f) for d, _, fs in os.walk(f"{tmp}/snap/vehicle_positions") for f in fs if f.endswith(".parquet"))
+    shutil.copy(name, name.replace("part-", "part-x"))
+    assert spark.read.parquet(f"{tmp}/snap/vehicle_positions").count() == want.count()
 
 
 def test_stream_equals_batch(spark, tmp):
