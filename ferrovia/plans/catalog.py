@@ -681,3 +681,23 @@ def q_bronze_compaction(spark, sf_dir):
     LK.compact_bronze(spark, path, "s", before=5)
     MF.vacuum(spark, path)
     return delays_out(FACTS.build_realtime_delays(MF.read_live(spark, path)))
+
+
+@register("static_rejected_rows", O.with_ctes(O.REJECTED_SQL))
+def q_static_rejected_rows(spark, sf_dir):
+    """Stop times with lines that have too many fields or an open quote: the rows read
+    (reason '') and those kept whole in the bad-record table add up to the lines."""
+    root = _tv(spark, sf_dir).scratch("landing-rejects")
+    rows = TVM.bronze_stop_times(spark, sf_dir)
+    key = F.substring("trip_id", 2, 20).cast("long")
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
+    lines = rows.select(F.when(key % 101 == 3, F.concat(line, F.lit(",more,fields")))
+                        .when(key % 103 == 5, F.concat(line, F.lit('"'))).otherwise(line).alias("value"))
+    # one text column under a header that reads as the feed's: every part file gets it
+    (lines.toDF(",".join(rows.columns)).write.option("header", True).option("quote", "\u0000").option("delimiter", "\u0001")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/feed/stop_times.txt"))
+    good = FD.read_feed_csv(spark, f"{root}/feed", "stop_times", ingested_at="fixed")
+    rejected = FD.write_rejected(spark, f"{root}/feed", "stop_times", f"{root}/rejected")
+    return (good.select(F.lit("").alias("reason"), "trip_id")
+            .unionByName(rejected.select("reason", F.col("first_field").alias("trip_id")))
+            .groupBy("reason").agg(F.count("*").alias("rows"), F.count_distinct("trip_id").alias("trips")))

@@ -4,6 +4,8 @@ Lake layout under ``lake``::
 
     bronze_snapshots/<feed>/snapshot=<stamp>/   static feeds as landed
     bronze/<feed>/                              latest static snapshot
+    rejected/<feed>/snapshot=<stamp>/           rows of a static feed that can't be read, whole
+    verdicts/snapshot=<stamp>/                  one row per feed: the gate that the load reads
     bronze/trip_updates/source=<id>/batch_id=<n>/   realtime Bronze, one folder per checkpoint and batch
     quarantine/<feed>/, <feed>_documents/       rows and documents that can't be loaded, with the reason
     silver/<table>/                             dimensions and facts
@@ -62,7 +64,7 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
 
     Good feeds are written even when another feed fails; the returned verdict
     frame (one row per feed: rows, worst null share, status, and how many
-    malformed rows were dropped) tells which failed, and ``raise_on_fail`` turns
+    malformed rows were dropped: they are in ``rejected/<feed>``, whole) tells which failed, and ``raise_on_fail`` turns
     a failed feed into an error after everything else has been written.
     ``samples`` is a folder for a small CSV sample of each feed.
     """
@@ -85,6 +87,8 @@ def run_static(spark: SparkSession, landing: str, lake_root: str, as_of, stamp:
         counts = seen.get
         rows.append((*quality.verdict(feed, counts["rows"], {c: counts[f"null_{i}"] for i, c in enumerate(columns)}),
                      bad.get["dropped"]))
+        if bad.get["dropped"]:
+            feeds.write_rejected(spark, landing, feed, _p(lake_root, "rejected", feed, f"snapshot={stamp}"))
         if not counts["rows"]:
             delete_path(spark, path)  # an empty feed never replaces an earlier snapshot
             continue

@@ -243,3 +243,20 @@ def test_unparsed_stamps_are_counted_and_dropped(spark):
                                          ("departure_delay_secs", "int"), ("schedule_relationship", "string")]])
     assert facts.unparsed_stamp_count(raw).first().dropped_rows == 2
     assert facts.build_realtime_delays(raw).count() == 1
+
+
+def test_rejected_rows_are_kept_whole(spark, tmp):
+    head = "trip_id,arrival_time,departure_time,stop_id,stop_sequence"
+    lines = [head, "T1,07:00:00,07:00:00,S1,1", "", 'T2,07:00:00,07:00:00,"S,2",2', "T3,1,2,S3,3,more,fields",
+             'T4,07:00:00,07:00:00,"S4,4', "T5,07:00:00", head]
+    _write(f"{tmp}/feed/stop_times.txt", "\n".join(lines) + "\n")
+    good = feeds.read_feed_csv(spark, f"{tmp}/feed", "stop_times")
+    assert {(r.trip_id, r.stop_id) for r in good.collect()} == {("T1", "S1"), ("T2", "S,2"), ("T5", None)}
+    bad = feeds.write_rejected(spark, f"{tmp}/feed", "stop_times", f"{tmp}/rejected")
+    assert sorted((r.line, r.reason, r.first_field, r.raw) for r in bad.collect()) == [
+        (5, feeds.TOO_MANY_FIELDS, "T3", lines[4]), (6, feeds.UNBALANCED, "T4", lines[5])]
+    _write(f"{tmp}/feed/trips.txt", 'route_id,service_id,trip_id\nR1,S1,"T\n1"\nR1,S1,T2,x,"y\nz"\nR1,S1,T3\n')
+    bad = feeds.write_rejected(spark, f"{tmp}/feed", "trips", f"{tmp}/rejected2")
+    assert [(r.line, r.reason, r.first_field, r.raw.strip()) for r in bad.collect()] == [
+        (3, feeds.TOO_MANY_FIELDS, "R1", 'R1,S1,T2,x,"y\nz"')]
+    assert feeds.write_rejected(spark, f"{tmp}/feed", "agency", f"{tmp}/rejected3").isEmpty()
