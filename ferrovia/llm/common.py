@@ -30,14 +30,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._stored_path = path
+    out._stored_paths = (path,)
     return out
 
 
+def resting_on(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """``df``, which reads these stored tables whenever it is run: they go with it
+    when :func:`drop_stored` is called on it."""
+    df._stored_paths = tuple(p for t in tables for p in getattr(t, "_stored_paths", ()))
+    return df
+
+
 def drop_stored(df: DataFrame) -> None:
-    """Delete a table made by :func:`stored` once nothing reads it any more."""
-    path = getattr(df, "_stored_path", None)
-    if path:
+    """Delete a table made by :func:`stored`, or those that a frame rests on, once
+    nothing reads them any more."""
+    for path in getattr(df, "_stored_paths", ()):
         delete_path(df.sparkSession, path)
 
 

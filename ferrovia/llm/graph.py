@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrovia.llm.common import drop_stored, stored
+from ferrovia.llm.common import drop_stored, resting_on, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -43,8 +43,7 @@ def roots_of(forest: DataFrame) -> DataFrame:
         after = stored(now.join(up, "root", "left").select(
             "node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), "forest")
         drop_stored(now)
-        now = after.select("node", "root")
-        now._stored_path = after._stored_path
+        now = resting_on(after.select("node", "root"), after)
         if after.where("moved").isEmpty():
             return now
 
@@ -58,7 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if (seen["n"], seen["s"]) == mark or not seen["n"]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return resting_on(now.select(F.col("u").alias("node"), F.col("v").alias("root")), now)
         mark = seen["n"], seen["s"]
         large = _star(now, True)
         small = _star(large, False)

@@ -10,16 +10,19 @@ within a few hundredths.
 
 Candidates are checked against one center of their bands first (one pair per
 document, never all pairs).  Members of a band that are still in different
-components then are compared directly, as a join with the sketch estimate and
-the confirmation as its condition.  A candidate that the sketch doesn't rule out by far is
-confirmed on the full shingle sets, and components are built from confirmed
-links.
+components then are compared with each other in two steps.  A parity bitmap of
+the whole shingle set gives a sure bound: its XOR has at most as many bits as the
+sets differ in, so a pair with too many can't be similar.  Members for which the
+bands hold no partner within estimate and bound go (a semi-join: no pairs leave
+it); only those that stay bring their full sets into a join that confirms.
+Components are built from confirmed links.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; a text of fewer than five words is one shingle;
 repeated rows fall into one class; rows whose doc_id is null are linked with
 nothing and kept; an empty table gives an empty result; other input columns
-are not read.  A doc_id is taken to name one text.
+are not read.  A doc_id of any type that has an order is taken, and to name one
+text.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrovia.llm.common import drop_stored, folded_words, stored, text_values
+from ferrovia.llm.common import drop_stored, folded_words, resting_on, stored, text_values
 from ferrovia.llm.graph import components, roots_of
 
 SHINGLE = 5
@@ -44,6 +47,8 @@ SIMILARITY = 75
 # Pairs estimated below this are no candidates.  The samples and the collisions of
 # their bits both spread the estimate, so the gate stands well under 0.75.
 LEAST_ESTIMATE = 0.5
+# Bits of the parity bitmap of a whole set; its bound is sharp up to some 3,000 shingles.
+FOLD_BITS = 2048
 # Words whose hashes a worker keeps.
 KEPT_WORDS = 400_000
 
@@ -150,26 +155,39 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, f"doc_id {id_type}, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """(FOLD_BITS / 64) words: the parities of the shingles whose hashes fall on each bit."""
+    places = (shingles >> np.uint64(64 - FOLD_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=FOLD_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(rep, shingles) of each document."""
+    """(rep, shingles, fold) of each document: its set and the set's parities."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             texts = text_values(batch.column("text"))
             for at in range(0, len(texts), 512):
-                sets = [shingle_set(t).view(np.int64) for t in texts[at:at + 512]]
+                sets = [shingle_set(t) for t in texts[at:at + 512]]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(sets)), pa.array(sets, pa.list_(pa.int64()))],
-                    ["rep", "shingles"])
+                    [batch.column("doc_id").slice(at, len(sets)),
+                     pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+                     pa.array([parities(x) for x in sets], pa.list_(pa.int64()))],
+                    ["rep", "shingles", "fold"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"rep {id_type}, shingles array<long>, fold array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"rep {id_type}, shingles array<long>")
+def _bits_apart(a, b, bits: int):
+    """In how many bits two bitmaps (columns) differ."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, bits // 64)),
+               F.bit_count(a[0].bitwiseXOR(b[0])))
 
 
 def estimate(a, b):
     """Estimated similarity of two sketches (columns)."""
-    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, BITS // 64)),
-                 F.bit_count(a[0].bitwiseXOR(b[0])))
+    differ = _bits_apart(a, b, BITS)
     # The number of samples that differ, from the number of odd parities.
     inside = F.greatest(F.lit(1.0) - 2.0 * differ / BITS, F.lit(1e-9))
     return F.lit(1.0) + F.lit(BITS / (4.0 * SAMPLES)) * F.log(inside)
@@ -181,12 +199,27 @@ def _similar(a: str, b: str):
     return 100 * both >= SIMILARITY * (F.size(a) + F.size(b) - both)
 
 
+def possible(n_a, n_b, fold_a, fold_b):
+    """Whether sets of these sizes and parities can be similar enough.  Sets that
+    differ in d shingles have a similarity of (n - d) / (n + d), n being both sizes
+    together, and d is at least the number of parities that differ.  True for every
+    similar pair."""
+    n, least = n_a + n_b, _bits_apart(fold_a, fold_b, FOLD_BITS)
+    return 100 * (n - least) >= SIMILARITY * (n + least)
+
+
 def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """(rep, shingles) of the documents with these ids (column ``rep``)."""
+    """(rep, shingles, fold) of the documents with these ids (column ``rep``)."""
     members = docs.join(ids.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     return stored(full_sets(members).dropDuplicates(["rep"]), name)
 
 
+def _having_partner(rows: DataFrame, partners: DataFrame, may) -> DataFrame:
+    """The rows for which their band holds a partner that ``may`` holds for."""
+    band = F.col("of_band")
+    return rows.join(partners.withColumnRenamed("band", "of_band"), (F.col("band") == band) & may, "left_semi")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (smallest
     doc_id that links lead to, itself included)."""
@@ -204,8 +237,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weighted = stored(crowd.join(weights, "rep").select("band", "rep", "weight"), "near-weighted")
     drop_stored(shared)
     drop_stored(crowd)
-    centers = stored(weighted.groupBy("band").agg(F.max(F.struct("weight", -F.col("rep"))).alias("m"))
-                     .select("band", (-F.col("m.col2")).alias("center"), F.col("m.weight").alias("center_weight")), "near-centers")
+    centers = stored(weighted.groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("w"), "rep")).alias("m"))
+                     .select("band", F.col("m.rep").alias("center"), (-F.col("m.w")).alias("center_weight")), "near-centers")
     starred = stored(weighted.join(centers, "band").select("band", "rep", "center", "center_weight"), "near-starred")
     drop_stored(weighted)
     drop_stored(centers)
@@ -216,8 +249,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # First each document against the center that most of its bands have: one
     # pair.  Centers come later in the order, so the links form a forest.
     star = (starred.where("rep != center").groupBy("rep", "center", "center_weight").agg(F.count("*").alias("n"))
-            .groupBy("rep").agg(F.max(F.struct("n", "center_weight", -F.col("center"))).alias("m"))
-            .select(F.col("rep").alias("v"), (-F.col("m.col3")).alias("u")))
+            .groupBy("rep").agg(F.min(F.struct(-F.col("n"), -F.col("center_weight"), "center")).alias("m"))
+            .select(F.col("rep").alias("v"), F.col("m.center").alias("u")))
     near = stored(star.join(ka, "u").join(kb, "v").where(likely).select("u", "v"), "near-pairs")
     sets = _sets_of(near.select(F.explode(F.array("u", "v")).alias("rep")), docs, "near-sets")
     links = stored(near.join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("x")), "u")
@@ -226,8 +259,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = roots_of(links.select(F.col("v").alias("node"), F.col("u").alias("root")))
 
     # Then, in bands whose members are not in one component yet, each member
-    # outside the center's component against all the others, confirmed at once:
-    # only links leave the join.
+    # outside the center's component against all the others: first whether any of
+    # them can be similar, then confirmed at once; only links leave the join.
     root = lambda name: first.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
     placed = stored(starred.join(root("rep"), "rep", "left").join(root("center"), "center", "left").select(
         "band", "rep", F.coalesce("rep_root", "rep").alias("comp"),
@@ -239,27 +272,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         others = stored(placed.join(apart.select("band").distinct(), "band", "left_semi").select("band", "rep", "comp"),
                         "near-others")
         known = _sets_of(others, docs, "near-known")
+        light = known.select("rep", F.size("shingles").alias("n"), "fold")
         side = lambda rows, name, k, x: (
-            rows.select("band", F.col("rep").alias(name), F.col("comp").alias(f"{name}_comp"))
-            .join(k, name).join(known.select(F.col("rep").alias(name), F.col("shingles").alias(x)), name))
-        left = stored(side(others, "u", ka, "x"), "near-left")
-        right = stored(side(apart, "v", kb, "y"), "near-right")
-        more = stored(left.join(right, "band").where((F.col("u_comp") != F.col("v_comp")) & likely & _similar("x", "y"))
+            rows.select("band", F.col("rep").alias(name), F.col("comp").alias(f"{name}_comp")).join(k, name)
+            .join(light.select(F.col("rep").alias(name), F.col("n").alias(f"n{x}"), F.col("fold").alias(f"fold{x}")), name))
+        left = stored(side(others, "u", ka, "a"), "near-left")
+        right = stored(side(apart, "v", kb, "b"), "near-right")
+        may = ((F.col("u_comp") != F.col("v_comp")) & likely
+               & possible(F.col("na"), F.col("nb"), F.col("folda"), F.col("foldb")))
+        near_right = stored(_having_partner(right, left, may), "near-right")
+        near_left = stored(_having_partner(left, near_right, may), "near-left")
+        sets_for = lambda name, x: known.select(F.col("rep").alias(name), F.col("shingles").alias(x))
+        more = stored(near_left.join(sets_for("u", "x"), "u").join(near_right.join(sets_for("v", "y"), "v"), "band")
+                      .where(may & _similar("x", "y"))
                       .select(F.least("u_comp", "v_comp").alias("u"), F.greatest("u_comp", "v_comp").alias("v")).distinct(),
                       "near-more")
-        tables += [others, known, left, right, more]
+        tables += [others, known, left, right, near_left, near_right, more]
         if not more.isEmpty():
-            joined = components(more).withColumnRenamed("root", "top")
+            merged = components(more)
+            tables.append(merged)
+            joined = merged.withColumnRenamed("root", "top")
             roots = (first.join(joined.withColumnRenamed("node", "root"), "root", "left")
                      .select("node", F.coalesce("top", "root").alias("root"))
                      .unionByName(joined.select("node", F.col("top").alias("root"))))
 
-    classes = stored(reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-                     .select("digest", "rep", F.coalesce("root", "rep").alias("top")), "near-classes")
-    lowest = stored(classes.groupBy("top").agg(F.min("rep").alias("class_root")), "near-lowest")
-    classes = stored(classes.join(lowest, "top").select("digest", "class_root"), "near-classes")
-    for x in tables:
+    tops = stored(reps.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+                  .select("digest", "rep", F.coalesce("root", "rep").alias("top")), "near-tops")
+    lowest = stored(tops.groupBy("top").agg(F.min("rep").alias("class_root")), "near-lowest")
+    classes = stored(tops.join(lowest, "top").select("digest", "class_root"), "near-classes")
+    for x in (*tables, first, reps, tops, lowest):
         drop_stored(x)
     found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-    return found.join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_root", "doc_id").alias("component_id"))
+    return resting_on(found.join(classes, "digest", "left").select(
+        "doc_id", "n_shingles", F.coalesce("class_root", "doc_id").alias("component_id")), signed, classes)

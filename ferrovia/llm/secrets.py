@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrovia.llm.common import drop_stored, stored, text_values
+from ferrovia.llm.common import drop_stored, resting_on, stored, text_values
 
 # Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -355,7 +355,7 @@ def find_secrets(docs: DataFrame, fdr: float = FDR, keep_row: bool = False) -> D
     keep = F.filter("found", lambda s: (s["kind"] != "random") | passes(s))
     ordered = F.array_sort(F.transform(keep, lambda s: F.struct(
         s["start"].alias("start"), F.element_at(rank, s["kind"]).alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    return scanned.select("doc_id", ordered.alias("spans"), *(["row"] if keep_row else []))
+    return resting_on(scanned.select("doc_id", ordered.alias("spans"), *(["row"] if keep_row else [])), scanned)
 
 
 def redacted(found: DataFrame) -> DataFrame:

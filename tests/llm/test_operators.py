@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrovia.llm import (
+    common,
     decontaminate,
     induced_sort,
     language_id,
@@ -22,6 +23,7 @@ from ferrovia.llm import (
     suffix_dedup,
     token_counts,
 )
+from ferrovia.session import path_exists
 from tests.llm import brute
 from tests.llm.conftest import SF
 
@@ -249,6 +251,58 @@ def test_chains_and_crowds_of_near_copies(spark):
     assert got == {i: c for i, (_, c) in brute.components(rows).items()}
 
 
+def test_near_copies_with_text_ids(spark):
+    rng = random.Random(8)
+    rows = []
+    for family in range(12):  # copies that differ from each other about as much as the limit allows
+        words = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+        for k in range(8):
+            copy = list(words)
+            for _ in range(rng.randrange(1, 7)):
+                copy[rng.randrange(200)] = f"new{rng.randrange(10_000)}"
+            rows.append((f"doc-{family:02d}-{k}", " ".join(copy)))
+    got = {r["doc_id"]: r["component_id"] for r in odd_sketch.near_duplicates(
+        spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {i: c for i, (_, c) in brute.components(rows).items()}
+
+
+def test_bound_refuses_no_similar_pair(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    rows, similar = [], []
+    for size in (1, 4, 60, 400, 3000, 20_000):
+        for _ in range(40):
+            union = odd_sketch.mixed(rng.integers(0, 2**63, size + size // 3, np.uint64))
+            in_a, in_b = rng.random(len(union)) < 0.9, rng.random(len(union)) < 0.9
+            in_a[0] = in_b[0] = True
+            a, b = np.unique(union[in_a]), np.unique(union[in_b])
+            both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+            similar.append(100 * both >= odd_sketch.SIMILARITY * either)
+            rows.append((len(a), len(b), odd_sketch.parities(a).tolist(), odd_sketch.parities(b).tolist()))
+        other = np.unique(odd_sketch.mixed(rng.integers(0, 2**63, len(a), np.uint64)))
+        similar.append(False)
+        rows.append((len(a), len(other), odd_sketch.parities(a).tolist(), odd_sketch.parities(other).tolist()))
+    df = spark.createDataFrame(rows, "na long, nb long, fa array<long>, fb array<long>").coalesce(1)
+    may = [r["may"] for r in df.select(odd_sketch.possible(*[F.col(c) for c in ("na", "nb", "fa", "fb")]).alias("may")).collect()]
+    assert 40 < sum(similar) < 240 and all(m for m, s in zip(may, similar, strict=True) if s)
+    assert sum(may) < len(may) - 5  # and it does refuse
+
+
+def test_scratch_tables_of_near_copies_go(spark, docs, tmp_path, monkeypatch):
+    made = []
+    keep = odd_sketch.stored
+
+    def noted(df, name):
+        made.append(keep(df, name))
+        return made[-1]
+
+    monkeypatch.setattr(odd_sketch, "stored", noted)
+    found = odd_sketch.near_duplicates(docs)
+    found.write.parquet(f"{tmp_path}/found")
+    common.drop_stored(found)
+    assert made and not any(path_exists(spark, p) for t in made for p in t._stored_paths)
+
+
 def test_odd_sketch_estimates():
     import numpy as np
     rng = np.random.default_rng(7)
@@ -442,3 +496,15 @@ def test_pipeline(spark, tmp_path):
     packed = corpus_pipeline.STAGES[-1][1](spark, left, SF).collect()
     assert {r["doc_id"] for r in packed} == set(kept)
     assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] for r in packed)
+
+
+@pytest.mark.parametrize("table", ["no_docs", "null_docs"])
+def test_pipeline_stages_on_empty_and_null_tables(spark, request, table):
+    import corpus_pipeline
+    docs = request.getfixturevalue(table)
+    n = docs.count()
+    # A document without text is rejected by the first stage and left by the others.
+    for (name, stage), left in zip(corpus_pipeline.STAGES[:-1], (0, n, n, n), strict=True):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() == left, name
+    assert len(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()) == n
