@@ -24,12 +24,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group stays.  Rows that repeat an
     id are copies too; rows without an id stay."""
-    stays = (odd_sketch.near_duplicates(docs).where("doc_id = component_id").groupBy("doc_id")
-             .agg(F.count("*").alias("n")))
-    stays = common.stored(stays, "pipeline-stays")
+    found = odd_sketch.near_duplicates(docs)
+    stays = common.stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
+                          "pipeline-stays")
+    common.drop_stored(found)
     once = docs.join(stays.where("n = 1"), "doc_id", "left_semi")
     again = docs.join(stays.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return common.resting_on(
+        once.unionByName(again).unionByName(docs.where("doc_id is null")).select(*docs.columns), stays)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +44,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are cut out of the texts; every document stays."""
-    found = secrets.redacted(secrets.find_secrets(common.whole_rows(docs), keep_row=True))
+    found = secrets.find_secrets(common.whole_rows(docs), keep_row=True)
     text = F.col("clean_text")
-    return common.unpacked(found, docs.columns, text=text, n_chars=F.length(text).cast("long"))
+    return common.resting_on(
+        common.unpacked(secrets.redacted(found), docs.columns, text=text, n_chars=F.length(text).cast("long")), found)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +64,11 @@ ORACLE_SQL = None  # tokenization and the test battery have no SQL form
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.load(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = common.stored(docs, f"pipeline-{name}")
-    return docs
+        made = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return made
+        rows = common.stored(made, f"pipeline-{name}")
+        # What the stage left for its result, and the rows it read.
+        common.drop_stored(made)
+        common.drop_stored(docs)
+        docs = rows
