@@ -161,8 +161,9 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(places, minlength=FOLD_BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """(rep, shingles, fold) of each document: its set and the set's parities."""
+def _of_sets(docs: DataFrame, column: str, value) -> DataFrame:
+    """(rep, n, ``column``) of each document: the size of its set, and longs that
+    ``value`` makes of the set."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,12 +172,10 @@ def full_sets(docs: DataFrame) -> DataFrame:
             for at in range(0, len(texts), 512):
                 sets = [shingle_set(t) for t in texts[at:at + 512]]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(sets)),
-                     pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
-                     pa.array([parities(x) for x in sets], pa.list_(pa.int64()))],
-                    ["rep", "shingles", "fold"])
+                    [batch.column("doc_id").slice(at, len(sets)), pa.array([len(x) for x in sets], pa.int64()),
+                     pa.array([value(x) for x in sets], pa.list_(pa.int64()))], ["rep", "n", column])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"rep {id_type}, shingles array<long>, fold array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"rep {id_type}, n long, {column} array<long>")
 
 
 def _bits_apart(a, b, bits: int):
@@ -208,10 +207,34 @@ def possible(n_a, n_b, fold_a, fold_b):
     return 100 * (n - least) >= SIMILARITY * (n + least)
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """(rep, shingles, fold) of the documents with these ids (column ``rep``)."""
+def _of_documents(ids: DataFrame, docs: DataFrame, column: str, value, name: str) -> DataFrame:
+    """:func:`_of_sets` of the documents with these ids (column ``rep``), stored."""
     members = docs.join(ids.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return stored(full_sets(members).dropDuplicates(["rep"]), name)
+    return stored(_of_sets(members, column, value).dropDuplicates(["rep"]), name)
+
+
+def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(rep, n, shingles): the sets of these documents."""
+    return _of_documents(ids, docs, "shingles", lambda x: x.view(np.int64), name)
+
+
+def _folds_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(rep, n, fold): sizes and parities of these documents' sets."""
+    return _of_documents(ids, docs, "fold", parities, name)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("rep"))
+
+
+def _different(members: DataFrame) -> DataFrame:
+    """The rows (band, rep, ...) of one band of those that have the same members:
+    the others can show no other pairs.  Members are told by their number and two
+    sums of 64-bit hashes."""
+    total = lambda seed: F.sum(F.xxhash64("rep", F.lit(seed)).cast("decimal(38,0)"))
+    one = (members.groupBy("band").agg(F.count("*").alias("n"), total(1).alias("a"), total(2).alias("b"))
+           .groupBy("n", "a", "b").agg(F.min("band").alias("band")))
+    return members.join(one.select("band"), "band", "left_semi")
 
 
 def _having_partner(rows: DataFrame, partners: DataFrame, may) -> DataFrame:
@@ -226,17 +249,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs), "near-signed")
     # One representative for each set; equal sets have equal bands and sketches.
-    reps = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-reps")
-    rows = reps.select("rep", F.explode("bands").alias("band"))
+    banded = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-banded")
+    found = stored(signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")),
+                   "near-found")
+    drop_stored(signed)
+    rows = banded.select("rep", F.explode("bands").alias("band"))
     shared = stored(rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "near-bands")
     crowd = stored(rows.join(shared, "band"), "near-crowd")
     # A band's center is its member with the most company in all its bands: of a
     # family of near copies, one that was changed little.  (weight, id) orders them.
     weights = crowd.groupBy("rep").agg(F.sum("n").alias("weight"))
     weighted = stored(crowd.join(weights, "rep").select("band", "rep", "weight"), "near-weighted")
-    drop_stored(shared)
-    drop_stored(crowd)
+    reps = stored(banded.select("digest", "rep", "sketch"), "near-reps")
+    for x in (shared, crowd, banded):
+        drop_stored(x)
     centers = stored(weighted.groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("w"), "rep")).alias("m"))
                      .select("band", F.col("m.rep").alias("center"), (-F.col("m.w")).alias("center_weight")), "near-centers")
     starred = stored(weighted.join(centers, "band").select("band", "rep", "center", "center_weight"), "near-starred")
@@ -252,10 +279,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .groupBy("rep").agg(F.min(F.struct(-F.col("n"), -F.col("center_weight"), "center")).alias("m"))
             .select(F.col("rep").alias("v"), F.col("m.center").alias("u")))
     near = stored(star.join(ka, "u").join(kb, "v").where(likely).select("u", "v"), "near-pairs")
-    sets = _sets_of(near.select(F.explode(F.array("u", "v")).alias("rep")), docs, "near-sets")
-    links = stored(near.join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("x")), "u")
+    folds = _folds_of(_ends(near), docs, "near-folds")
+    bound = possible(F.col("na"), F.col("nb"), F.col("folda"), F.col("foldb"))
+    side = lambda k, name, x, *more: k.select(
+        F.col("rep").alias(name), F.col("n").alias(f"n{x}"), F.col("fold").alias(f"fold{x}"), *more)
+    near_enough = stored(near.join(side(folds, "u", "a"), "u").join(side(folds, "v", "b"), "v").where(bound)
+                         .select("u", "v"), "near-enough")
+    sets = _sets_of(_ends(near_enough), docs, "near-sets")
+    links = stored(near_enough.join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("x")), "u")
                    .join(sets.select(F.col("rep").alias("v"), F.col("shingles").alias("y")), "v")
                    .where(_similar("x", "y")).select("u", "v"), "near-links")
+    for x in (near, folds, near_enough, sets):
+        drop_stored(x)
     first = roots_of(links.select(F.col("v").alias("node"), F.col("u").alias("root")))
 
     # Then, in bands whose members are not in one component yet, each member
@@ -266,28 +301,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "band", "rep", F.coalesce("rep_root", "rep").alias("comp"),
         F.coalesce("center_root", "center").alias("center_comp")), "near-placed")
     apart = stored(placed.where("comp != center_comp").select("band", "rep", "comp"), "near-apart")
-    tables = [starred, near, sets, links, placed, apart]
+    tables = [starred, links, placed, apart]
     roots = first
     if not apart.isEmpty():
-        others = stored(placed.join(apart.select("band").distinct(), "band", "left_semi").select("band", "rep", "comp"),
-                        "near-others")
-        known = _sets_of(others, docs, "near-known")
-        light = known.select("rep", F.size("shingles").alias("n"), "fold")
-        side = lambda rows, name, k, x: (
-            rows.select("band", F.col("rep").alias(name), F.col("comp").alias(f"{name}_comp")).join(k, name)
-            .join(light.select(F.col("rep").alias(name), F.col("n").alias(f"n{x}"), F.col("fold").alias(f"fold{x}")), name))
-        left = stored(side(others, "u", ka, "a"), "near-left")
-        right = stored(side(apart, "v", kb, "b"), "near-right")
-        may = ((F.col("u_comp") != F.col("v_comp")) & likely
-               & possible(F.col("na"), F.col("nb"), F.col("folda"), F.col("foldb")))
+        others = stored(_different(placed.join(apart.select("band").distinct(), "band", "left_semi")
+                                   .select("band", "rep", "comp")), "near-others")
+        known = stored(_folds_of(others, docs, "near-folds").join(reps.select("rep", "sketch"), "rep"), "near-known")
+        rows = lambda members, name: members.select("band", F.col("rep").alias(name), F.col("comp").alias(f"{name}_comp"))
+        left = stored(rows(others, "u").join(side(known, "u", "a", F.col("sketch").alias("a")), "u"), "near-left")
+        right = stored(rows(apart.join(others.select("band").distinct(), "band", "left_semi"), "v")
+                       .join(side(known, "v", "b", F.col("sketch").alias("b")), "v"), "near-right")
+        may = (F.col("u_comp") != F.col("v_comp")) & likely & bound
         near_right = stored(_having_partner(right, left, may), "near-right")
         near_left = stored(_having_partner(left, near_right, may), "near-left")
-        sets_for = lambda name, x: known.select(F.col("rep").alias(name), F.col("shingles").alias(x))
+        sets = _sets_of(near_left.select(F.col("u").alias("rep")).unionByName(near_right.select(F.col("v").alias("rep"))),
+                        docs, "near-sets")
+        sets_for = lambda name, x: sets.select(F.col("rep").alias(name), F.col("shingles").alias(x))
         more = stored(near_left.join(sets_for("u", "x"), "u").join(near_right.join(sets_for("v", "y"), "v"), "band")
                       .where(may & _similar("x", "y"))
                       .select(F.least("u_comp", "v_comp").alias("u"), F.greatest("u_comp", "v_comp").alias("v")).distinct(),
                       "near-more")
-        tables += [others, known, left, right, near_left, near_right, more]
+        tables += [others, known, left, right, near_left, near_right, sets, more]
         if not more.isEmpty():
             merged = components(more)
             tables.append(merged)
@@ -302,6 +336,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(tops.join(lowest, "top").select("digest", "class_root"), "near-classes")
     for x in (*tables, first, reps, tops, lowest):
         drop_stored(x)
-    found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     return resting_on(found.join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_root", "doc_id").alias("component_id")), signed, classes)
+        "doc_id", "n_shingles", F.coalesce("class_root", "doc_id").alias("component_id")), found, classes)
