@@ -226,17 +226,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs), "near-signed")
     # One representative for each set; equal sets have equal bands and sketches.
-    reps = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-reps")
-    rows = reps.select("rep", F.explode("bands").alias("band"))
+    banded = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-banded")
+    found = stored(signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")),
+                   "near-found")
+    drop_stored(signed)
+    rows = banded.select("rep", F.explode("bands").alias("band"))
     shared = stored(rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "near-bands")
     crowd = stored(rows.join(shared, "band"), "near-crowd")
     # A band's center is its member with the most company in all its bands: of a
     # family of near copies, one that was changed little.  (weight, id) orders them.
     weights = crowd.groupBy("rep").agg(F.sum("n").alias("weight"))
     weighted = stored(crowd.join(weights, "rep").select("band", "rep", "weight"), "near-weighted")
-    drop_stored(shared)
-    drop_stored(crowd)
+    reps = stored(banded.select("digest", "rep", "sketch"), "near-reps")
+    for x in (shared, crowd, banded):
+        drop_stored(x)
     centers = stored(weighted.groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("w"), "rep")).alias("m"))
                      .select("band", F.col("m.rep").alias("center"), (-F.col("m.w")).alias("center_weight")), "near-centers")
     starred = stored(weighted.join(centers, "band").select("band", "rep", "center", "center_weight"), "near-starred")
@@ -302,6 +306,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(tops.join(lowest, "top").select("digest", "class_root"), "near-classes")
     for x in (*tables, first, reps, tops, lowest):
         drop_stored(x)
-    found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
     return resting_on(found.join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_root", "doc_id").alias("component_id")), signed, classes)
+        "doc_id", "n_shingles", F.coalesce("class_root", "doc_id").alias("component_id")), found, classes)
