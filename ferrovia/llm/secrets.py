@@ -2,32 +2,39 @@
 
 Three patterns give the base spans: assigned values, access keys and runs of
 hexadecimal digits.  Beside them, every unbroken run of key characters is a
-candidate.  Its encoding is inferred (decimal, hexadecimal, base32, base36,
-base62, base64), and the battery asks how well it agrees with a random string
-over that alphabet: a chi-squared test of the alphabet's uniformity (over
-classes of the alphabet, so that short strings have enough expected counts), a
-runs test about the alphabet's middle, a serial-correlation test, and, where
-the alphabet has them, a runs test over kinds of characters.
+candidate, and so is every part of it between slashes, if it is long enough (a
+key inside of a path).  The encoding is inferred (decimal, hexadecimal, letters,
+base32, base36, base62, base64), and the battery asks how well it agrees with a
+random string over that alphabet: a chi-squared test of the alphabet's uniformity
+(over classes of the alphabet, so that short strings have enough expected counts),
+a runs test about the alphabet's middle, a serial-correlation test, the shares of
+digits and of vowels, and a runs test over kinds of characters (upper and lower
+case, digits and marks; vowels and other letters, where the alphabet has letters
+of one case only).  The sum of the squared deviates is the combined statistic, so
+that several weak signs of plain text add up.
 
 Random strings pass each test; so do some short strings of plain text.  The
 control of false discoveries is therefore aware of the length: all plain words
-of the same texts, joined and cut to candidate lengths, are decoys (of decimal
-and hexadecimal candidates: their digits, and the letters a to f).  For each
-encoding and length band of the candidates, a combined level is accepted only where the decoys
+and numbers of the same texts, written the way names, paths and slugs of the
+encoding are and cut to candidate lengths, are decoys.  For each encoding and
+length band of the candidates, a combined level is accepted only where the decoys
 at that level or above, per decoy, times the candidates, are at most ``fdr`` of
-the candidates there (Storey's estimate).  The histograms of both are counted
-in each task and summed over all documents; decoys are counted in a second pass,
-once the candidates' encodings and bands are known.
+the candidates there (Storey's estimate).  The texts are read three times and
+nothing is stored: a pass counts the candidates' levels, one those of the decoys
+(both are histograms, summed over all documents), and one gives the spans.
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned
 alike; an empty table gives an empty result; in very long texts all matches are
-found; spans of different kinds may overlap; other input columns are not read.
+found; a run over no one alphabet is judged by the characters that its encoding
+holds, and is not random with fewer than ``SHORTEST`` of them; spans of different
+kinds may overlap; other input columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrovia.llm.common import drop_stored, resting_on, stored, text_values
+from ferrovia.llm.common import text_values
 
 # Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -51,34 +58,66 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # An equals sign may stand before one (as in name=value); after one it is padding
 # where the string ends there.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
-_DIGIT = re.compile("[0-9]")
-# A string of one case without a digit is a word (or words), not a key.
 LEVELS = 20
 FDR = 0.01
 SHORTEST = 20
-# erfc of this is less than any level tells apart.
-_SURE = 5.5
+# A sum of squared deviates that is at level 0 whatever the other tests say.
+_SURE = 90.0
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
     "decimal": "0123456789",
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
+    "base26": _LOWER,
+    "BASE26": _UPPER,
     "base32": _UPPER + "234567",
     "base36": "0123456789" + _LOWER,
     "BASE36": "0123456789" + _UPPER,
+    "base52": _UPPER + _LOWER,
     "base62": "0123456789" + _UPPER + _LOWER,
     "base64": _UPPER + _LOWER + "0123456789+/",
     "base64url": _UPPER + _LOWER + "0123456789-_",
 }
-_LETTERS = (_UPPER + _LOWER).encode()
-_NO_WORD = bytes(set(range(256)) - set(_LETTERS + b"0123456789"))
-# What the decoys of an encoding are made of, if not of letters.
-_STREAM = {"decimal": "digits", "hex": "hex", "HEX": "hex"}
+# Bytes of plain words: letters and digits stay, all else parts words.
+_WORDS = bytes(b if chr(b) in _UPPER + _LOWER + "0123456789" else 32 for b in range(256))
+# One plain word in so many gets a number, as names and slugs often have.
+NUMBERED = 3
 _CODE = {name: {c: i for i, c in enumerate(a)} for name, a in ALPHABETS.items()}
 _SETS = {name: frozenset(a) for name, a in ALPHABETS.items()}
 
 
+def _kinds(alphabet: str) -> list[int]:
+    """The kind of each character: vowel or not, in alphabets of one case's letters
+    only; otherwise lower case, upper case, digit, mark."""
+    if alphabet in (_LOWER, _UPPER):
+        return [int(c in "aeiouAEIOU") for c in alphabet]
+    return [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in alphabet]
+
+
+_KIND = {name: _kinds(a) for name, a in ALPHABETS.items()}
+
+
+# Characters whose number is tested, where the alphabet is larger than that of
+# hexadecimal digits and has such.
+_COUNTED = {name: {kind: held for kind, chars in (("digits", "0123456789"), ("vowels", "aeiouAEIOU"))
+                   if any(held := [int(c in chars) for c in a])}
+            for name, a in ALPHABETS.items() if len(a) > 16}
+
+
+def _kind_shares(encoding: str) -> tuple[float, float]:
+    """Chance that two, and three, random characters are of one kind."""
+    shares = [n / len(_KIND[encoding]) for n in Counter(_KIND[encoding]).values()]
+    return sum(x ** 2 for x in shares), sum(x ** 3 for x in shares)
+
+
+def _kind_moments(encoding: str, n: int) -> tuple[float, float]:
+    """Mean and deviation of the changes of kind among ``n`` random characters."""
+    two, three = _kind_shares(encoding)
+    var = (n - 1) * two * (1 - two) + 2 * max(0, n - 2) * (three - two * two)
+    return (n - 1) * (1 - two), math.sqrt(max(var, 0.0))
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the three patterns, in code points."""
     spans = []
@@ -97,34 +136,31 @@ def encoding_of(s: str) -> str:
     return next((n for n, a in _SETS.items() if chars <= a), "base64url" if "+" not in chars else "base64")
 
 
-def _normal(z: float) -> float:
-    """Two-sided tail of the standard normal distribution."""
-    return math.erfc(abs(z) / math.sqrt(2))
-
-
-def _chi_tail(x: float, df: int) -> float:
-    """Upper tail of chi-squared, by the cube-root normal approximation."""
-    z = ((max(x, 1e-9) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
-    return 0.5 * math.erfc(z / math.sqrt(2))
+def _chi_deviate(x, df: int):
+    """Normal deviate of a chi-squared value, by the cube root."""
+    return ((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
 
 
 def _runs(bits: list[bool]) -> float:
     """Wald-Wolfowitz runs test."""
     n, a = len(bits), sum(bits)
     b = n - a
-    if not a or not b or n < 3:
-        return _normal(math.sqrt(n))  # all alike: as unlikely as so many equal coin throws
+    if not a or not b:
+        return math.sqrt(n)  # all alike: as unlikely as so many equal coin throws
     runs = 1 + sum(x != y for x, y in zip(bits, bits[1:]))
     mean = 2 * a * b / n + 1
     var = (mean - 1) * (mean - 2) / (n - 1)
-    return _normal((runs - mean) / math.sqrt(var)) if var > 0 else 1.0
+    return (runs - mean) / math.sqrt(var) if var > 0 else 0.0
 
 
 def battery(s: str, encoding: str) -> dict[str, float]:
-    """p-values of the tests of randomness over the encoding's alphabet."""
+    """Normal deviates of the tests of randomness over the encoding's alphabet;
+    those of the first two tests are 0 at least, as only excess counts."""
     code, size = _CODE[encoding], len(ALPHABETS[encoding])
     v = [code[c] for c in s.rstrip("=") if c in code]
     n = len(v)
+    if n < SHORTEST:
+        return {"length": math.sqrt(_SURE)}
     # Contiguous classes of the alphabet, with four expected in each.
     classes = max(2, min(size, n // 4))
     seen = Counter(x * classes // size for x in v)
@@ -138,20 +174,27 @@ def battery(s: str, encoding: str) -> dict[str, float]:
     coincidence = (same - pairs / size) / math.sqrt(pairs / size * (1 - 1 / size))
     mean = (size - 1) / 2
     var = (size * size - 1) / 12
-    serial = sum((x - mean) * (y - mean) for x, y in zip(v, v[1:])) / (var * math.sqrt(max(1, n - 1)))
-    out = {"uniform": _chi_tail(chi, classes - 1), "coincidence": min(1.0, math.erfc(coincidence / math.sqrt(2))),
-           "runs": _runs([2 * x >= size for x in v]), "serial": _normal(serial)}
-    if size > 16:
-        digits = sum(c.isdigit() for c in s)
-        share = sum(c.isdigit() for c in ALPHABETS[encoding]) / size
-        out["digits"] = _normal((digits - n * share) / math.sqrt(n * share * (1 - share)))
+    serial = sum((x - mean) * (y - mean) for x, y in zip(v, v[1:])) / (var * math.sqrt(n - 1))
+    out = {"uniform": max(0.0, _chi_deviate(chi, classes - 1)), "coincidence": max(0.0, coincidence),
+           "runs": _runs([2 * x >= size for x in v]), "serial": serial}
+    for name, held in _COUNTED.get(encoding, {}).items():
+        share = sum(held) / size
+        out[name] = (sum(held[x] for x in v) - n * share) / math.sqrt(n * share * (1 - share))
+    mean, deviation = _kind_moments(encoding, n)
+    if deviation:
+        kinds = [_KIND[encoding][x] for x in v]
+        out["kinds"] = (sum(x != y for x, y in zip(kinds, kinds[1:])) - mean) / deviation
     return out
 
 
-def combined(p: dict[str, float]) -> float:
-    """The smallest p-value, corrected for the number of tests: in 0 to 1, and
-    near 0 for a string that any test calls not random."""
-    return min(1.0, len(p) * min(p.values()))
+def combined(z: dict[str, float]) -> float:
+    """The upper tail of the sum of squares, in 0 to 1: near 0 for a string that
+    the tests together call not random."""
+    return _tail(sum(x * x for x in z.values()), len(z))
+
+
+def _tail(squares: float, tests: int) -> float:
+    return 0.5 * math.erfc(_chi_deviate(squares, tests) / math.sqrt(2))
 
 
 def level_of(p: float) -> int:
@@ -164,14 +207,23 @@ def band_of(n: int) -> int:
     return int(2 * math.log2(n))
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, str, int, int]]:
-    """(start, end, encoding, band, level) of each candidate of mixed make."""
+def _judged(s: str, start: int) -> tuple[int, int, str, int, int]:
+    e = encoding_of(s)
+    return start, start + len(s), e, band_of(len(s)), level_of(combined(battery(s, e)))
+
+
+def candidates(text: str) -> Iterator[list[tuple[int, int, str, int, int]]]:
+    """For each run of key characters: (start, end, encoding, band, level) of the
+    run, then of its parts between slashes."""
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if _DIGIT.search(s) is None and (s.islower() or s.isupper() or s[1:].islower()):
-            continue
-        e = encoding_of(s)
-        yield m.start(), m.end(), e, band_of(len(s)), level_of(combined(battery(s, e)))
+        s, at = m[0], m.start()
+        found = [_judged(s, at)]
+        if "/" in s:
+            for part in s.split("/"):
+                if len(part) >= SHORTEST:
+                    found.append(_judged(part, at))
+                at += len(part) + 1
+        yield found
 
 
 def lengths_of(band: int) -> int:
@@ -179,42 +231,70 @@ def lengths_of(band: int) -> int:
     return next(n for n in range(max(SHORTEST, int(2 ** (band / 2)) - 1), 2 ** (band // 2 + 2)) if band_of(n) == band)
 
 
-def plain(text: str) -> dict[str, bytes]:
-    """All plain words of a text (what is no candidate), joined: letters, digits,
-    and digits with the letters of hexadecimal numbers."""
-    words = CANDIDATE.sub(" ", text).encode("ascii", "ignore").translate(None, _NO_WORD)
-    return {"letters": words.translate(None, b"0123456789"), "digits": words.translate(None, _LETTERS),
-            "hex": words.lower().translate(None, b"ghijklmnopqrstuvwxyz")}
+def plain(text: str) -> list[bytes]:
+    """All plain words of a text (what is no candidate): letters and digits."""
+    return CANDIDATE.sub(" ", text).encode("ascii", "ignore").translate(_WORDS).split()
+
+
+def numbered(words: list[bytes]) -> list[bytes]:
+    """Some of the words with a number of one to three digits after them."""
+    out = list(words)
+    for i in range(0, len(out), NUMBERED):
+        out[i] += b"%d" % (zlib.crc32(out[i]) % 1000)
+    return out
+
+
+def written(words: list[bytes], encoding: str, with_numbers: list[bytes] | None = None) -> bytes:
+    """Plain words as one string over the encoding's alphabet: joined by its marks,
+    in camel case where it has both cases, without what it does not hold; with
+    numbers among them (``numbered(words)``), if it holds whole words and digits."""
+    if "digits" in _COUNTED.get(encoding, ()):
+        words = numbered(words) if with_numbers is None else with_numbers
+    if encoding == "base64":
+        return b"/".join(words)
+    if encoding == "base64url":
+        half = len(words) // 2
+        return b"-".join(words[:half]) + b"_".join(words[half:])
+    if encoding in ("base52", "base62"):
+        data = b" ".join(words).title()
+    else:
+        data = b" ".join(words)
+        data = data.lower() if encoding in ("hex", "base26", "base36") else data.upper()
+    held = ALPHABETS[encoding].encode()
+    return data.translate(None, bytes(set(range(256)) - set(held)))
 
 
 def levels(strings: np.ndarray, encoding: str) -> np.ndarray:
-    """:func:`level_of` the combined p-value for strings of one length, given as
+    """:func:`level_of` the combined tail for strings of one length, given as
     rows of bytes; the same numbers as :func:`battery`, made for all at once."""
     m, n = strings.shape
     size = len(ALPHABETS[encoding])
-    tests = 5 if size > 16 else 4
-    if size > 16:
-        share = sum(c.isdigit() for c in ALPHABETS[encoding]) / size
-        digits = ((strings >= 48) & (strings <= 57)).sum(axis=1)
-        z = np.abs(digits - n * share) / math.sqrt(n * share * (1 - share)) / math.sqrt(2)
-    else:
-        z = np.zeros(m)
-    # Where one test is sure, the others change nothing.
-    out, at = np.zeros(m, np.int64), np.flatnonzero(z < _SURE)
+    changes, deviation = _kind_moments(encoding, n)
+    counted = _COUNTED.get(encoding, {})
+    tests = 4 + len(counted) + (deviation > 0)
     code = np.full(256, -1)
     code[list(ALPHABETS[encoding].encode())] = np.arange(size)
-    v, z = code[strings[at]], z[at]
-    m = len(at)
+    v = code[strings]
+    total = np.zeros(m)
+    for held in counted.values():
+        share = sum(held) / size
+        total += (np.array(held)[v].sum(axis=1) - n * share) ** 2 / (n * share * (1 - share))
+    if deviation:
+        kinds = np.array(_KIND[encoding])[v]
+        total += (((kinds[:, 1:] != kinds[:, :-1]).sum(axis=1) - changes) / deviation) ** 2
+    # Where these are sure, the others change nothing.
+    out, at = np.zeros(m, np.int64), np.flatnonzero(total < _SURE)
+    v, total, m = v[at], total[at], len(at)
     if not m:
         return out
     row = np.arange(m)[:, None]
     counts = np.bincount((row * size + v).ravel(), minlength=m * size).reshape(m, size)
     pairs = n * (n - 1) / 2
     same = (counts * (counts - 1)).sum(axis=1) / 2
-    z = np.maximum(z, (same - pairs / size) / math.sqrt(pairs / size * (1 - 1 / size)) / math.sqrt(2))
+    total += np.maximum(0, (same - pairs / size) / math.sqrt(pairs / size * (1 - 1 / size))) ** 2
     mean, var = (size - 1) / 2, (size * size - 1) / 12
     x = v - mean
-    z = np.maximum(z, np.abs((x[:, :-1] * x[:, 1:]).sum(axis=1)) / (var * math.sqrt(max(1, n - 1))) / math.sqrt(2))
+    total += ((x[:, :-1] * x[:, 1:]).sum(axis=1) / (var * math.sqrt(n - 1))) ** 2
     bits = 2 * v >= size
     a = bits.sum(axis=1)
     b = n - a
@@ -222,38 +302,36 @@ def levels(strings: np.ndarray, encoding: str) -> np.ndarray:
     var = (mean - 1) * (mean - 2) / (n - 1)
     runs = 1 + (bits[:, 1:] != bits[:, :-1]).sum(axis=1)
     with np.errstate(divide="ignore", invalid="ignore"):
-        about = np.where(var > 0, np.abs(runs - mean) / np.sqrt(var), 0)
-    z = np.maximum(z, np.where((a == 0) | (b == 0), math.sqrt(n), about) / math.sqrt(2))
+        about = np.where(var > 0, (runs - mean) ** 2 / var, 0)
+    total += np.where((a == 0) | (b == 0), n, about)
     classes = max(2, min(size, n // 4))
     of = np.arange(size) * classes // size
     expected = n * np.bincount(of, minlength=classes) / size
     seen = np.add.reduceat(counts, np.searchsorted(of, np.arange(classes)), axis=1)
-    chi, df = ((seen - expected) ** 2 / expected).sum(axis=1), classes - 1
-    uniform = (np.cbrt(np.maximum(chi, 1e-9) / df) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)) / math.sqrt(2)
-    open_ = np.flatnonzero((z < _SURE) & (uniform < _SURE))
-    p = [min(1.0, tests * min(1.0, math.erfc(y), 0.5 * math.erfc(u))) for y, u in zip(z[open_], uniform[open_], strict=True)]
-    out[at[open_]] = [level_of(q) for q in p]
+    chi = ((seen - expected) ** 2 / expected).sum(axis=1)
+    total += np.maximum(0, _chi_deviate(chi, classes - 1)) ** 2
+    open_ = np.flatnonzero(total < _SURE)
+    out[at[open_]] = [level_of(_tail(t, tests)) for t in total[open_].tolist()]
     return out
 
 
 def decoys(docs: DataFrame, wanted: list[tuple[str, int]]) -> DataFrame:
     """(encoding, band, level, n): levels of the plain words of all texts, cut to
     the shortest length of each (encoding, band) ``wanted``.  Words are joined over
-    the texts of a task, so only its last letters give no decoy."""
+    the texts of a task, so only its last characters give no decoy."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         rest = dict.fromkeys(wanted, b"")
-        held: dict[str, list[bytes]] = {"letters": [], "digits": [], "hex": []}
+        held: list[bytes] = []
         size = 0
 
         def cut() -> None:
-            whole = {k: b"".join(x) for k, x in held.items()}
-            for x in held.values():
-                x.clear()
+            names = numbered(held)
+            whole = {e: written(held, e, names) for e in {e for e, _ in wanted}}
+            held.clear()
             for e, band in wanted:
-                data, n = whole[_STREAM.get(e, "letters")], lengths_of(band)
-                data = data.upper() if e in ("HEX", "base32", "BASE36") else data.lower() if e == "base36" else data
-                data = rest[e, band] + data
+                n = lengths_of(band)
+                data = rest[e, band] + whole[e]
                 m = len(data) // n
                 rest[e, band] = data[m * n:]
                 rows = np.frombuffer(data, np.uint8, m * n).reshape(m, n)
@@ -264,65 +342,65 @@ def decoys(docs: DataFrame, wanted: list[tuple[str, int]]) -> DataFrame:
 
         for batch in it:
             for t in text_values(batch.column("text")):
-                for k, x in plain(t).items():
-                    held[k].append(x)
+                held += plain(t)
                 size += len(t)
                 if size > 2_000_000:
                     cut()
                     size = 0
         cut()
-        found = [(*k, n) for k, n in seen.items() if n]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in found], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int64()))],
-            ["encoding", "band", "level", "n"])
+        yield _counted(seen)
 
-    return (docs.select("text").mapInArrow(run, "encoding string, band int, level int, n long")
-            .groupBy("encoding", "band", "level").agg(F.sum("n").alias("n")))
-
-
-_FOUND = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string()),
-                    ("encoding", pa.string()), ("band", pa.int32()), ("level", pa.int32())])
-_SQL = "array<struct<start:int,stop:int,kind:string,encoding:string,band:int,level:int>>"
+    return _summed(docs, run)
 
 
-def scan(docs: DataFrame, keep_row: bool = False) -> DataFrame:
-    """One row per document: ``doc_id``, ``found`` (base spans and candidates with
-    their levels) and, with ``keep_row``, the input's column ``row``."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    keys = ("start", "stop", "kind", "encoding", "band", "level")
-
+def histogram(docs: DataFrame) -> DataFrame:
+    """(encoding, band, level, n): levels of the candidates of all texts."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
         for batch in it:
-            found = []
             for t in text_values(batch.column("text")):
-                rows = [(a, b, k, None, None, None) for a, b, k in base_spans(t)]
-                rows += [(a, b, "random", e, n, q) for a, b, e, n, q in candidates(t)]
-                found.append([dict(zip(keys, r, strict=True)) for r in rows])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(_FOUND)), *[batch.column(c) for c in row]],
-                ["doc_id", "found", *row])
+                seen.update(c[2:] for found in candidates(t) for c in found)
+        yield _counted(seen)
 
-    row = ["row"] if keep_row else []
-    kept = "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row)
-    return docs.select("doc_id", "text", *row).mapInArrow(
-        run, f"doc_id {id_type}, found {_SQL}{kept}")
+    return _summed(docs, run)
+
+
+def _counted(seen: Counter) -> pa.RecordBatch:
+    rows = [(*k, n) for k, n in seen.items() if n]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int64()))],
+        ["encoding", "band", "level", "n"])
+
+
+def _summed(docs: DataFrame, run) -> DataFrame:
+    return (docs.select("text").mapInArrow(run, "encoding string, band int, level int, n long")
+            .groupBy("encoding", "band", "level").agg(F.sum("n").alias("n")))
+
+
+def accepted_spans(text: str, least: dict[tuple[str, int], int]) -> list[tuple[int, int, str]]:
+    """Base spans, and as ``random`` the candidates at an accepted level (the parts
+    of an accepted run are not listed again), by start, then kind."""
+    spans = base_spans(text)
+    for found in candidates(text):
+        taken = [(a, b, "random") for a, b, e, band, level in found if level >= least.get((e, band), LEVELS + 1)]
+        # The run itself comes first.
+        spans += taken[:1] if taken and taken[0][:2] == found[0][:2] else taken
+    return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def accepted_levels(scanned: DataFrame, docs: DataFrame, fdr: float = FDR) -> DataFrame:
-    """(encoding, band, least): the lowest level at which the expected share of
+def accepted_levels(docs: DataFrame, fdr: float = FDR) -> dict[tuple[str, int], int]:
+    """(encoding, band) to the lowest level at which the expected share of
     plain strings of ``docs`` among the candidates at or above it is at most
     ``fdr``.  A band with too few decoys of its own to show such a share takes in
     those of shorter bands, which look random more often."""
-    seen = (scanned.select(F.explode("found").alias("f")).where("f.kind = 'random'")
-            .groupBy("f.encoding", "f.band", "f.level").agg(F.count("*").alias("n")))
     # Both are histograms: encodings x length bands x levels, some hundred rows.
     real, null = Counter(), Counter()
-    for r in seen.collect():
+    for r in histogram(docs).collect():
         real[r["encoding"], r["band"], r["level"]] += r["n"]
     wanted = sorted({k[:2] for k in real} | {(k[0], band_of(SHORTEST)) for k in real})
     for r in decoys(docs, wanted).collect() if real else ():
         null[r["encoding"], r["band"], r["level"]] += r["n"]
-    rows = []
+    least = {}
     for e, band in sorted({k[:2] for k in real}):
         near, all_null = [], 0
         for shorter in range(band, -1, -1):
@@ -334,43 +412,37 @@ def accepted_levels(scanned: DataFrame, docs: DataFrame, fdr: float = FDR) -> Da
             share = (sum(null[k] for k in near if k[2] >= level) + 1) / (all_null + 1)
             above = sum(n for k, n in real.items() if k[:2] == (e, band) and k[2] >= level)
             if above and share * total <= fdr * above:
-                rows.append((e, band, level))
+                least[e, band] = level
                 break
-    return scanned.sparkSession.createDataFrame(rows, "encoding string, band int, least int")
+    return least
+
+
+_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string())]))
 
 
 def find_secrets(docs: DataFrame, fdr: float = FDR, keep_row: bool = False) -> DataFrame:
     """One row per document: ``doc_id`` and ``spans`` (start, stop, kind; code
     points; by start, then kind): the base spans, and as ``random`` the accepted
-    candidates."""
-    scanned = stored(scan(docs, keep_row), "secrets")
-    least = {(r["encoding"], r["band"]): r["least"] for r in accepted_levels(scanned, docs, fdr).collect()}
-    rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
-    if least:
-        table = F.create_map(*[x for (e, b), n in least.items() for x in (F.lit(f"{e}:{b}"), F.lit(n))])
-        passes = lambda s: s["level"] >= F.coalesce(
-            F.try_element_at(table, F.concat(s["encoding"], F.lit(":"), s["band"].cast("string"))), F.lit(LEVELS + 1))
-    else:
-        passes = lambda s: F.lit(False)
-    keep = F.filter("found", lambda s: (s["kind"] != "random") | passes(s))
-    ordered = F.array_sort(F.transform(keep, lambda s: F.struct(
-        s["start"].alias("start"), F.element_at(rank, s["kind"]).alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    return resting_on(scanned.select("doc_id", ordered.alias("spans"), *(["row"] if keep_row else [])), scanned)
-
+    candidates.  With ``keep_row``, also the input's column ``row`` and
+    ``clean_text``, the text with every span replaced."""
+    least = accepted_levels(docs, fdr)
+    row = ["row"] if keep_row else []
 
-def redacted(found: DataFrame) -> DataFrame:
-    """The rows of :func:`find_secrets` (with ``row``), and ``clean_text``: the
-    row's text with every span replaced."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            texts = [t if t is None or not s else redact(t, [(x["start"], x["stop"]) for x in s])
-                     for t, s in zip(batch.column("row").field("text").to_pylist(),
-                                     batch.column("spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             [*batch.schema.names, "clean_text"])
-
-    kinds = ", ".join(f"{c} {t}" for c, t in found.dtypes)
-    return found.mapInArrow(run, f"{kinds}, clean_text string")
+            texts = batch.column("text").to_pylist()
+            spans = [accepted_spans(t or "", least) for t in texts]
+            columns = [batch.column("doc_id"),
+                       pa.array([[dict(zip(("start", "stop", "kind"), x, strict=True)) for x in s] for s in spans], _SPAN)]
+            if keep_row:
+                clean = [redact(t, [x[:2] for x in s]) if s else t for t, s in zip(texts, spans, strict=True)]
+                columns += [batch.column("row"), pa.array(clean, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "spans", *row, *(["clean_text"] if keep_row else [])])
+
+    kinds = dict(docs.dtypes)
+    kept = f", row {kinds['row']}, clean_text string" if keep_row else ""
+    return docs.select("doc_id", "text", *row).mapInArrow(
+        run, f"doc_id {kinds['doc_id']}, spans array<struct<start:int,stop:int,kind:string>>{kept}")
 
 
 def redact(text: str, spans: list[tuple[int, int]]) -> str:
@@ -383,6 +455,3 @@ def redact(text: str, spans: list[tuple[int, int]]) -> str:
             out += [text[at:a], "[SECRET]"]
         at = b
     return "".join([*out, text[at:]])
-
-
-__all__ = ["KINDS", "base_spans", "battery", "candidates", "combined", "drop_stored", "find_secrets", "redact", "scan"]

@@ -190,7 +190,58 @@ def test_candidates_after_a_name_and_of_any_length():
     key = "".join(rng.choice(secrets.ALPHABETS["base62"]) for _ in range(5000))
     for text, want in ((f"AWS_SECRET_ACCESS_KEY={key[:40]}", key[:40]), (f"a sig={key[:28]}&x=1", key[:28]), (f"b {key} c", key),
                        (f"k={key[:42]}==", key[:42] + "=="), (f"{key[:30]}=b", key[:30])):
-        assert want in [text[a:b] for a, b, *_ in secrets.candidates(text)]
+        assert want in [text[a:b] for found in secrets.candidates(text) for a, b, *_ in found]
+
+
+def test_parts_of_paths_and_runs_without_an_alphabet():
+    rng = random.Random(12)
+    key = "".join(rng.choice(secrets.ALPHABETS["base62"]) for _ in range(40))
+    text = f"see /var/lib/{key}/data +-------------------- and {'-' * 40} {key[:10]}/{key[10:]}=="
+    found = list(secrets.candidates(text))
+    assert [[text[a:b] for a, b, *_ in f] for f in found] == [
+        [f"/var/lib/{key}/data", key], ["+" + "-" * 20], ["-" * 40], [f"{key[:10]}/{key[10:]}==", f"{key[10:]}=="]]
+    assert found[1][0][-1] == 0 and found[2][0][-1] == 0
+    at = found[0][1]
+    # A part of an accepted run is not listed beside it.
+    assert secrets.accepted_spans(text, {at[2:4]: at[4]}) == [(at[0], at[1], "random")]
+    whole = found[3][0]
+    assert secrets.accepted_spans(text, {f[2:4]: 0 for f in found[3]})[-1] == (whole[0], whole[1], "random")
+
+
+def test_planted_keys_of_every_encoding_against_names_and_paths(spark):
+    """Recall and precision where no base pattern helps: keys of each alphabet, in
+    texts that also hold paths, slugs and camel-case names with numbers."""
+    rng = random.Random(13)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    vocabulary = sorted({w.lower() for t in texts for w in t.split() if w.isascii() and w.isalpha() and len(w) > 2})
+    word = lambda: rng.choice(vocabulary)
+    number = lambda: str(rng.randrange(300))
+    rows, planted, names = [], {}, set()
+    # Hexadecimal runs are base spans.  Plain numbers look as random as keys of
+    # digits do: such keys are accepted only where the numbers of the texts differ.
+    encodings = [e for e in secrets.ALPHABETS if e not in ("hex", "decimal")]
+    for k in range(len(encodings) * 30):
+        n = rng.choice((32, 40, 64))
+        key = "".join(rng.choice(secrets.ALPHABETS[encodings[k % len(encodings)]]) for _ in range(n)).strip("-_+/") or "x"
+        made = ["/".join([word(), word(), word() + number(), word(), word()]), "-".join([word(), word(), number(), word(), word()]),
+                "".join([word().title() + (number() if rng.random() < 0.3 else "") for _ in range(5)]),
+                "".join(word() for _ in range(5)), "_".join([word().upper(), word().upper(), number(), word().upper()])]
+        head, tail = rng.choice(texts), rng.choice(texts)
+        rows.append((k, f"{head} {' , '.join(made)} | {key} | {tail}"))
+        planted[k] = key
+        names.update(made)
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    text = dict(rows)
+    hits, wrong, by = Counter(), 0, Counter()
+    for r in found:
+        got = [text[r["doc_id"]][s["start"]:s["stop"]] for s in r["spans"] if s["kind"] == "random"]
+        e = encodings[r["doc_id"] % len(encodings)]
+        by[e] += 1
+        hits[e] += any(planted[r["doc_id"]] == g.strip("-_+/") for g in got)
+        wrong += sum(g in names for g in got)
+    assert sum(hits.values()) >= 0.9 * sum(by.values()), hits
+    assert wrong <= 0.02 * sum(hits.values()), wrong
+    assert min(hits.values()) >= 15, hits
 
 
 def test_decoys_come_from_whole_texts_for_every_encoding(spark):
@@ -202,10 +253,13 @@ def test_decoys_come_from_whole_texts_for_every_encoding(spark):
     n = Counter()
     for r in secrets.decoys(spark.createDataFrame([(text,)] * 3, "text string").coalesce(1), wanted).collect():
         n[r["encoding"], r["band"]] += r["n"]
-    stream = {"decimal": 1000 + 4 * 800, "base62": 30 * 800}
-    for e, size in stream.items():
-        for b in (8, 11, 14):
-            assert n[e, b] == 3 * size // secrets.lengths_of(b)
+    words = secrets.plain(text)
+    assert len(words) == 200 + 5 * 800 and words == text.encode().split()
+    assert secrets.numbered(words)[1::3] == words[1::3]
+    for e, b in wanted:
+        data = secrets.written(3 * words, e)
+        assert set(data.decode()) <= set(secrets.ALPHABETS[e])
+        assert n[e, b] == len(data) // secrets.lengths_of(b)
     assert set(n) == set(wanted)
     for e in secrets.ALPHABETS:  # all at once as one by one
         for size in (20, 33, 64, 200):
