@@ -32,6 +32,7 @@ kinds may overlap; other input columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -202,6 +203,18 @@ def level_of(p: float) -> int:
     return max(0, min(LEVELS, round(LEVELS + 2 * math.log10(max(p, 1e-12)))))
 
 
+@functools.cache
+def _level_ends(tests: int) -> np.ndarray:
+    """The largest sum of squares at each level from ``LEVELS`` down to 1."""
+    ends = []
+    for level in range(LEVELS, 0, -1):
+        low, high = 0.0, 10 * _SURE
+        while low < (mid := (low + high) / 2) < high:
+            low, high = (mid, high) if level_of(_tail(mid, tests)) >= level else (low, mid)
+        ends.append(low)
+    return np.array(ends)
+
+
 def band_of(n: int) -> int:
     """Length band: powers of the square root of two."""
     return int(2 * math.log2(n))
@@ -272,19 +285,25 @@ def levels(strings: np.ndarray, encoding: str) -> np.ndarray:
     changes, deviation = _kind_moments(encoding, n)
     counted = _COUNTED.get(encoding, {})
     tests = 4 + len(counted) + (deviation > 0)
-    code = np.full(256, -1)
-    code[list(ALPHABETS[encoding].encode())] = np.arange(size)
-    v = code[strings]
+    held = list(ALPHABETS[encoding].encode())
+
+    def of_bytes(values) -> np.ndarray:
+        table = np.zeros(256, np.uint8)
+        table[held] = values
+        return table
+
+    # One byte a character until only what may be random is left.
     total = np.zeros(m)
-    for held in counted.values():
-        share = sum(held) / size
-        total += (np.array(held)[v].sum(axis=1) - n * share) ** 2 / (n * share * (1 - share))
+    for chosen in counted.values():
+        share = sum(chosen) / size
+        total += (of_bytes(chosen)[strings].sum(axis=1, dtype=np.int32) - n * share) ** 2 / (n * share * (1 - share))
     if deviation:
-        kinds = np.array(_KIND[encoding])[v]
-        total += (((kinds[:, 1:] != kinds[:, :-1]).sum(axis=1) - changes) / deviation) ** 2
+        at = np.flatnonzero(total < _SURE)
+        kinds = of_bytes(_KIND[encoding])[strings[at]]
+        total[at] += ((np.count_nonzero(kinds[:, 1:] != kinds[:, :-1], axis=1) - changes) / deviation) ** 2
     # Where these are sure, the others change nothing.
     out, at = np.zeros(m, np.int64), np.flatnonzero(total < _SURE)
-    v, total, m = v[at], total[at], len(at)
+    v, total, m = of_bytes(np.arange(size))[strings[at]].astype(np.int32), total[at], len(at)
     if not m:
         return out
     row = np.arange(m)[:, None]
@@ -310,8 +329,7 @@ def levels(strings: np.ndarray, encoding: str) -> np.ndarray:
     seen = np.add.reduceat(counts, np.searchsorted(of, np.arange(classes)), axis=1)
     chi = ((seen - expected) ** 2 / expected).sum(axis=1)
     total += np.maximum(0, _chi_deviate(chi, classes - 1)) ** 2
-    open_ = np.flatnonzero(total < _SURE)
-    out[at[open_]] = [level_of(_tail(t, tests)) for t in total[open_].tolist()]
+    out[at] = LEVELS - np.searchsorted(_level_ends(tests), total, side="left")
     return out
 
 
