@@ -8,8 +8,8 @@ the largest cosine.  A text that is farther from its centroid than nearly all
 training texts of that centroid are is marked as rejected.
 
 Document frequencies are counted over all training texts.  The clustering uses
-a bounded sample: about ``SAMPLE`` labelled texts per language, those with the
-smallest hashes of their ids.
+a bounded sample: at most about ``SAMPLE`` different labelled texts per language,
+those with the smallest hashes of id and text (a null id is an id like others).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
 rows without a label don't train; without any labelled row every text is
@@ -102,6 +102,12 @@ def clustered(x: np.ndarray, k: int, rng) -> tuple[np.ndarray, np.ndarray]:
     return c, np.array(least)
 
 
+def sample(docs: DataFrame) -> DataFrame:
+    """The rows (doc_id, text, lang) that the clustering reads; of equal rows one."""
+    keyed = docs.withColumn("text_key", F.xxhash64("doc_id", "text"))
+    return sampled(keyed, "text_key", "lang", SAMPLE).dropDuplicates(["lang", "text_key"]).drop("text_key")
+
+
 def learn(docs: DataFrame) -> DataFrame:
     """(lang, centroid, least) from rows (doc_id, text, lang): a few rows per
     language.  Returned with the weights as ``(model, idf)``."""
@@ -115,7 +121,7 @@ def learn(docs: DataFrame) -> DataFrame:
         c, least = clustered(vectors(frame["text"].tolist(), idf), CENTROIDS, rng)
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": list(c.astype(np.float64)), "least": least})
 
-    return sampled(docs, "doc_id", "lang", SAMPLE).groupBy("lang").applyInPandas(fit, "lang string, centroid array<double>, least double"), idf
+    return sample(docs).groupBy("lang").applyInPandas(fit, "lang string, centroid array<double>, least double"), idf
 
 
 def predict(docs: DataFrame, model: list, idf: np.ndarray) -> DataFrame:

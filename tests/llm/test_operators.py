@@ -278,6 +278,13 @@ def test_long_and_named_keys_are_found(spark):
     assert lengths[60] >= 36 and lengths[3000] >= 36
 
 
+def test_language_sample_is_bounded_with_null_and_repeated_ids(spark):
+    rows = [(None, f"text number {k} of no id", "en") for k in range(6000)] + [(7, "the same row", "fr")] * 4000
+    rows += [(8, f"the same id, another text {k}", "de") for k in range(6000)] + [(k, f"un texte {k}", "fr") for k in range(50)]
+    got = Counter(r["lang"] for r in language_id.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    assert 1300 < got["en"] < 1700 and 1300 < got["de"] < 1700 and got["fr"] <= 51
+
+
 def test_near_duplicates(docs, rows):
     want = brute.components([(i, t) for i, t, _ in rows if i is not None])
     got = odd_sketch.near_duplicates(docs).collect()
