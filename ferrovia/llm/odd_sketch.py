@@ -214,6 +214,37 @@ def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     return stored(full_sets(members).dropDuplicates(["rep"]), name)
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text) of the documents with these ids (column ``rep``), one row each."""
+    members = docs.join(ids.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return members.groupBy(F.col("doc_id").alias("rep")).agg(F.max("text").alias("text"))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v) whose full sets are similar enough.  Texts travel
+    to the pairs, as they are smaller than sets of hashes; pairs of one ``u`` come
+    together, so its set is made once."""
+    texts = _texts_of(pairs.select(F.explode(F.array("u", "v")).alias("rep")), docs)
+    kinds = dict(pairs.dtypes)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, x = None, np.empty(0, np.uint64)
+        for batch in it:
+            keep = []
+            for a, b in zip(*(text_values(batch.column(c)) for c in ("x", "y")), strict=True):
+                if a != last:
+                    last, x = a, shingle_set(a)
+                y = shingle_set(b)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column("u"), kept.column("v")], ["u", "v"])
+
+    return (pairs.join(texts.select(F.col("rep").alias("v"), F.col("text").alias("y")), "v")
+            .join(texts.select(F.col("rep").alias("u"), F.col("text").alias("x")), "u")
+            .select("u", "v", "x", "y").mapInArrow(run, f"u {kinds['u']}, v {kinds['v']}"))
+
+
 def _having_partner(rows: DataFrame, partners: DataFrame, may) -> DataFrame:
     """The rows for which their band holds a partner that ``may`` holds for."""
     band = F.col("of_band")
@@ -256,10 +287,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .groupBy("rep").agg(F.min(F.struct(-F.col("n"), -F.col("center_weight"), "center")).alias("m"))
             .select(F.col("rep").alias("v"), F.col("m.center").alias("u")))
     near = stored(star.join(ka, "u").join(kb, "v").where(likely).select("u", "v"), "near-pairs")
-    sets = _sets_of(near.select(F.explode(F.array("u", "v")).alias("rep")), docs, "near-sets")
-    links = stored(near.join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("x")), "u")
-                   .join(sets.select(F.col("rep").alias("v"), F.col("shingles").alias("y")), "v")
-                   .where(_similar("x", "y")).select("u", "v"), "near-links")
+    links = stored(confirmed(near, docs), "near-links")
     first = roots_of(links.select(F.col("v").alias("node"), F.col("u").alias("root")))
 
     # Then, in bands whose members are not in one component yet, each member
@@ -270,7 +298,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "band", "rep", F.coalesce("rep_root", "rep").alias("comp"),
         F.coalesce("center_root", "center").alias("center_comp")), "near-placed")
     apart = stored(placed.where("comp != center_comp").select("band", "rep", "comp"), "near-apart")
-    tables = [starred, near, sets, links, placed, apart]
+    tables = [starred, near, links, placed, apart]
     roots = first
     if not apart.isEmpty():
         others = stored(placed.join(apart.select("band").distinct(), "band", "left_semi").select("band", "rep", "comp"),
