@@ -327,20 +327,6 @@ def test_near_copies_with_text_ids(spark):
     assert got == {i: c for i, (_, c) in brute.components(rows).items()}
 
 
-def test_pairs_are_confirmed_on_full_sets(spark):
-    rng = random.Random(21)
-    base = [f"w{rng.randrange(500)}" for _ in range(120)]
-    rows = [(0, " ".join(base)), (1, None), (2, "")]
-    for k in range(3, 60):
-        rows.append((k, " ".join(rng.choice(("other", w)) if rng.random() < k / 600 else w for w in base)))
-    rows += rows[5:9]  # repeated rows
-    pairs = [(0, k) for k in range(1, 60)] + [(k, k + 1) for k in range(1, 59)]
-    got = tuples(odd_sketch.confirmed(spark.createDataFrame(pairs, "u long, v long"), spark.createDataFrame(rows, "doc_id long, text string")))
-    sets = {k: set(odd_sketch.shingle_set(t or "").tolist()) for k, t in rows}
-    want = Counter((u, v) for u, v in pairs if 100 * len(sets[u] & sets[v]) >= 75 * len(sets[u] | sets[v]))
-    assert got == want and 10 < len(want) < 100
-
-
 def test_bound_refuses_no_similar_pair(spark):
     import numpy as np
     rng = np.random.default_rng(5)
