@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,23 @@ def test_both_feeds_stream_with_gold(spark, tmp):
     assert spark.read.parquet(f"{lake}/silver/fact_realtime_delays").count() == tv.delays.count()
 
 
+def test_feeds_note_changes_at_the_same_time(spark, tmp):
+    lake = f"{tmp}/lake"
+
+    def note(k):
+        for _ in range(10):
+            jobs._note_changes(spark, lake, [20250101 + k], f"s{k}")
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for f in [pool.submit(note, k) for k in range(2)]:
+            f.result()
+    jobs._note_changes(spark, lake, [20250103], "")        # as an earlier version left them
+    notes = spark.readStream.schema(jobs.CHANGES).option("recursiveFileLookup", "true").parquet(f"{lake}/changes")
+    q = notes.writeStream.format("memory").queryName("noted").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert rows(spark.table("noted").groupBy("fetched_date_key").count()) == [(20250101, 10), (20250102, 10), (20250103, 1)]
+
+
 def test_bronze_compaction(spark, tmp):
     base, want = f"{tmp}/b", sorted(i for k in range(4) for i in range(k, k + 3))
     ids = lambda df: sorted(r.id for r in df.collect())
