@@ -407,3 +407,26 @@ def test_command_line_static(spark, tmp):
     assert spark.read.parquet(f"{tmp}/lake/silver/dim_agency").first().operator_type == "Luas"
     assert main(["static", "--landing", f"{tmp}/landing", "--lake", f"{tmp}/lake2",
                  "--as-of", "2025-01-10", "--fail-on-error"]) == 1
+
+
+def test_hourly_windows_have_few_state_partitions(spark, tmp):
+    land_documents(TV.vehicle_position_docs(spark, SF).limit(50), f"{tmp}/vp")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        q = ST.start_hourly_windows(spark, f"{tmp}/vp", f"{tmp}/w", f"{tmp}/chk", "availableNow", "70 days")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+        ST.await_all([q])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = [n for n in os.listdir(f"{tmp}/chk/state/0") if n.isdigit()]
+    assert len(parts) == ST.WINDOW_PARTITIONS
+    assert spark.read.parquet(f"{tmp}/w").agg(F.sum("positions")).first()[0] > 0
+
+
+def test_a_batch_keeps_no_fact(spark, tmp, monkeypatch):
+    kept = []
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *a: kept.append(df) or df)
+    rows_in = TV.bronze_trip_updates(spark, SF).where("start_date = '20250120'")
+    out = jobs.load_feed_batch(spark, "trip_updates", rows_in, f"{tmp}/lake", 0)
+    assert not kept and out["days"] == [20250120]

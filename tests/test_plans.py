@@ -71,3 +71,15 @@ def test_gold_aggregates_partially_before_shuffle(spark):
     plan = _plan(TV.TransitViews(spark, SF, persist=None).route_daily())
     # map-side partial aggregation feeds the first exchange of the fact
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_facts_are_kept_on_request_only(spark):
+    tv = TV.TransitViews(spark, SF)
+    assert "InMemoryTableScan" not in _plan(tv.sched) and "InMemoryTableScan" not in _plan(tv.delays)
+    tv.hourly(delays=tv.delays.limit(0))        # a table derived twice finds the schedule's counts
+    assert "InMemoryTableScan" in _plan(tv.sched.groupBy("departure_hour").agg(F.count(F.lit(1)).alias("scheduled_departures")))
+    tv.build_silver()
+    try:
+        assert "InMemoryTableScan" in _plan(tv.sched.select("trip_id"))
+    finally:
+        tv.release()
