@@ -16,6 +16,13 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def nothing_kept(spark):
+    """What a module's queries have kept doesn't show in the plans of the next."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
