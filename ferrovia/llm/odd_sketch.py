@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrovia.llm.common import drop_stored, folded_words, resting_on, stored, text_values
+from ferrovia.llm.common import drop_stored, folded_words, maybe_among, resting_on, stored, text_values
 from ferrovia.llm.graph import components, roots_of
 
 SHINGLE = 5
@@ -209,8 +209,10 @@ def possible(n_a, n_b, fold_a, fold_b):
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """(rep, shingles, fold) of the documents with these ids (column ``rep``)."""
-    members = docs.join(ids.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    """(rep, shingles, fold) of the documents with these ids (column ``rep``).  Texts
+    that can't be among them are left out before the join shuffles any."""
+    ids = ids.select(F.col("rep").alias("doc_id")).distinct()
+    members = maybe_among(docs, "doc_id", ids).join(ids, "doc_id", "left_semi")
     return stored(full_sets(members).dropDuplicates(["rep"]), name)
 
 

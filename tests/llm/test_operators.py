@@ -364,6 +364,46 @@ def test_scratch_tables_of_near_copies_go(spark, docs, tmp_path, monkeypatch):
     assert made and not any(path_exists(spark, p) for t in made for p in t._stored_paths)
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def no_broadcast_by_size(spark):
+    """Every table is too large to be broadcast unless the code asks for it."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, old)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_that_may_be_among_ids(spark, kind):
+    rows = spark.range(20_000).selectExpr(f"cast(id as {kind}) as doc_id", "'x' as text").unionByName(
+        spark.createDataFrame([(None, "no id")], f"doc_id {kind}, text string"))
+    ids = rows.where("cast(doc_id as long) % 100 = 7").select("doc_id")
+    maybe, sure = [[r["doc_id"] for r in common.maybe_among(rows, "doc_id", ids, how).collect()]
+                   for how in ("left_semi", "left_anti")]
+    assert {r["doc_id"] for r in ids.collect()} <= set(maybe) and len(maybe) < 210
+    assert len(maybe) + len(sure) == 20_001 and None in sure and not set(maybe) & set(sure)
+    assert common.maybe_among(rows, "doc_id", ids.where("false")).isEmpty()
+
+
+def test_only_texts_of_candidates_are_shuffled(spark, docs, monkeypatch, no_broadcast_by_size):
+    plans = {}
+    keep = odd_sketch.stored
+
+    def noted(df, name):
+        if name in ("near-sets", "near-known"):
+            plans[name] = _plan(df)
+        return keep(df, name)
+
+    monkeypatch.setattr(odd_sketch, "stored", noted)
+    odd_sketch.near_duplicates(docs)
+    assert "near-sets" in plans and all("BroadcastHashJoin" in p and "LeftSemi" in p for p in plans.values())
+
+
 def test_odd_sketch_estimates():
     import numpy as np
     rng = np.random.default_rng(7)
