@@ -25,13 +25,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group stays.  Rows that repeat an
     id are copies too; rows without an id stay."""
     found = odd_sketch.near_duplicates(docs)
-    stays = common.stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
-                          "pipeline-stays")
+    # Most ids stay once: the others are noted, so that only their texts are shuffled.
+    others = common.stored(found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count_if(F.col("doc_id") == F.col("component_id")).alias("n")).where("n != 1"), "pipeline-others")
     common.drop_stored(found)
-    once = docs.join(stays.where("n = 1"), "doc_id", "left_semi")
-    again = docs.join(stays.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return common.resting_on(
-        once.unionByName(again).unionByName(docs.where("doc_id is null")).select(*docs.columns), stays)
+    sure = common.maybe_among(docs, "doc_id", others, "left_anti")
+    maybe = common.maybe_among(docs, "doc_id", others)
+    once = maybe.join(others, "doc_id", "left_anti")
+    again = maybe.join(others.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return common.resting_on(sure.unionByName(once).unionByName(again).select(*docs.columns), others)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

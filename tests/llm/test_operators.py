@@ -404,6 +404,18 @@ def test_only_texts_of_candidates_are_shuffled(spark, docs, monkeypatch, no_broa
     assert "near-sets" in plans and all("BroadcastHashJoin" in p and "LeftSemi" in p for p in plans.values())
 
 
+def test_texts_that_stay_once_are_not_shuffled(spark, no_broadcast_by_size):
+    import corpus_pipeline
+    text = "one two three four five six seven eight nine ten"
+    rows = [(k, f"{text} {k} {k + 1} {k + 2} {k + 3} {k + 4}") for k in range(20)]
+    rows += [(30, "twice " * 9), (30, "twice " * 9), (31, rows[4][1]), (31, rows[4][1]), (32, rows[5][1]), (None, text), (None, text), (33, None)]
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r["doc_id"] for r in out.collect() if r["doc_id"] is not None) == [*range(20), 30, 33]
+    assert out.where("doc_id is null").count() == 2
+    plan = _plan(out)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
 def test_odd_sketch_estimates():
     import numpy as np
     rng = np.random.default_rng(7)
