@@ -14,6 +14,7 @@ alike; an empty table gives an empty result; other input columns are not read.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,20 +29,44 @@ from ferrovia.llm.common import stored
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|"
           r"\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 _PATTERN = regex.compile(PIECES)
+_BMP = "".join(map(chr, range(1 << 16)))
+
+
+def _ranges(kind: str) -> str:
+    """The code points below U+10000 of a property, as the inside of a class."""
+    return "".join(f"\\u{ord(run[0]):04x}-\\u{ord(run[-1]):04x}" for run in regex.findall(kind + "+", _BMP))
+
+
+def _plain_pattern() -> re.Pattern:
+    """``PIECES`` with its properties written out for ``re``, which finds the same
+    pieces in less than half of the time, if no code point is beyond U+FFFF."""
+    letter, number, space = map(_ranges, (r"\p{L}", r"\p{N}", r"\p{White_Space}"))
+    return re.compile(PIECES.replace(r"\P{White_Space}", f"[^{space}]").replace(
+        r"[^\p{White_Space}\p{L}\p{N}]", f"[^{space}{letter}{number}]").replace(
+        r"\p{White_Space}", f"[{space}]").replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]"))
+
+
+_PLAIN = _plain_pattern()
+
+
+def pieces_of(text: str) -> list[str]:
+    """Pre-tokens of a text without special strings."""
+    plain = text.isascii() or len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+    return (_PLAIN if plain else _PATTERN).findall(text)
 
 
 def splitter(specials: list[str]):
-    """Text to pre-tokens (UTF-8); special strings are cut out first and stand
-    for themselves."""
+    """Text to pre-tokens; special strings are cut out first and stand for
+    themselves."""
     cut = regex.compile("(" + "|".join(map(regex.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else None
 
-    def split(text: str) -> list[bytes]:
+    def split(text: str) -> list[str]:
         if cut is None or not any(s in text for s in specials):
-            return [t.encode("utf-8", "replace") for t in _PATTERN.findall(text)]
+            return pieces_of(text)
         out = []
         for i, part in enumerate(cut.split(text)):
-            out += [part] if i % 2 else _PATTERN.findall(part)
-        return [t.encode("utf-8", "replace") for t in out]
+            out += [part] if i % 2 else pieces_of(part)
+        return out
 
     return split
 
@@ -80,5 +105,5 @@ def token_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     split = splitter(special_strings(tokenizer_path))
     distinct = token_sums.frequencies(docs.withColumn("counts", F.lit(True)), split)
     values = stored(piece_counts(distinct.select("token", "occurrences"), tokenizer_path), "pieces")
-    found = token_sums.document_sums(docs, split, values, {"pieces": "long"})
+    found = token_sums.document_sums(docs, split, values, {"pieces": "long"}, decoded=True)
     return found.select("doc_id", "n_bytes", F.col("n_tokens").alias("n_pretokens"), F.col("pieces").alias("n_tokens"))

@@ -1,5 +1,6 @@
 """Every operator against a plain version, over edge cases, empty and null tables."""
 
+import hashlib
 import math
 import random
 import zlib
@@ -22,6 +23,7 @@ from ferrovia.llm import (
     secrets,
     suffix_dedup,
     token_counts,
+    token_sums,
 )
 from ferrovia.session import path_exists
 from tests.llm import brute
@@ -449,6 +451,29 @@ def test_token_counts(docs, rows):
     assert tuples(token_counts.token_counts(docs, BYTE_BPE).select("doc_id", "n_bytes", "n_tokens")) == want
 
 
+def test_pre_tokens_by_plain_classes():
+    rng = random.Random(5)
+    some = [*map(chr, [*range(9, 14), 28, 31, *range(32, 127), 0x85, 0xa0, 0xb2, 0xe9, 0x301, 0x660, 0x2028, 0x2160, 0x3000,
+                       0x4e2d, 0xffff, 0x10400, 0x1d7ce, 0x1f600]), "'s", "'ll", " ", "  "]
+    texts = ["".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += [f" a{c} 1{c}{c} " for c in map(chr, [*range(0xd800), *range(0xe000, 0x10000)])]
+    assert all(token_counts.pieces_of(t) == token_counts._PATTERN.findall(t) for t in texts)
+
+
+@pytest.mark.parametrize("decoded", [False, True])
+def test_frequent_tokens_of_any_length_are_broadcast(spark, monkeypatch, decoded):
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: (sent.append(value), send(self, value))[1])
+    long = "é" * 200
+    table = spark.createDataFrame([(i, f"{long} a {long} w{i}") for i in range(40)], "doc_id long, text string").repartition(2)
+    split = str.split if decoded else (lambda t: t.encode().split())
+    values = token_sums.frequencies(table.withColumn("counts", F.lit(True)), split).withColumn("size", F.octet_length("token").cast("long"))
+    out = token_sums.document_sums(table, split, values, {"size": "long"}, hot_share=10, decoded=decoded)
+    assert tuples(out.select("doc_id", "n_tokens", "size")) == Counter((i, 4, 801 + len(f"w{i}")) for i in range(40))
+    tokens, digests = sent[-1]
+    assert set(tokens) == {b"a"} and set(digests) == {hashlib.sha256(long.encode()).digest()}
+
+
 def test_scores(docs, rows):
     got = sorted(pitman_yor.score(docs).collect(), key=lambda r: (r["doc_id"] or -1, r["base_score"]))
     want = sorted(zip((i for i, _, _ in rows), brute.unigram_base([(i, t) for i, t, _ in rows]), strict=True),
