@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from ferrovia.operators import dims, facts, flatten, gold
 from ferrovia.plans import jobs
 from ferrovia.plans import testviews as TV
+from ferrovia.session import SHUFFLE_CLEANUP
 from ferrovia.sources import lake as lake_io
 from ferrovia.sources import manifest
-from ferrovia.sources.realtime import land_documents
+from ferrovia.sources.realtime import land_documents, stamped_documents
 from ferrovia.streaming import realtime as ST
 from tests.conftest import rows
 
@@ -379,6 +380,42 @@ def test_stream_equals_batch(spark, tmp):
     assert spark.read.parquet(f"{tmp}/lake/silver/fact_realtime_delays").count() == streamed.count()
 
 
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def _left_over(spark, before: set[str], wait: float = 20) -> set[str]:
+    """Shuffle files that came since ``before`` and are still there after a while."""
+    until = time.monotonic() + wait
+    while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    return left
+
+
+def test_landing_is_compressed_and_leaves_no_shuffle(spark, tmp):
+    docs = TV.trip_update_docs(spark, SF)
+    before = _shuffle_files(spark)
+    for _ in range(2):      # a landing is appended to
+        land_documents(docs, f"{tmp}/tu")
+    assert not _left_over(spark, before)
+    names = [n for n in os.listdir(f"{tmp}/tu") if n.startswith("part-")]
+    assert names and all(n.endswith(".txt.gz") for n in names)
+    raw = stamped_documents(docs).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert sum(os.path.getsize(f"{tmp}/tu/{n}") for n in names) < 2 * raw / 5
+    assert rows(spark.read.text(f"{tmp}/tu")) == rows(stamped_documents(docs.unionByName(docs)))
+
+
+def test_batches_leave_no_shuffle(spark, tmp):
+    land_documents(TV.vehicle_position_docs(spark, SF), f"{tmp}/vp")
+    before = _shuffle_files(spark)
+    ST.await_all(ST.start_realtime(spark, None, f"{tmp}/vp", f"{tmp}/lake", f"{tmp}/chk", trigger="availableNow", refresh_gold=False))
+    assert not _left_over(spark, before)
+    assert manifest.read_live(spark, f"{tmp}/lake/silver/fact_vehicle_positions").count() > 0
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"       # the session's own queries are as before
+
+
 def test_dedupe_within_watermark_stream(spark, tmp):
     import json
     os.makedirs(f"{tmp}/land", exist_ok=True)
