@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from ferrovia.llm import (
     token_counts,
     token_sums,
 )
-from ferrovia.session import path_exists
+from ferrovia.session import checkpoint_root, path_exists
 from tests.llm import brute
 from tests.llm.conftest import SF
 
@@ -536,6 +538,42 @@ def test_shard_probabilities_sum_to_one(spark):
     assert math.isclose(p[at].sum(), 1, rel_tol=1e-9)
 
 
+def test_occurrences_are_gathered_by_shard(spark):
+    import numpy as np
+    docs = spark.createDataFrame([(i % 40, " ".join(f"w{(i % 40) * j % 97}" for j in range(200)), i % 40 > 3) for i in range(160)],
+                                 "k long, text string, counts boolean").repartition(4)
+    none = np.empty(0, np.uint64)
+    dealt = pitman_yor.dealt(docs, none, 3).localCheckpoint()
+
+    def by_shard(table):
+        for n in range(3):
+            rows, keys, counts, number = pitman_yor.pieces(table.filter(pc.equal(table["shard"], n)))
+            yield Counter(map(tuple, np.vstack([rows, keys[number].view(np.uint64), counts[number]]).T.tolist()))
+
+    few, large = dealt.toArrow(), pitman_yor.gathered(dealt).toArrow()
+    assert list(by_shard(few)) == list(by_shard(large)) and sum(by_shard(large), Counter()).total() == 160 * 201
+    assert len(large) == 3 < len(few) and large.nbytes < 0.6 * few.nbytes
+    assert sum(len(pitman_yor.pieces(large.slice(i, 1))[1]) for i in range(3)) <= 3 * 40     # a text is named once
+
+
+def test_squeezed_numbers():
+    import numpy as np
+    for kind in (np.uint8, np.uint16, np.uint32, np.uint64):
+        for n in (0, 1, 1000):
+            x = np.arange(n).astype(kind) * kind(251)
+            assert pitman_yor.restored(pitman_yor.squeezed(x), kind).tolist() == x.tolist()
+
+
+def test_rounds_leave_no_tables(spark):
+    root = checkpoint_root(spark).removeprefix("file://")
+    kept = lambda: sorted(n.rsplit("-", 1)[0] for n in os.listdir(root) if n.startswith("py-"))
+    before = Counter(kept())
+    scored = pitman_yor.score(spark.createDataFrame([(i, f"a b c {i % 3}") for i in range(30)], "doc_id long, text string"))
+    # what the result reads; the occurrences and the rounds' tables have gone
+    assert Counter(kept()) - before == Counter({"py-words": 1, "py-scores": 1})
+    assert scored.count() == 30
+
+
 def test_repeats(docs, rows):
     short = [(i, t) for i, t, _ in rows if len(t or "") < 60_000]
     some = docs.where(F.length(F.coalesce("text", F.lit(""))) < 60_000)
